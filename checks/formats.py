@@ -140,10 +140,9 @@ def set_font(spark, sf_dir):
     select event_id::varchar, 1, null, null, null, null, null, null, null, null, null, null, null, null, 1 from events
 """)
 def refresh_formats(spark, sf_dir):
-    """The whole patch of a sheet pushed as HTML, down to one ordered row per sheet row."""
-    sheets = events_metadata(spark, sf_dir)
+    """The whole patch of a sheet pushed as HTML, cells nested in their rows."""
     rows = gf.refresh_formats(
-        gf.read_cell_meta(sheets), 2, gf.row_positions(sheets), horizontalAlignment="CENTER", verticalAlignment="MIDDLE", fontSize=11
+        gf.row_positions(events_metadata(spark, sf_dir)), 2, horizontalAlignment="CENTER", verticalAlignment="MIDDLE", fontSize=11
     )
     cells = rows.select("sheet_id", "row_idx", F.posexplode_outer("values").alias("col_idx", "cell"))
     named = cells.select(

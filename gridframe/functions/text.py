@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 NULL_TOKENS = ["NaN", "nan", "None", "none"]
 
 
-# Digits after the leading one that a double's text can have.
-MAX_DECIMALS = 18
+# Fixed values of the double format: below the first, doubles have fewer digits
+# than others; up to 15 digits a text that reads back is the only shortest one.
+SMALLEST_NORMAL = 2.2250738585072014e-308
+CERTAIN_DIGITS = 15
 
 
 def double_text(value: Column) -> Column:
@@ -43,47 +45,48 @@ def double_text(value: Column) -> Column:
         .when((size >= 1e7) & (size < 1e16), large)
         .when((size >= 1e-4) & (size < 1e-3), small)
         .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when((size >= SMALLEST_NORMAL) & (F.length(digits) <= CERTAIN_DIGITS), F.concat(sign, _layout(mantissa, exponent)))
         .otherwise(F.concat(sign, _scientific(size, mantissa, exponent)))
     )
 
 
+def _layout(mantissa: Column, exponent: Column) -> Column:
+    """``1.5e+16`` from ``1.5`` and 16."""
+    return F.concat(
+        mantissa,
+        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
+    )
+
+
 def _scientific(size: Column, mantissa: Column, exponent: Column) -> Column:
-    """``1.5e+16``: the fewest digits of the printed mantissa that read back as the value."""
-    # Below 2^63 the value is an integer whose digits are all known, not just those printed.
+    """The fewest digits that read back as the value, found by rounding the ones that are known."""
+    # From 1e16 to 2^63 the value is an integer whose digits are all known, not just those printed.
     integer = F.when((size >= 1e16) & (size < 2.0**63), size.try_cast("bigint"))
-    known = F.coalesce(F.concat(integer.cast("string"), F.lit("E-"), exponent.cast("string")), mantissa)
-    exact = known.cast(f"decimal(19,{MAX_DECIMALS})")
+    known = F.coalesce(F.concat(integer.cast("string"), F.lit("E-"), exponent.cast("string")), mantissa).cast("decimal(19,18)")
 
-    def candidate(step: Column) -> Column:
-        decimals, above = step["decimals"], step["above"]
-        scale = F.concat(F.lit("1E"), decimals).cast(f"decimal({MAX_DECIMALS},0)")
-        rounded = F.bround(exact * scale, 0).cast("decimal(20,0)") + above
-        return F.struct(rounded.cast("decimal(20,0)").cast("string").alias("digits"), (exponent - decimals).alias("power"))
+    def candidates(number: Column) -> Column:
+        def rounded(decimals: int) -> Column:
+            return F.bround(number, decimals).cast("decimal(20,18)")
 
-    def reads_back(number: Column) -> Column:
-        return F.concat(number["digits"], F.lit("E"), number["power"].cast("string")).cast("double") == size
+        # A power of two lies closer to the double below it than to the one above, so
+        # at 15 decimals the next number up may read back where the nearest does not.
+        next_up = (rounded(15) + F.lit("1E-15").cast("decimal(20,18)")).cast("decimal(20,18)")
+        below_normal = F.array(*[rounded(decimals) for decimals in range(17)])
+        return F.when(size < SMALLEST_NORMAL, below_normal).otherwise(F.array(rounded(14), rounded(15), next_up, rounded(16)))
 
-    # A power of two lies closer to the double below it than to the one above, so
-    # at 15 decimals the next number up may read back where the nearest does not.
-    steps = [(decimals, above) for decimals in range(MAX_DECIMALS) for above in ((0, 1) if decimals == 15 else (0,))]
-    each = F.array(*[F.struct(F.lit(d).alias("decimals"), F.lit(a).alias("above")) for d, a in steps])
-    candidates = F.transform(each, candidate)
-    # Text and power of the first candidate that reads back, laid out by one pass over it.
-    shortest = F.slice(F.filter(candidates, reads_back), 1, 1)
+    def reads_back(number: Column) -> Column:
+        return F.concat(number.cast("string"), F.lit("E"), exponent.cast("string")).cast("double") == size
 
     def layout(number: Column) -> Column:
-        digits = F.regexp_replace(number["digits"], "0+$", "")
-        power = number["power"] + F.length(number["digits"]) - 1
-        decimals = F.substring(digits, F.lit(2), F.length(digits))
-        return F.concat(
-            F.substring(digits, 1, 1),
-            F.when(decimals == "", F.lit("")).otherwise(F.concat(F.lit("."), decimals)),
-            F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-            F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
-            F.abs(power).cast("string"),
-        )
-
-    return F.get(F.transform(shortest, layout), F.lit(0))
+        text = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+        # Rounding up may reach 10.
+        return F.when(number >= 10, _layout(F.lit("1"), exponent + 1)).otherwise(_layout(text, exponent))
+
+    # The one-element transforms bind a value, so that it is computed once.
+    found = F.filter(F.get(F.transform(F.array(known), candidates), F.lit(0)), reads_back)
+    return F.get(F.transform(F.slice(found, 1, 1), layout), F.lit(0))
 
 
 def float_text(value: Column) -> Column:

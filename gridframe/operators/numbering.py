@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -24,34 +26,39 @@ def number_rows(
 ) -> tuple[DataFrame, int]:
     """``df`` with dense 0-based positions in ``order_by`` order, and the row count.
 
-    ``order_by`` is an ascending, unique key. Rows that tie on it are ordered by
-    a hash of the whole row, so a heavy tie is still spread over buckets; only
-    exact copies, whose order cannot matter, stay together.
+    ``order_by`` is an ascending key. Bounds sampled from it split the rows into
+    ordered buckets; a count per bucket gives where each bucket starts. Both
+    passes read the key columns only. The rows are then shuffled once, by
+    bucket. The driver holds the bounds and one count per bucket.
 
-    Key bounds from a sample split the rows into ordered buckets. The driver
-    holds the bounds and one count per bucket; the rows are shuffled once.
+    The key should be unique. Rows that tie are ordered by a hash of the whole
+    row, which keeps the result the same when a task runs again. A key heavy
+    enough to fill a bucket shows as a repeated bound; the buckets then split on
+    the hash too. Only exact copies, whose order cannot matter, stay together.
     """
     keys = [F.col(key) if isinstance(key, str) else key for key in order_by]
     if not keys:
         raise ValueError("order_by needs at least one key")
-    keyed = df.select("*", F.struct(*_named(df, keys), _row_hash(df).alias("hash")).alias("__key"))
+    keys, tie_break = _named(df, keys), _row_hash(df).alias("tie")
     total = df.count()
-    if total <= rows_per_bucket:
-        position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("__key"))
-        return keyed.withColumn(column, (position - 1).cast("bigint")).drop("__key"), total
-
     buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
-    key_type = keyed.schema["__key"].dataType
-    bounds = _bounds(keyed, key_type, total, buckets)
-    keyed = keyed.withColumn("__bucket", _bucket(F.col("__key"), key_type, bounds))
-    counts = {row["__bucket"]: row["count"] for row in keyed.groupBy("__bucket").count().collect()}
-    offsets, before = [], 0
-    for bucket in range(max(counts) + 1):
-        offsets.append(before)
-        before += counts.get(bucket, 0)
-    position = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
-    offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in offsets]), F.col("__bucket"))
-    return keyed.withColumn(column, offset + position - 1).drop("__key", "__bucket"), before
+    if buckets <= 1:
+        # All rows fit one bucket, so one task may number them.
+        position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys, tie_break))
+        return df.withColumn(column, (position - 1).cast("bigint")), total
+
+    split_key = F.struct(*keys)
+    key_type, bounds = _bounds(df, split_key, total, buckets)
+    if len(set(bounds)) < len(bounds):
+        split_key = F.struct(*keys, tie_break)
+        key_type, bounds = _bounds(df, split_key, total, buckets)
+    bucket = _bucket(split_key, key_type, bounds)
+    counts = {row.bucket: row["count"] for row in df.select(bucket.alias("bucket")).groupBy("bucket").count().collect()}
+    starts = list(accumulate((counts.get(b, 0) for b in range(max(counts, default=0))), initial=0))
+    position = F.row_number().over(Window.partitionBy("__bucket").orderBy(*keys, tie_break))
+    start = F.get(_constant(starts, T.ArrayType(T.LongType())), F.col("__bucket"))
+    numbered = df.withColumn("__bucket", bucket).withColumn(column, start + position - 1)
+    return numbered.drop("__bucket"), sum(counts.values())
 
 
 def _named(df: DataFrame, keys: list[Column]) -> list[Column]:
@@ -72,25 +79,31 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*hashed)
 
 
-def _bounds(keyed: DataFrame, key_type: T.StructType, total: int, buckets: int) -> list[Row]:
-    """Up to ``buckets - 1`` ordered keys from a sample whose size follows the buckets, not the rows."""
-    fraction = min(1.0, buckets * OVERSAMPLE / total)
-    as_text = [F.col("__key")[name].cast("string").alias(name) for name in key_type.names]
-    sample = keyed.select("__key").sample(fraction=fraction, seed=7).sort("__key").select(*as_text).collect()
-    step = len(sample) / buckets
-    return [sample[int(i * step)] for i in range(1, buckets)] if sample else []
+def _bounds(df: DataFrame, key: Column, total: int, buckets: int) -> tuple[T.StructType, list[Row]]:
+    """Key type and ``buckets - 1`` ordered keys as text, from a sample whose size follows the buckets, not the rows."""
+    keyed = df.select(key.alias("key"))
+    key_type = keyed.schema["key"].dataType
+    sample = keyed.sample(fraction=min(1.0, buckets * OVERSAMPLE / total), seed=7).sort("key")
+    rows = sample.select(*[F.col("key")[name].cast("string").alias(name) for name in key_type.names]).collect()
+    step = len(rows) / buckets
+    return key_type, [rows[int(i * step)] for i in range(1, buckets)] if rows else []
+
+
+def _constant(values: list, data_type: T.ArrayType) -> Column:
+    """An array constant sent as one JSON text, however many values it has."""
+    element = as_text = data_type.elementType
+    if isinstance(element, T.StructType):
+        as_text = T.StructType([T.StructField(name, T.StringType()) for name in element.names])
+        element = T.StructType([T.StructField(field.name, field.dataType) for field in element])
+        values = [dict(zip(as_text.names, value)) for value in values]
+    return F.from_json(F.lit(json.dumps(values)), T.ArrayType(as_text)).cast(T.ArrayType(element))
 
 
 def _bucket(key: Column, key_type: T.StructType, bounds: list[Row]) -> Column:
     """How many bounds the key has reached, by binary search in a constant array."""
     if not bounds:
         return F.lit(0)
-    constants = F.array(
-        *[
-            F.struct(*[F.lit(text).cast(field.dataType).alias(field.name) for text, field in zip(bound, key_type)])
-            for bound in bounds
-        ]
-    )
+    constants = _constant(bounds, T.ArrayType(key_type))
     steps = [2**i for i in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(step) for step in steps]),

@@ -92,9 +92,8 @@ def refresh(
 
 
 def refresh_formats(
-    meta: DataFrame,
+    rows: DataFrame,
     row_number_to_push_into: int,
-    rows: DataFrame | None = None,
     horizontalAlignment: str | None = None,
     verticalAlignment: str | None = None,
     wrapStrategy: str | None = None,
@@ -102,34 +101,37 @@ def refresh_formats(
     fontSize: int | None = None,
     clear_first: bool = True,
 ) -> DataFrame:
-    """Rows of patched cell metadata for a sheet whose content was pushed as HTML.
+    """Rows of cell metadata patched for a sheet whose content was pushed as HTML.
 
     From the first body row down: alignment and font as given, and every
-    hyperlink as a linked text run. One projection, then one grouping by row.
-    ``clear_first`` drops the user formats the rows had before; turn it off for
-    metadata saved after the content was pasted.
+    hyperlink as a linked text run. ``rows`` has the cells nested in their rows,
+    as :func:`row_positions` gives them, and so has the result: the whole chain
+    is one projection. ``clear_first`` drops the user formats the rows had
+    before; turn it off for metadata saved after the content was pasted.
     """
-    first_body_row = row_number_to_push_into
+    patches = [
+        formats.align_patch(horizontalAlignment, verticalAlignment, wrapStrategy),
+        formats.link_patch,
+        formats.merge_patch,
+        formats.font_patch(fontFamily, fontSize),
+    ]
     if clear_first:
-        meta = formats.clear_formats(meta, first_body_row + 1)
-    meta = formats.align(meta, first_body_row, horizontalAlignment, verticalAlignment, wrapStrategy)
-    meta = formats.merge_link_runs(formats.link_runs(meta, first_body_row), first_body_row)
-    meta = formats.set_font(meta, first_body_row, fontFamily, fontSize)
-    return formats.assemble_rows(meta, rows)
+        patches.insert(0, formats.clear_patch)
+    # The header is in the 1-based row, so the first body row is that 0-based one.
+    return formats.patch_rows(rows, row_number_to_push_into, patches)
 
 
 def refresh_as_html(
     df: DataFrame,
-    meta: DataFrame,
+    rows: DataFrame,
     row_number_to_push_into: int,
     order_by: Sequence[str],
-    rows: DataFrame | None = None,
     html_table_style: str | None = None,
     **format_options,
 ) -> tuple[DataFrame, DataFrame]:
     """``(html, rows)``: the body as an HTML table to paste, and the sheet's rows with formats patched."""
     html = to_html_table(df, order_by, table_style=html_table_style)
-    return html, refresh_formats(meta, row_number_to_push_into, rows, **format_options)
+    return html, refresh_formats(rows, row_number_to_push_into, **format_options)
 
 
 def _with_hidden(grid: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ def test_assemble_rows(sheet, meta):
     assert json.loads(texts[1].row) == {"values": []}
 
 
-def test_readme_html_push(spark, sheet, meta):
+def test_readme_html_push(spark, sheet):
     df = spark.createDataFrame(
         [('=HYPERLINK("test.com","1st test")',
           '<a href="test.com">2nd test</a> and <a href="test.com">3rd test</a>.',
@@ -127,7 +127,7 @@ def test_readme_html_push(spark, sheet, meta):
         "one string, many string, styled string",
     )
     html, rows = gf.refresh_as_html(
-        df, meta, 2, ["one"], gf.row_positions(sheet), horizontalAlignment="CENTER", verticalAlignment="MIDDLE",
+        df, gf.row_positions(sheet), 2, ["one"], horizontalAlignment="CENTER", verticalAlignment="MIDDLE",
         wrapStrategy="WRAP", fontFamily="Barlow", fontSize=10)
     assert html.first().html.count("<td>") == 3
     by_row = {r.row_idx: r["values"] for r in rows.collect()}
@@ -145,6 +145,18 @@ def test_readme_html_push(spark, sheet, meta):
     }
 
 
+@pytest.mark.parametrize("clear_first", [True, False])
+def test_nested_patches_equal_the_cell_by_cell_ones(sheet, meta, clear_first):
+    step = gf.clear_formats(meta, 3) if clear_first else meta
+    step = gf.align(step, 2, horizontal="RIGHT", wrap="CLIP")
+    step = gf.merge_link_runs(gf.link_runs(step, 2), 2)
+    one_by_one = gf.rows_json(gf.assemble_rows(gf.set_font(step, 2, family="Barlow"), gf.row_positions(sheet)))
+    nested = gf.refresh_formats(
+        gf.row_positions(sheet), 2, horizontalAlignment="RIGHT", wrapStrategy="CLIP", fontFamily="Barlow", clear_first=clear_first)
+    assert gf.rows_json(nested).orderBy("row_idx").collect() == one_by_one.orderBy("row_idx").collect()
+    assert "Exchange" not in nested._jdf.queryExecution().executedPlan().toString()
+
+
 def test_links_in_order_and_across_lines(spark):
     df = spark.createDataFrame([(1, "=HYPERLINK(\"a\",\"A\") <A class='k' HREF='b'>B\nb</A>"), (2, "<a name=x>no</a>"), (3, None)], "k int, c string")
     assert [tuple(r) for r in gf.cell_links(df, "c", ["k"]).orderBy("ord").collect()] == [(1, 1, "a", "A"), (1, 2, "b", "B\nb")]

@@ -139,7 +139,7 @@ def customer_cells():
         F.col("c_custkey").cast("string"),
         "c_name",
         F.col("c_nationkey").cast("string"),
-        gf.double_text(F.col("c_acctbal")),
+        gf.double_text("c_acctbal"),
         "c_mktsegment",
         F.upper("c_name"),
     )

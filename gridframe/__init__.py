@@ -2,7 +2,7 @@
 
 from gridframe.functions.address import CellRange, col_letters, col_number, column_index, parse_range, range_address
 from gridframe.functions.names import clean_names, distinct_names, unique_names
-from gridframe.functions.text import cell_text, double_text
+from gridframe.functions.text import double_text
 from gridframe.operators.columns import cell_links, column_widths
 from gridframe.operators.export import (
     blank_nulls,

@@ -8,18 +8,18 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters needed for the widest column index rendered: 26^7 is beyond any 32-bit index.
-MAX_LETTERS = 7
+# Letters in the name of the largest 64-bit column number.
+MAX_LETTERS = 14
 
 
 def col_letters(number: Column) -> Column:
     """1 -> A, 26 -> Z, 27 -> AA, 703 -> AAA; numbers below 1 give an empty string."""
-    rest = number.cast("bigint")
-    letters = []
-    for _ in range(MAX_LETTERS):
-        letters.append(F.when(rest > 0, F.char(F.lit(65) + (rest - 1) % 26)).otherwise(F.lit("")))
-        rest = F.call_function("div", rest - 1, F.lit(26))
-    return F.concat(*reversed(letters))
+    start = F.struct(number.cast("bigint").alias("rest"), F.lit("").alias("letters"))
+    add_letter = """(name, step) -> if(name.rest > 0,
+        named_struct('rest', (name.rest - 1) div 26, 'letters', concat(char(65 + (name.rest - 1) % 26), name.letters)),
+        name)"""
+    steps = F.expr(f"sequence(1, {MAX_LETTERS})")
+    return F.call_function("aggregate", steps, start, F.expr(add_letter), F.expr("name -> name.letters"))
 
 
 def col_number(letters: Column) -> Column:

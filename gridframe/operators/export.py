@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.functions.text import blank_if_missing, cell_text, value_text
+from gridframe.functions.text import blank_sql, cell_sql, filled_sql, quoted, value_sql
 from gridframe.operators.numbering import ROWS_PER_BUCKET, number_rows
 from gridframe.sources.schemas import GRID
 
@@ -23,43 +23,44 @@ def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*[f"_c{i}" for i in range(len(df.columns))]), df.columns
 
 
-def _by_type(df: DataFrame, convert) -> DataFrame:
-    """Convert every column by its type, keeping names that may repeat."""
+def _by_type(df: DataFrame, convert: Callable[[str, T.DataType], str]) -> DataFrame:
+    """Every column as the SQL its type converts to, keeping names that may repeat."""
     frame, names = positional(df)
-    return frame.select(*[convert(F.col(f.name), f.dataType).alias(f.name) for f in frame.schema]).toDF(*names)
+    return frame.selectExpr(*[f"{convert(f.name, f.dataType)} as {f.name}" for f in frame.schema]).toDF(*names)
 
 
 def fill_booleans(df: DataFrame) -> DataFrame:
     """Null booleans become false."""
-    return _by_type(df, lambda c, t: F.coalesce(c, F.lit(False)) if isinstance(t, T.BooleanType) else c)
+    return _by_type(df, lambda x, t: filled_sql(x, t) if isinstance(t, T.BooleanType) else x)
 
 
 def fill_arrays(df: DataFrame) -> DataFrame:
     """Null arrays become empty."""
-    return _by_type(df, lambda c, t: F.coalesce(c, F.array().cast(t)) if isinstance(t, T.ArrayType) else c)
+    return _by_type(df, lambda x, t: filled_sql(x, t) if isinstance(t, T.ArrayType) else x)
 
 
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as text by its type's rule; nulls stay null."""
-    return _by_type(df, value_text)
+    return _by_type(df, value_sql)
 
 
 def blank_nulls(df: DataFrame) -> DataFrame:
     """String columns with null and the whole-cell missing tokens blank."""
-    return _by_type(df, lambda c, t: blank_if_missing(c) if isinstance(t, T.StringType) else c)
+    return _by_type(df, lambda x, t: blank_sql(x) if isinstance(t, T.StringType) else x)
 
 
 def to_text(df: DataFrame) -> DataFrame:
     """The whole chain: fills, typed text, blanks."""
-    return _by_type(df, cell_text)
+    return _by_type(df, cell_sql)
 
 
-def cell_columns(df: DataFrame) -> list[Column]:
-    return [cell_text(F.col(field.name), field.dataType) for field in df.schema]
+def row_texts(df: DataFrame) -> list[str]:
+    """The cells of a row as SQL."""
+    return [cell_sql(quoted(field.name), field.dataType) for field in df.schema]
 
 
-def _numbered(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int) -> tuple[DataFrame, list[Column], int]:
-    """Numbered rows with positional columns, their text columns and the row count.
+def _numbered(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int) -> tuple[DataFrame, list[str], int]:
+    """Numbered rows with positional columns, their texts as SQL and the row count.
 
     Raw values are shuffled, not their wider texts, and rendered afterwards.
     """
@@ -70,7 +71,7 @@ def _numbered(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int) -> t
             raise ValueError(f"order_by column {key!r} appears {names.count(key)} times")
         keys.append(f"_c{names.index(key)}")
     numbered, total = number_rows(frame, keys, "row_idx", rows_per_bucket)
-    return numbered, cell_columns(frame), total
+    return numbered, row_texts(frame), total
 
 
 def numbered_cells(
@@ -78,7 +79,7 @@ def numbered_cells(
 ) -> tuple[DataFrame, int]:
     """``row_idx, cells`` of the rendered rows in order, and their count."""
     numbered, texts, total = _numbered(df, order_by, rows_per_bucket)
-    return numbered.select("row_idx", F.array(*texts).alias("cells")), total
+    return numbered.selectExpr("row_idx", f"array({', '.join(texts)}) as cells"), total
 
 
 def to_cells(
@@ -100,15 +101,16 @@ def to_cells(
     ).select(*GRID.names)
 
 
-def html_row(texts: list[Column]) -> Column:
-    """One unescaped table row."""
-    return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), text, F.lit("</td>")) for text in texts], F.lit("</tr>"))
+def html_row(texts: list[str]) -> str:
+    """One unescaped table row, as SQL."""
+    cells = ", ".join(f"'<td>', {text}, '</td>'" for text in texts)
+    return f"concat('<tr>', {cells}, '</tr>')"
 
 
 def to_html_rows(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``row_idx, html`` with one table row per DataFrame row."""
     numbered, texts, _ = _numbered(df, order_by, rows_per_bucket)
-    return numbered.select("row_idx", html_row(texts).alias("html"))
+    return numbered.selectExpr("row_idx", f"{html_row(texts)} as html")
 
 
 def to_html_table(
@@ -127,9 +129,8 @@ def to_html_table(
     numbered, texts, total = _numbered(df, order_by, rows_per_bucket)
     last = max(0, (total - 1) // rows_per_fragment)
     opening = (TABLE_OPEN_STYLED.format(style=table_style) if table_style else TABLE_OPEN) + "<tbody>"
-    rows = numbered.select(
-        F.call_function("div", F.col("row_idx"), F.lit(rows_per_fragment)).alias("fragment_no"),
-        F.struct("row_idx", html_row(texts).alias("html")).alias("row"),
+    rows = numbered.selectExpr(
+        f"row_idx div {rows_per_fragment} as fragment_no", f"struct(row_idx, {html_row(texts)} as html) as row"
     )
     if total == 0:
         # A table without rows still has its tags.

@@ -94,7 +94,7 @@ def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
     """
     batch = F.call_function("div", F.col("row_idx"), F.lit(rows_per_batch))
     grouped = grid.groupBy(*SHEET_KEYS, batch.alias("batch_no")).agg(
-        F.first("sheet_title").alias("sheet_title"),
+        F.max("sheet_title").alias("sheet_title"),
         F.array_sort(F.collect_list(F.struct("row_idx", "cells"))).alias("rows"),
     )
     rows = F.col("rows")

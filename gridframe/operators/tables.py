@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.functions.names import clean_names, distinct_names, table_name_list, unique_names
+from gridframe.functions.text import quoted
 from gridframe.operators.extent import BROADCAST_BYTES, attach_facts, checkpoint_once
 from gridframe.operators.sheets import padded, sheet_headers
 from gridframe.sources.schemas import SHEET_KEYS
@@ -30,8 +31,8 @@ def named_columns(
     header_cells = grid.filter(F.col("row_idx") == first_row).select("cells").first().cells
     header = [(cell or "").lower() for cell in header_cells] + [""] * (width - len(header_cells))
     names = table_name_list(header, make_columns_unique, clean_column_names)
-    cells = [F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)]
-    return grid.filter(F.col("row_idx") > first_row).select(*cells)
+    cells = [f"coalesce(get(cells, {i}), '') as {quoted(name)}" for i, name in enumerate(names)]
+    return grid.filter(F.col("row_idx") > first_row).selectExpr(*cells)
 
 
 def record_names(header: Column, make_columns_unique: bool, clean_column_names: bool) -> Column:

@@ -23,7 +23,7 @@ CELL_COLUMNS = {
 
 def read_metadata(spark: SparkSession, path: str | list[str], cell: T.StructType = CELL, multi_line: bool = False) -> DataFrame:
     """Saved metadata responses as ``workbook_id, sheet_id, sheet_title, row_data``, one row per sheet."""
-    bodies = spark.read.schema(metadata_record(cell)).option("multiLine", multi_line).json(path)
+    bodies = spark.read.schema(metadata_record(cell)).options(multiLine=multi_line, mode="FAILFAST").json(path)
     sheets = bodies.select(F.coalesce("spreadsheetId", F.lit("")).alias("workbook_id"), F.explode("sheets").alias("sheet"))
     return sheets.select(
         "workbook_id",
@@ -37,7 +37,7 @@ def row_positions(df: DataFrame, row_data_col: str = "row_data", cell: T.StructT
     """The row list of each sheet, with the cells still nested."""
     rows = F.col(row_data_col)
     if isinstance(df.schema[row_data_col].dataType, T.StringType):
-        rows = F.from_json(rows, row_data(cell))
+        rows = F.from_json(rows, row_data(cell), {"mode": "FAILFAST"})
     return df.select(*SHEET_KEYS, F.posexplode(rows).alias("row_idx", "row")).select(
         *SHEET_KEYS, F.col("row_idx").cast("bigint").alias("row_idx"), F.col("row")["values"].alias("values")
     )

@@ -15,7 +15,7 @@ def read_values(spark: SparkSession, path: str | list[str], positions: str = "bo
     Records may carry ``workbook_id``, ``sheet_id`` and ``sheet_title`` beside
     the response fields; a missing title comes from ``range``.
     """
-    bodies = spark.read.schema(VALUES_RECORD).option("multiLine", multi_line).json(path)
+    bodies = spark.read.schema(VALUES_RECORD).options(multiLine=multi_line, mode="FAILFAST").json(path)
     return values_to_grid(bodies, positions=positions)
 
 
@@ -23,14 +23,15 @@ def values_to_grid(df: DataFrame, body_col: str | None = None, positions: str =
     """One grid row per sheet row of each values body.
 
     ``body_col`` names a JSON string column; without it the body's fields are
-    columns of ``df``. A body without values gives no rows. ``positions="body"``
+    columns of ``df``. A body without values gives no rows; one that is not valid
+    JSON is an error, never a silent loss. ``positions="body"``
     counts rows from the body's start; ``positions="range"`` places them where
     the body's range starts, so one tall sheet may come in many bodies.
     """
     if positions not in ("body", "range"):
         raise ValueError("positions is 'body' or 'range'")
     if body_col is not None:
-        df = df.withColumn("__body", F.from_json(F.col(body_col), VALUES_BODY)).select(
+        df = df.withColumn("__body", F.from_json(F.col(body_col), VALUES_BODY, {"mode": "FAILFAST"})).select(
             *[c for c in ("workbook_id", "sheet_id", "sheet_title") if c in df.columns], "__body.*"
         )
     title = F.replace(F.regexp_extract("range", r"(?s)^'?(.*?)'?(!|$)", 1), F.lit("''"), F.lit("'"))

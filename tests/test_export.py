@@ -8,16 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from gridframe.operators.export import cell_columns
+from gridframe.operators.export import row_texts
 
 
 def texts(df):
-    return [r.cells for r in df.select(F.array(*cell_columns(df)).alias("cells")).collect()]
+    return [r.cells for r in df.selectExpr(f"array({', '.join(row_texts(df))}) as cells").collect()]
 
 
 def double_texts(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    return [r.t for r in df.select(gf.double_text(F.col("v")).alias("t")).collect()]
+    return [r.t for r in df.select(gf.double_text("v").alias("t")).collect()]
 
 
 def test_known_doubles(spark):

@@ -17,6 +17,15 @@ def test_values_to_grid(spark, lines):
     assert {tuple(r) for r in grid.select("workbook_id", "sheet_id", "sheet_title").collect()} == {("wb", "7", "It's here")}
 
 
+def test_a_broken_body_is_an_error(spark, tmp_path):
+    df = spark.createDataFrame([('{"values": [["a"]',)], "body string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        gf.values_to_grid(df, "body").collect()
+    (tmp_path / "bad.json").write_text('{"values": [["a"]')
+    with pytest.raises(Exception, match="MALFORMED"):
+        gf.read_values(spark, str(tmp_path / "bad.json")).collect()
+
+
 def test_read_values_from_files(spark, tmp_path, lines):
     records = [
         {"workbook_id": "w", "sheet_id": "1", "range": "S!A1:B2", "values": [["a", "b"], ["c", "d"]]},

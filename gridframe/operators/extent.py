@@ -34,17 +34,21 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
-def sheet_extents(grid: DataFrame) -> DataFrame:
+def sheet_extents(grid: DataFrame, content: Column | None = None) -> DataFrame:
     """First and last row position and widest row of every sheet.
 
-    All three are fixed-width, so each task combines them by hash before the
-    shuffle and a sheet of any height sends one row per task.
+    With ``content``, a predicate on rows, positions count only where it holds,
+    and a sheet without such a row has none. All three are fixed-width, so each
+    task combines them by hash before the shuffle and a sheet of any height
+    sends one row per task.
     """
-    return grid.groupBy(*SHEET_KEYS).agg(
-        F.min("row_idx").alias("first_row"),
-        F.max("row_idx").alias("last_row"),
+    position = F.col("row_idx") if content is None else F.when(content, F.col("row_idx"))
+    extents = grid.groupBy(*SHEET_KEYS).agg(
+        F.min(position).alias("first_row"),
+        F.max(position).alias("last_row"),
         F.max(F.size("cells")).alias("width"),
     )
+    return extents.filter(F.col("first_row").isNotNull())
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 # Rows numbered by one task.
 ROWS_PER_BUCKET = 250_000
-# Bounds between buckets; more rows than this allows make the buckets larger, not more.
-MAX_BUCKETS = 16_384
+# The bounds travel with the plan; more rows than this allows make the buckets larger, not more.
+MAX_BUCKETS = 65_536
 # Sampled keys per bound.
 OVERSAMPLE = 16
 
@@ -80,13 +80,17 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 def _bounds(df: DataFrame, key: Column, total: int, buckets: int) -> tuple[T.StructType, list[Row]]:
-    """Key type and ``buckets - 1`` ordered keys as text, from a sample whose size follows the buckets, not the rows."""
+    """Key type and the lowest key of every bucket but the first, as text.
+
+    They come from a sample whose size follows the number of buckets, not of
+    rows, so that one task may sort it.
+    """
     keyed = df.select(key.alias("key"))
     key_type = keyed.schema["key"].dataType
-    sample = keyed.sample(fraction=min(1.0, buckets * OVERSAMPLE / total), seed=7).sort("key")
-    rows = sample.select(*[F.col("key")[name].cast("string").alias(name) for name in key_type.names]).collect()
-    step = len(rows) / buckets
-    return key_type, [rows[int(i * step)] for i in range(1, buckets)] if rows else []
+    sample = keyed.sample(fraction=min(1.0, buckets * OVERSAMPLE / total), seed=7)
+    tiles = sample.withColumn("tile", F.ntile(buckets).over(Window.partitionBy(F.lit(0)).orderBy("key")))
+    lowest = tiles.groupBy("tile").agg(F.min("key").alias("key")).filter("tile > 1").orderBy("tile")
+    return key_type, lowest.select(*[F.col("key")[name].cast("string").alias(name) for name in key_type.names]).collect()
 
 
 def _constant(values: list, data_type: T.ArrayType) -> Column:

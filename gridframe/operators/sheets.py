@@ -63,13 +63,16 @@ def drop_empty_rows(grid: DataFrame) -> DataFrame:
     return grid.filter(has_content(F.col("cells")))
 
 
-def sheet_headers(grid: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def sheet_headers(
+    grid: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, content: Column | None = None
+) -> DataFrame:
     """Per sheet its extent and, as ``header``, the cells of its first row in lower case.
 
-    The first position is found by a hash aggregate; only rows at or above the
+    With ``content``, a predicate on rows, the first row is the first one where
+    it holds; the width is that of all rows. The first position is found by a hash aggregate; only rows at or above the
     latest first position are then read again, a filter that reaches the scan.
     """
-    extents = checkpoint_once(sheet_extents(grid))
+    extents = checkpoint_once(sheet_extents(grid, content))
     latest_first = extents.agg(F.max("first_row")).first()[0]
     top = grid.filter(F.col("row_idx") <= F.lit(latest_first).cast("bigint"))
     first_rows = attach_facts(top, extents, broadcast_bytes).filter(F.col("row_idx") == F.col("first_row"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridframe.functions.names import clean_names, distinct_names, table_name_list, unique_names
 from gridframe.functions.text import quoted
 from gridframe.operators.extent import BROADCAST_BYTES, attach_facts, checkpoint_once
-from gridframe.operators.sheets import padded, sheet_headers
+from gridframe.operators.sheets import has_content, padded, sheet_headers
 from gridframe.sources.schemas import SHEET_KEYS
 
 
@@ -47,13 +47,21 @@ def grid_to_records(
     grid: DataFrame,
     make_columns_unique: bool = True,
     clean_column_names: bool = True,
+    drop_empty_rows: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Every row below its sheet's header as a ``record`` map, for many sheets with differing headers."""
-    headers = sheet_headers(grid, broadcast_bytes)
+    """Every row below its sheet's header as a ``record`` map, for many sheets with differing headers.
+
+    With ``drop_empty_rows`` the result is that of padding, dropping and then
+    taking records, but one pass finds both the widths and the header rows.
+    """
+    content = has_content(F.col("cells")) if drop_empty_rows else None
+    headers = sheet_headers(grid, broadcast_bytes, content)
     names = record_names(padded(F.col("header"), F.col("width")), make_columns_unique, clean_column_names)
     # Names are repaired once per sheet here, not once per row after the join.
     headers = checkpoint_once(headers.withColumn("header", names))
+    if content is not None:
+        grid = grid.filter(content)
     rows = attach_facts(grid, headers, broadcast_bytes).filter(F.col("row_idx") > F.col("first_row"))
     record = F.map_from_arrays("header", padded(F.col("cells"), F.col("width")))
     return rows.select(*SHEET_KEYS, "row_idx", record.alias("record"))

@@ -51,8 +51,9 @@ def refresh(
     # The header goes to 0-based row - 1, the body starts at 0-based row.
     row, col = row_number_to_push_into, column_index(column_letter_to_push_into)
     grid = _with_hidden(grid)
-    is_target = F.coalesce((F.col("workbook_id") == workbook_id) & is_sheet(sheet_name_or_id), F.lit(False))
-    sheet, others = grid.filter(is_target), grid.filter(~is_target)
+    is_target = (F.col("workbook_id") == workbook_id) & is_sheet(sheet_name_or_id)
+    # A sheet may have no title; it is then not the target.
+    sheet, others = grid.filter(is_target), grid.filter(~F.coalesce(is_target, F.lit(False)))
 
     body, total = numbered_cells(df, order_by, rows_per_bucket)
     if do_not_clear_entire_target_sheet_range:

@@ -138,6 +138,27 @@ def test_records_of_sheets_with_differing_headers(make_grid):
     assert records == {("1", 1): {"id": "1", "id1": "2", "na_me": ""}, ("2", 1): {"k": "v", "": "w"}}
 
 
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, -1])
+def test_records_without_empty_rows_in_one_pass(make_grid, broadcast_bytes):
+    grid = make_grid({
+        ("w", "1", "A"): [["", "", "", ""], ["Id", "Na me"], ["", ""], ["1", "2"], [], ["3"]],
+        ("w", "2", "B"): [["K"], ["v"]],
+        ("w", "3", "C"): [[""], []],
+    })
+    step_by_step = gf.grid_to_records(gf.drop_empty_rows(gf.pad_rows(grid)))
+    at_once = gf.grid_to_records(grid, drop_empty_rows=True, broadcast_bytes=broadcast_bytes)
+    records = {(r.sheet_id, r.row_idx): r.record for r in at_once.collect()}
+    assert records == {(r.sheet_id, r.row_idx): r.record for r in step_by_step.collect()}
+    assert records[("1", 5)] == {"id": "3", "na_me": "", "": "", "1": ""} and len(records) == 3
+
+
+def test_extents_combine_by_hash_before_the_shuffle(make_grid):
+    from gridframe.operators.extent import sheet_extents
+
+    plan = sheet_extents(make_grid([["a"]]))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
 def test_stored_grid_prunes_by_sheet(spark, tmp_path, make_grid, lines):
     grid = make_grid({("w", str(s), f"T{s}"): [[str(s), str(r)] for r in range(20)] for s in range(6)})
     path = str(tmp_path / "grid")

@@ -153,6 +153,15 @@ def test_read_after_refresh_is_the_rendered_frame(spark, make_grid):
     assert back.exceptAll(text).count() == 0 and text.exceptAll(back).count() == 0
 
 
+def test_refresh_reads_its_sheet_by_pushed_filters(spark, tmp_path, make_grid):
+    path = str(tmp_path / "grid")
+    gf.write_grid(make_grid({("wb", str(s), f"T{s}"): [["x"]] for s in range(3)}), path)
+    new = gf.refresh(gf.read_grid(spark, path), spark.range(3).select("id"), "wb", "1", 1, "A", ["id"])
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(workbook_id,wb), EqualTo(sheet_id,1)" in plan
+    assert new.filter("sheet_id = '1'").count() == 4 and new.count() == 6
+
+
 def test_refresh_joins_once(spark, make_grid):
     df = spark.range(1000).select("id")
     grid = spark.range(1000).select(

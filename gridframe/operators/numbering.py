@@ -28,8 +28,8 @@ def number_rows(
 
     ``order_by`` is an ascending key. Bounds sampled from it split the rows into
     ordered buckets; a count per bucket gives where each bucket starts. Both
-    passes read the key columns only. The rows are then shuffled once, by
-    bucket. The driver holds the bounds and one count per bucket.
+    passes read the key columns only. The rows are then shuffled once, a
+    partition per bucket. The driver holds the bounds and one count per bucket.
 
     The key should be unique. Rows that tie are ordered by a hash of the whole
     row, which keeps the result the same when a task runs again. A key heavy
@@ -57,8 +57,9 @@ def number_rows(
     starts = list(accumulate((counts.get(b, 0) for b in range(max(counts, default=0))), initial=0))
     position = F.row_number().over(Window.partitionBy("__bucket").orderBy(*keys, tie_break))
     start = F.get(_constant(starts, T.ArrayType(T.LongType())), F.col("__bucket"))
-    numbered = df.withColumn("__bucket", bucket).withColumn(column, start + position - 1)
-    return numbered.drop("__bucket"), sum(counts.values())
+    # A partition per bucket: hashing bucket numbers would put several in one task and none in another.
+    bucketed = df.withColumn("__bucket", bucket).repartitionById(len(bounds) + 1, F.col("__bucket"))
+    return bucketed.withColumn(column, start + position - 1).drop("__bucket"), sum(counts.values())
 
 
 def _named(df: DataFrame, keys: list[Column]) -> list[Column]:

@@ -119,7 +119,7 @@ def test_assemble_rows(sheet, meta):
     assert json.loads(texts[1].row) == {"values": []}
 
 
-def test_readme_html_push(spark, sheet):
+def test_documented_html_push(spark, sheet):
     df = spark.createDataFrame(
         [('=HYPERLINK("test.com","1st test")',
           '<a href="test.com">2nd test</a> and <a href="test.com">3rd test</a>.',

@@ -39,7 +39,7 @@ def test_overlay_leaves_the_rest_untouched(spark, make_grid):
                 assert (cells[c] if c < len(cells) else "") == new
 
 
-def test_readme_write_block(make_grid, lines):
+def test_documented_write_block(make_grid, lines):
     block = make_grid([["Name", "Age"], ["Alice", "28"], ["Bob", "35"]])
     assert lines(gf.overlay(make_grid([]), block, 0, 0)) == [["Name", "Age"], ["Alice", "28"], ["Bob", "35"]]
 
@@ -93,7 +93,7 @@ def test_batch_address_with_colon_title(make_grid):
 PEOPLE = [("John Doe", 25), ("Jane Doe", 28), ("Bob Smith", 30)]
 
 
-def test_readme_refresh(spark, make_grid, lines):
+def test_documented_refresh(spark, make_grid, lines):
     df = spark.createDataFrame(PEOPLE, "name string, age bigint")
     old = make_grid({("wb", "0", "Sheet1"): [["keep"]] + [[f"o{r}", f"p{r}", f"q{r}"] for r in range(8)], ("wb", "1", "Other"): [["x"]]})
     new = gf.refresh(old, df, "wb", "Sheet1", 2, "A", ["name"], starting_row_filter_index=1, starting_column_filter_index=0,

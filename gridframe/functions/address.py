@@ -8,8 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters in the name of the largest 64-bit column number.
-MAX_LETTERS = 14
+# Enough letters for eight billion columns.
+MAX_LETTERS = 7
 
 
 def col_letters(number: Column) -> Column:

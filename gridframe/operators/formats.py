@@ -27,7 +27,7 @@ Patch = Callable[[Cell, Types], dict[str, Column]]
 
 def _all_null(data_type: T.StructType) -> Column:
     """A struct that is there but has nothing set; ``withField`` on a null struct stays null."""
-    return F.struct(*[F.lit(None).cast(field.dataType).alias(field.name) for field in data_type])
+    return F.from_json(F.lit("{}"), data_type)
 
 
 def _with(struct: Column, fields: Mapping[str, str | int | None]) -> Column:
@@ -100,7 +100,7 @@ def merge_patch(cell: Cell, types: Types) -> dict[str, Column]:
     def later_wins(merged: Column, run: Column) -> Column:
         return F.struct(*[F.coalesce(run["format"][name], merged[name]).alias(name) for name in format_type.names])
 
-    merged = F.aggregate(runs, _all_null(format_type).cast(format_type), later_wins)
+    merged = F.aggregate(runs, _all_null(format_type), later_wins)
     return {"text_format_runs": F.when(wanted, _linked(cell, run_type, merged)).otherwise(cell["text_format_runs"])}
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import check, table, unpivoted
+from checks.registry import check, spread, table, unpivoted
 
 # Small enough for several buckets at the smallest scale the checks run at.
 ROWS_PER_BUCKET = 2_000
@@ -23,7 +23,7 @@ EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 @check(text_sql({c: f"{c}::varchar" for c in LINEITEM}, "lineitem"))
 def stringify(spark, sf_dir):
-    return gf.stringify(table(spark, sf_dir, "lineitem").select(*LINEITEM))
+    return gf.stringify(spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(*LINEITEM))
 
 
 @check(text_sql({c: f"{c}::varchar" for c in ORDERS}, "orders"))
@@ -43,7 +43,7 @@ def stringify_orders(spark, sf_dir):
 ))
 def stringify_events(spark, sf_dir):
     """Microsecond times, dates, and doubles on both sides of the fixed-point layout."""
-    more = table(spark, sf_dir, "events").select(
+    more = spread(table(spark, sf_dir, "events"), "event_id").select(
         *EVENTS,
         (F.col("value") * 1e12).alias("scaled"),
         (F.col("value") * 1e-7).alias("tiny"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import check, table
+from checks.registry import check, spread, table
 
 FORMAT = "struct<horizontalAlignment:string,verticalAlignment:string,wrapStrategy:string,textFormat:struct<fontFamily:string,fontSize:int>>"
 
@@ -45,7 +45,7 @@ def events_metadata(spark, sf_dir):
     last = F.array(cell(F.col("event_id"), effective, user), cell(F.col("user_id"), none, none))
     without_cells = F.when(F.lit(False), last)
     rows = F.array(*[F.struct(cells.alias("values")) for cells in (top, without_cells, last)])
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.lit("wb").alias("workbook_id"), F.col("event_id").cast("string").alias("sheet_id"), F.to_json(rows).alias("row_data")
     )
 

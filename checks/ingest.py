@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import as_grid, check, row_of, table, unpivoted
+from checks.registry import as_grid, check, row_of, spread, table, unpivoted
 
 CUSTOMER_HEADER = ["Cust Key", "Name", "Nation-Key", "Acct Bal ($)", "Mkt  Segment", "NAME"]
 
@@ -24,7 +24,7 @@ def values_to_grid(spark, sf_dir):
         F.array(F.col("o_orderpriority"), F.nullif("o_orderstatus", F.lit("F")), text("o_custkey")),
     )
     body = F.to_json(F.struct(F.lit("Orders!A1:C3").alias("range"), F.lit("ROWS").alias("majorDimension"), rows.alias("values")))
-    bodies = table(spark, sf_dir, "orders").select(text("o_orderkey").alias("sheet_id"), body.alias("body"))
+    bodies = spread(table(spark, sf_dir, "orders"), "o_orderkey").select(text("o_orderkey").alias("sheet_id"), body.alias("body"))
     return gf.grid_to_cells(gf.values_to_grid(bodies, "body")).drop("workbook_id")
 
 
@@ -129,7 +129,7 @@ def unique_names(spark, sf_dir):
 def clean_names(spark, sf_dir):
     """Whole document texts as names."""
     names = gf.clean_names(F.array("text", "source", "lang"))
-    cleaned = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(names).alias("position", "name"))
+    cleaned = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.posexplode(names).alias("position", "name"))
     return cleaned.select("doc_id", "position", F.length("name").alias("n_chars"), F.md5("name").alias("name_md5"))
 
 

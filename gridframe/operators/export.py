@@ -134,7 +134,7 @@ def to_html_table(
     )
     if total == 0:
         # A table without rows still has its tags.
-        rows = df.sparkSession.range(1).select(F.col("id").alias("fragment_no"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
+        rows = df.sparkSession.range(0, 1, 1, numPartitions=1).select(F.col("id").alias("fragment_no"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
     ordered = F.array_sort(F.collect_list("row"))
     body = F.array_join(F.transform(ordered, lambda row: row["html"]), "")
     return rows.groupBy("fragment_no").agg(body.alias("body")).select(

@@ -66,7 +66,7 @@ def refresh(
             end_col = max(0, col_count - preserve_last_n_columns)
 
     titles = F.array(*[F.lit(name) for name in df.columns])
-    header = df.sparkSession.range(1).select(F.lit(row - 1).cast("bigint").alias("row_idx"), titles.alias("__block"))
+    header = df.sparkSession.range(0, 1, 1, numPartitions=1).select(F.lit(row - 1).cast("bigint").alias("row_idx"), titles.alias("__block"))
     block = header.unionAll(body.select(F.col("row_idx") + row, "cells"))
 
     sheet_id, sheet_title = _identity(sheet, str(sheet_name_or_id))

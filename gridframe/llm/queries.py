@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, langid, setsketch
+from gridframe.llm import bpe, covertree, langid, setsketch
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, three-word shingles, similarity 0.85."""
     found = setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products of every hundredth vector with all others."""
+    return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

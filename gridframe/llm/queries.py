@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, covertree, langid, setsketch
+from gridframe.llm import bpe, covertree, kmeans_tree, langid, setsketch
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest inner products of every hundredth vector with all others."""
     return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every fiftieth vector, by cosine."""
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, setsketch
+from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, secret_scan, setsketch, url_filter
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,35 @@ def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     return chat.digests(chat.format_conversations(rows.withColumn("parts", chat.text_part(F.col("text")))))
+
+
+@query
+def op7_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base kinds, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger, paths = secret_scan.scan(docs, path="doc_id")
+    found = secret_scan.findings(paths, ledger)
+    base = F.filter("spans", lambda s: s["kind"].isin(*[rule.kind for rule in secret_scan.BASE_RULES]))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[count(rule.kind) for rule in secret_scan.BASE_RULES],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+URL_RULES = (
+    url_filter.UrlRule("allow", "com", "/"),
+    url_filter.UrlRule("block", "example.com", "/en/"),
+    url_filter.UrlRule("allow", "www.example.com", "/en/"),
+    url_filter.UrlRule("block", "net", "/es/"),
+    url_filter.UrlRule("block", "net", "/fr/"),
+)
+
+
+@query
+def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL, by rule or by its host's templates."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, secret_scan, setsketch, url_filter
+from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, mixing, pii, secret_scan, setsketch, url_filter
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,17 @@ def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL, by rule or by its host's templates."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+@query
+def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, in the order of training."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
+    return mixed.orderBy(first, "source", "doc_id").select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+
+
+@query
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))

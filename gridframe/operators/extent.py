@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,20 +19,25 @@ CHUNK_ROWS = 1_000_000
 
 def checkpoint_once(df: DataFrame) -> DataFrame:
     """Compute a small derived table once; later plans read the stored result."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for stored intermediate tables, which all executors share.
+
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only local mode
+    makes one of its own where that is unset.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="gridframe-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            shared = tempfile.mkdtemp(prefix="gridframe-checkpoint-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
 
 
 def sheet_extents(grid: DataFrame, content: Column | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ MOST_REPEATS = 3
 SCHEDULES = ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))
 # Documents of a bucket of the order, on average.
 BUCKET_ROWS = 20_000
-SPACE = 1 << 40
+SPACE, SEED = 1 << 40, 11
 
 
 def words_in(text: Column) -> Column:
@@ -63,8 +63,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
     return ranked.select("source", "source_size", "no", F.least("most", F.col("weight") * level).alias("target"))
 
 
-def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, most: float = MOST_REPEATS, schedules: Sequence[tuple[float, float]] = SCHEDULES, seed: int = 11, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken, positions`` for each row of ``df``.
+def order_of(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """Place of a document in its source's fixed order."""
+    return F.pmod(F.xxhash64(F.lit(seed), doc_id.cast("string"), text), F.lit(SPACE))
+
+
+def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, most: float = MOST_REPEATS, schedules: Sequence[tuple[float, float]] = SCHEDULES, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``doc_id, order, source, size, source_size, target, copies, taken, positions`` for each row of ``df``.
 
     ``copies`` is how often the mix takes the document, ``taken`` its words times
     that, ``positions`` the training times of the copies, from 0 to 1. A source
@@ -78,7 +83,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     are not looked at.
     """
     body = F.col(f"`{text}`")
-    order = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("string"), body), F.lit(SPACE))
+    order = order_of(F.col(f"`{doc_id}`"), body, seed)
     docs = checkpoint_once(df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), words_in(body).alias("size"), order.alias("order")))
     per_source = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     per_source = checkpoint_once(per_source)
@@ -111,7 +116,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     share_of = lambda i: F.least(F.lit(1.0), (F.col("middle") + i * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0)))
     numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>"))
     positions = F.transform(numbers, lambda i: time(share_of(i)))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), positions.alias("positions"))
+    return rows.select("doc_id", "order", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), positions.alias("positions"))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:

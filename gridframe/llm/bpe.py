@@ -23,11 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Pre-tokens a task remembers; reaching it empties the cache, results do not change.
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 300_000
 # Longer pre-tokens are rare and large, so they are not remembered.
 CACHE_LENGTH = 64
 # Texts are matched in runs of this many pre-tokens, so a very long text needs no list of all of them.
 RUN_TOKENS = 1_000_000
+# Bits of an id in the number that stands for a pair; vocabularies are far smaller.
+PAIR_BITS = 24
+# Texts whose results are handed back at a time.
+SLICE = 200
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
@@ -93,45 +97,56 @@ class PerfectHash:
         return number if self.keys[number] == key else None
 
 
-def merge_bytes(piece: bytes, rank_of) -> list[int]:
+def mergeable_pairs(tokens: list[bytes]) -> dict[int, int]:
+    """Id of the token that two tokens join to, by both their ids in one number."""
+    number = {token: i for i, token in enumerate(tokens)}
+    joined = {}
+    for i, token in enumerate(tokens):
+        for cut in range(1, len(token)):
+            left, right = number.get(token[:cut]), number.get(token[cut:])
+            if left is not None and right is not None:
+                joined[left << PAIR_BITS | right] = i
+    return joined
+
+
+def merge_bytes(piece: bytes, single: list[int], joined: dict[int, int]) -> list[int]:
     """Ids of a piece outside the vocabulary: the pair of least rank, leftmost first, merges until none is left.
 
     Parts are a doubly linked list over byte positions. The heap holds candidate
-    pairs; one that a merge has outdated is skipped when it comes up, so the work
-    is n log n for any length.
+    pairs, each as one number made of rank, position and the ids it would join;
+    one that a merge has outdated is skipped when it comes up. The work is
+    n log n for any length.
     """
     size = len(piece)
-    end = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    alive = [True] * size
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(left: int) -> None:
-        right = end[left]
-        if right < size:
-            rank = rank_of(piece[left : end[right]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, left, end[right]))
-
+    ids = [single[byte] for byte in piece]
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    bits = size.bit_length()
+    place_mask, lookup = (1 << bits) - 1, joined.get
+    heap = []
     for left in range(size - 1):
-        offer(left)
+        rank = lookup(ids[left] << PAIR_BITS | ids[left + 1])
+        if rank is not None:
+            heap.append(rank << bits | left)
+    heapq.heapify(heap)
     while heap:
-        _, left, stop = heapq.heappop(heap)
-        right = end[left]
-        if not alive[left] or right >= size or end[right] != stop:
+        first = heapq.heappop(heap)
+        rank, left = first >> bits, first & place_mask
+        right = after[left]
+        if ids[left] < 0 or right >= size or lookup(ids[left] << PAIR_BITS | ids[right]) != rank:
             continue
-        alive[right] = False
-        end[left] = stop
+        ids[left], ids[right] = rank, -1
+        after[left] = stop = after[right]
         if stop < size:
             before[stop] = left
-        offer(left)
-        if before[left] >= 0:
-            offer(before[left])
-    ids, at = [], 0
-    while at < size:
-        ids.append(rank_of(piece[at : end[at]]))
-        at = end[at]
-    return ids
+            rank = lookup(ids[left] << PAIR_BITS | ids[stop])
+            if rank is not None:
+                heapq.heappush(heap, rank << bits | left)
+        start = before[left]
+        if start >= 0:
+            rank = lookup(ids[start] << PAIR_BITS | ids[left])
+            if rank is not None:
+                heapq.heappush(heap, rank << bits | start)
+    return [i for i in ids if i >= 0]
 
 
 class Encoder(dict):
@@ -142,11 +157,12 @@ class Encoder(dict):
         self.table = table
         self.pattern = regex.compile(pattern)
         self.single = [table.get(bytes([byte])) for byte in range(256)]
+        self.joined = mergeable_pairs(table.keys)
 
     def __missing__(self, token: str) -> bytes:
         raw = token.encode("utf-8", "replace")
         number = self.table.get(raw)
-        ids = [number] if number is not None else merge_bytes(raw, self.table.get)
+        ids = [number] if number is not None else merge_bytes(raw, self.single, self.joined)
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= CACHE_LENGTH:
             if len(self) >= CACHE_TOKENS:
@@ -163,6 +179,23 @@ class Encoder(dict):
         return b"".join(runs)
 
 
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(ranks: str, pattern: str, table: PerfectHash) -> Encoder:
+    """The encoder of this worker process, which later tasks go on using."""
+    if (ranks, pattern) not in _encoders:
+        _encoders.clear()
+        _encoders[ranks, pattern] = Encoder(table, pattern)
+    return _encoders[ranks, pattern]
+
+
+def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for low in range(0, len(batch), SLICE):
+            yield batch.slice(low, SLICE)
+
+
 @lru_cache(maxsize=4)
 def perfect_hash(path: str) -> PerfectHash:
     return PerfectHash(read_ranks(path))
@@ -180,9 +213,9 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
     sent = df.sparkSession.sparkContext.broadcast(perfect_hash(ranks))
 
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(sent.value, pattern)
-        for batch in batches:
-            yield pa.array((encoder.encode(value.as_py() or "") for value in batch), pa.binary())
+        encoder = encoder_of(ranks, pattern, sent.value)
+        for part in slices(batches):
+            yield pa.array([encoder.encode(value.as_py() or "") for value in part], pa.binary())
 
     return df.withColumn(out, F.arrow_udf(encode_batches, T.BinaryType())(F.col(text)))
 
@@ -211,8 +244,8 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") ->
 
     def decode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = sent.value.keys
-        for batch in batches:
-            yield pa.array((decode_one(value.as_py(), tokens) for value in batch), pa.binary())
+        for part in slices(batches):
+            yield pa.array([decode_one(value.as_py(), tokens) for value in part], pa.binary())
 
     return df.withColumn(out, F.arrow_udf(decode_batches, T.BinaryType())(F.col(ids)))
 

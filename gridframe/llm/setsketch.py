@@ -10,17 +10,19 @@ about as often as their similarity.
 2. Bands of ``ROWS`` registers send classes to buckets. Two sets at the least
    similarity used here, 0.8, share no bucket with a probability below 4e-6
    (below 3e-9 at 0.85).
-3. Inside the buckets links are looked for in three passes, each followed by
-   connected components: with the class that leads most of a class's buckets;
-   with the class of another component that the sketches say is likeliest; then
-   with every class of another component in the same bucket. Pairs already
-   connected cannot change a component, so they are left out, and pairs whose
-   estimated similarity is more than ``MARGIN`` (over five standard errors)
-   below the limit are not verified.
-4. A link counts only if the full sets of both texts pass the limit.
-
-Large buckets are compared in pairs of blocks of ``BLOCK`` classes, so no group
-exceeds two blocks. Exact copies never meet each other in a bucket.
+3. Every class is verified against the class that leads most of its buckets.
+   Links give components; pairs of a similarity not far below the limit give
+   families, the places where most other links are.
+4. Inside a family, classes of different components are compared in blocks of
+   bounded size, each block holding a text once however many pairs it is in.
+   Across families, classes that share a bucket are compared by their sketches.
+   Pairs already connected cannot change a component, so they are left out, and
+   pairs whose likeliest similarity is more than ``MARGIN`` (over five standard
+   errors) below the limit are not verified. All other pairs are.
+5. A link counts only if the full sets of both texts pass the limit.
+
+Large buckets and families are compared in pairs of blocks, so no group exceeds
+two blocks. Exact copies never meet each other.
 """
 
 from __future__ import annotations
@@ -41,8 +43,12 @@ from gridframe.operators.extent import checkpoint_once
 REGISTERS, ROWS = 252, 6
 BASE, RATE, TOP = 1.02, 20.0, 65_534
 MARGIN = 0.12
-# Classes of a bucket that one task compares with as many others.
+# How far below the limit a pair still makes one family.
+FAMILY_MARGIN = 0.25
+# Classes of a bucket that are compared with as many others at a time.
 BLOCK = 1_500
+# Shingles of all texts in a block of a family, on average.
+FAMILY_SHINGLES = 250_000
 # Shingles of all texts that one verifying group holds, more only where a single text has more.
 GROUP_SHINGLES = 400_000
 # Word hashes a task remembers, and shingles it sketches at a time.
@@ -135,26 +141,95 @@ def similarity(equal: np.ndarray, greater: np.ndarray, sizes: np.ndarray, other_
     return grid[np.argmax(likelihood, axis=0), np.arange(len(share))]
 
 
-def likely_pairs(left: pd.DataFrame, right: pd.DataFrame, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places in ``left`` and ``right`` of pairs in different components whose estimated similarity reaches ``least``."""
-    first, second = (np.frombuffer(b"".join(x["sketch"]), np.uint16).reshape(-1, REGISTERS) for x in (left, right))
-    second_part, second_size, second_rep = (right[c].to_numpy() for c in ("component", "n_shingles", "rep"))
-    for i, (part, size, rep) in enumerate(zip(left["component"], left["n_shingles"], left["rep"])):
-        ratio = np.minimum(size, second_size) / np.maximum(size, second_size)
-        j = np.flatnonzero((second_part != part) & (ratio >= least) & (second_rep != rep))
-        if not len(j):
-            continue
-        equal = (second[j] == first[i]).sum(axis=1)
-        # Equal registers alone rule out most pairs; the small allowance is for those that are equal by chance.
-        near = equal >= (least - 0.05) * REGISTERS
-        j, equal = j[near], equal[near]
-        if not len(j):
-            continue
-        greater = (first[i] > second[j]).sum(axis=1)
-        value = similarity(equal, greater, np.full(len(j), float(size)), second_size[j].astype(float))
-        keep = value >= least
-        if keep.any():
-            yield np.full(keep.sum(), i), j[keep], value[keep]
+def allowed(equal: np.ndarray, greater: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs may reach the limit: their likeliest similarity is at least ``least``."""
+    return similarity(equal, greater, sizes.astype(float), other_sizes.astype(float)) >= least if len(equal) else np.zeros(0, bool)
+
+
+def likely_pairs(rows: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of one group, but of different families (and blocks, if the group has two), that may reach the limit.
+
+    Rows of a group are consecutive. All groups are compared at once: every row
+    with the next one, then with the one after it, until no two rows so far
+    apart share a group. A pair is given in the first band it shares only.
+    """
+    sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(len(rows), REGISTERS)
+    group = rows.groupby(["bucket", "low", "high"], sort=False).ngroup().to_numpy()
+    family, sizes, band, block = (rows[c].to_numpy() for c in ("family", "n_shingles", "band", "block"))
+    single = (rows["low"] == rows["high"]).to_numpy()
+    lefts, rights = [], []
+    for step in range(1, len(rows)):
+        near = np.flatnonzero(group[:-step] == group[step:])
+        if not len(near):
+            break
+        other = near + step
+        wanted = (family[near] != family[other]) & (single[near] | (block[near] != block[other]))
+        wanted &= np.minimum(sizes[near], sizes[other]) >= least * np.maximum(sizes[near], sizes[other])
+        near = near[wanted]
+        for low in range(0, len(near), 10_000):
+            i = near[low : low + 10_000]
+            j = i + step
+            same = sketches[i] == sketches[j]
+            equal = same.sum(axis=1)
+            # Equal registers alone rule out most pairs; the small allowance is for those that are equal by chance.
+            close = np.flatnonzero(equal >= (least - 0.05) * REGISTERS)
+            close = close[same[close].reshape(len(close), REGISTERS // ROWS, ROWS).all(axis=2).argmax(axis=1) == band[i[close]]]
+            i, j, equal = i[close], j[close], equal[close]
+            keep = allowed(equal, (sketches[i] > sketches[j]).sum(axis=1), sizes[i], sizes[j], least)
+            lefts.append(i[keep])
+            rights.append(j[keep])
+    empty = [np.zeros(0, np.int64)]
+    return np.concatenate(lefts or empty), np.concatenate(rights or empty)
+
+
+def common(one: np.ndarray, other: np.ndarray) -> int:
+    """Number of values that two sorted sets share."""
+    if len(one) > len(other):
+        one, other = other, one
+    place = np.searchsorted(other, one)
+    place[place == len(other)] = 0
+    return int((other[place] == one).sum()) if len(other) else 0
+
+
+def family_links(reps: list[int], parts: list[int], sides: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of one family's block, or of two blocks across ``sides``, as far as they can be joined.
+
+    Components that a link has joined are one from then on, so a link is given
+    only where it joins two.
+    """
+    root: dict[int, int] = {part: part for part in parts}
+
+    def find(part: int) -> int:
+        while root[part] != part:
+            root[part] = root[root[part]]
+            part = root[part]
+        return part
+
+    sizes, side = np.array([len(s) for s in sets]), np.array(sides)
+    sketches, least = registers(sets), percent / 100 - MARGIN
+    across = side.min() != side.max()
+    label = np.array(parts)
+    links = []
+    for i in range(len(reps)):
+        later = slice(i + 1, None)
+        wanted = label[later] != label[i]
+        if across:
+            wanted &= side[later] != side[i]
+        wanted &= 100 * np.minimum(sizes[later], sizes[i]) >= percent * np.maximum(sizes[later], sizes[i])
+        j = np.flatnonzero(wanted) + i + 1
+        equal = (sketches[j] == sketches[i]).sum(axis=1)
+        close = equal >= (least - 0.05) * REGISTERS
+        j, equal = j[close], equal[close]
+        j = j[allowed(equal, (sketches[i] > sketches[j]).sum(axis=1), np.full(len(j), sizes[i]), sizes[j], least)]
+        for k in j:
+            if find(parts[i]) != find(parts[k]):
+                both = common(sets[i], sets[k])
+                if 100 * both >= percent * (len(sets[i]) + len(sets[k]) - both):
+                    links.append((reps[i], reps[k]))
+                    gone, stays = find(parts[k]), find(parts[i])
+                    root[gone] = stays
+                    label[label == gone] = stays
+    return links
 
 
 SKETCHED = "id bigint, n_shingles bigint, d1 bigint, d2 bigint, sketch binary"
@@ -193,7 +268,7 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _bucket_entries(classes: DataFrame) -> DataFrame:
-    """``bucket, rep``, one row for each band of each class."""
+    """``bucket, band, rep``, one row for each band of each class."""
 
     def keys(sketches: pa.Array) -> pa.Array:
         table = np.frombuffer(b"".join(sketches.to_pylist()), np.uint16).reshape(len(sketches), REGISTERS)
@@ -202,73 +277,94 @@ def _bucket_entries(classes: DataFrame) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     keys_of = F.arrow_udf(keys, T.ArrayType(T.LongType()))
-    return classes.select("rep", F.explode(keys_of("sketch")).alias("bucket"))
+    return classes.select("rep", F.posexplode(keys_of("sketch")).alias("band", "bucket"))
+
+
+def checked_sets(group: pd.DataFrame, width: int) -> dict[int, np.ndarray]:
+    """Shingle set of each class of a group; a text that is not the class's own (its id stands twice) is passed over."""
+    hashes, sets = WordHashes(), {}
+    for rep, text, digest in zip(group["rep"], group["text"], group["d1"]):
+        if rep not in sets:
+            found = shingle_set(text, width, hashes)
+            if np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)[0] == digest:
+                sets[rep] = found
+    return sets
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets pass the limit.
+def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``a, b, both, either`` of the distinct pairs ``a, b``: sizes of intersection and union of the full shingle sets.
 
     ``texts`` has ``rep, text, n_shingles, d1``. The pairs of one ``a`` go in
     groups of bounded size, each with one copy of its text.
     """
     pairs = pairs.select("a", "b").distinct()
-    sizes = texts.select(F.col("rep").alias("b"), "n_shingles")
-    pairs = pairs.join(sizes, "b")
+    pairs = pairs.join(texts.select(F.col("rep").alias("b"), "n_shingles"), "b")
     groups = pairs.groupBy("a").agg(F.ceil(F.sum("n_shingles") / GROUP_SHINGLES).alias("groups"))
-    pairs = checkpoint_once(pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.greatest(F.col("groups"), F.lit(1))).alias("part")))
+    pairs = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.greatest(F.col("groups"), F.lit(1))).alias("part"))
+    pairs = checkpoint_once(pairs)
     wanted = pairs.select(F.col("b").alias("rep"), "a", "part").union(pairs.select(F.col("a").alias("rep"), "a", "part").distinct())
     members = wanted.join(texts.select("rep", "text", "d1"), "rep")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        hashes, sets = WordHashes(), {}
-        for rep, text, digest in zip(group["rep"], group["text"], group["d1"]):
-            found = shingle_set(text, width, hashes)
-            if rep not in sets and np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)[0] == digest:
-                sets[rep] = found
-        leader = group["a"].iloc[0]
-        linked = []
-        for rep, other in sets.items():
-            if rep != leader and leader in sets:
-                both = len(np.intersect1d(sets[leader], other, assume_unique=True))
-                if 100 * both >= percent * (len(sets[leader]) + len(other) - both):
-                    linked.append(rep)
-        return pd.DataFrame({"a": np.full(len(linked), leader, np.int64), "b": np.array(linked, np.int64)})
-
-    return members.groupBy("a", "part").applyInPandas(compare, "a bigint, b bigint")
-
-
-def _crossing(entries: DataFrame, parts: DataFrame, classes: DataFrame, least: float, best_only: bool) -> DataFrame:
-    """Likely pairs ``a, b, value`` across components within buckets, each class's best one or all of them."""
-    placed = entries.join(parts, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = checkpoint_once(mixed.filter("low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    placed = placed.join(mixed, "bucket").join(classes.select("rep", "n_shingles", "sketch"), "rep")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    # A class meets each block of its bucket once; the pair of blocks is named low block first.
-    spread = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    spread = spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        sets, leader = checked_sets(group, width), group["a"].iloc[0]
+        others = [rep for rep in sets if rep != leader and leader in sets]
+        both = np.array([common(sets[leader], sets[rep]) for rep in others], np.int64)
+        sizes = np.array([len(sets[leader]) + len(sets[rep]) for rep in others], np.int64)
+        return pd.DataFrame({"a": np.full(len(others), leader, np.int64), "b": np.array(others, np.int64), "both": both, "either": sizes - both})
+
+    return members.groupBy("a", "part").applyInPandas(compare, "a bigint, b bigint, both bigint, either bigint")
+
+
+def _blocks(df: DataFrame) -> DataFrame:
+    """Rows once for each block they meet: ``low`` and ``high`` name the pair of blocks. ``blocks`` is the number of them."""
+    placed = df.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)")))
+    return spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+
+def _inside_families(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join components of one family; ``placed`` has ``rep, family, component, n_shingles``."""
+    mixed = placed.groupBy("family").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.sum("n_shingles").alias("n"))
+    mixed = mixed.filter("first < last").select("family", F.greatest(F.lit(1), F.ceil(F.col("n") / FAMILY_SHINGLES)).alias("blocks"))
+    members = _blocks(placed.drop("n_shingles").join(checkpoint_once(mixed), "family"))
+    members = members.join(texts.select("rep", "text", "d1"), "rep")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        one = group["low"].iloc[0] == group["high"].iloc[0]
-        left = group if one else group[group["block"] == group["low"]]
-        right = group if one else group[group["block"] == group["high"]]
-        found = list(likely_pairs(left, right, least))
-        if not found:
-            return pd.DataFrame({"a": [], "b": [], "value": []})
-        i, j, value = map(np.concatenate, zip(*found))
-        a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
-        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "value": value}).drop_duplicates(["a", "b"])
-        if best_only:
-            ranked = pd.concat([pairs.assign(of=pairs["a"]), pairs.assign(of=pairs["b"])]).sort_values(["value", "a", "b"], ascending=[False, True, True])
-            pairs = ranked.drop_duplicates("of")[["a", "b", "value"]].drop_duplicates(["a", "b"])
-        return pairs
-
-    pairs = spread.groupBy("bucket", "low", "high").applyInPandas(compare, "a bigint, b bigint, value double")
-    if not best_only:
-        return pairs.select("a", "b").distinct()
-    ends = pairs.withColumn("of", F.explode(F.array("a", "b")))
-    best = ends.groupBy("of").agg(F.max(F.struct("value", -F.col("a"), -F.col("b"))).alias("best"))
-    return best.select((-F.col("best.col2")).alias("a"), (-F.col("best.col3")).alias("b")).distinct()
+        sets = checked_sets(group, width)
+        facts = group.drop_duplicates("rep").set_index("rep").loc[list(sets)]
+        links = family_links(list(sets), list(facts["component"]), list(facts["block"]), list(sets.values()), percent) if sets else []
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    return members.groupBy("family", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+
+
+def _across_families(entries: DataFrame, placed: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` of different families in one bucket that may reach the limit."""
+    known = entries.join(placed.select("rep", "family"), "rep")
+    mixed = known.groupBy("bucket").agg(F.min("family").alias("first"), F.max("family").alias("last"), F.count("*").alias("n"))
+    mixed = mixed.filter("first < last").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    known = _blocks(known.join(checkpoint_once(mixed), "bucket")).drop("other", "blocks")
+    known = known.join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    keys = ["bucket", "low", "high"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+            i, j = likely_pairs(rows, least)
+            a, b = rows["rep"].to_numpy()[i], rows["rep"].to_numpy()[j]
+            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+        held = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            # The last group may go on in the next batch.
+            last = (held[keys] == held[keys].iloc[-1]).all(axis=1).to_numpy()
+            yield pairs(held[~last])
+            held = held[last]
+        if held is not None:
+            yield pairs(held)
+
+    sorted_rows = known.repartition(*keys).sortWithinPartitions(*keys)
+    return sorted_rows.mapInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -303,13 +399,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
     led = entries.filter("leader <> rep").groupBy("rep", "leader").count()
     led = led.groupBy("rep").agg(F.max(F.struct("count", -F.col("leader"))).alias("best"))
-    links = checkpoint_once(verify(led.select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b")), texts, width, percent))
-    least = percent / 100 - MARGIN
-    for best_only in (True, False):
-        parts = connected_components(links).withColumnRenamed("node", "rep")
-        pairs = _crossing(entries.select("bucket", "rep"), parts, classes, least, best_only)
-        links = checkpoint_once(links.union(verify(pairs, texts, width, percent)))
-    parts = connected_components(links).withColumnRenamed("node", "rep")
+    checked = verify(led.select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b")), texts, width)
+    checked = checkpoint_once(checked.withColumn("linked", 100 * F.col("both") >= percent * F.col("either")))
+    links = checked.filter("linked").select("a", "b")
+    near = checked.filter(F.col("both") >= (percent / 100 - FAMILY_MARGIN) * F.col("either"))
+    placed = facts.select("rep", "n_shingles")
+    for name, found in (("component", links), ("family", near)):
+        placed = placed.join(connected_components(found.select("a", "b")).toDF("rep", name), "rep", "left")
+        placed = placed.withColumn(name, F.coalesce(name, "rep"))
+    placed = checkpoint_once(placed)
+
+    inside = _inside_families(placed, texts, width, percent)
+    across = verify(_across_families(entries.select("bucket", "band", "rep"), placed, classes, percent / 100 - MARGIN), texts, width)
+    across = across.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
+    parts = connected_components(links.union(inside).union(across)).withColumnRenamed("node", "rep")
 
     named = named.join(parts, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     joined = sketched.select("id", "n_shingles", "d1", "d2").join(checkpoint_once(named), ["d1", "d2"], "left")

@@ -63,6 +63,7 @@ def test_same_components_as_all_pairs(spark, width, percent):
 def test_large_bucket_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(setsketch, "BLOCK", 7)
     monkeypatch.setattr(setsketch, "GROUP_SHINGLES", 500)
+    monkeypatch.setattr(setsketch, "FAMILY_SHINGLES", 900)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(90)]
     rows = list(enumerate(altered(rng, base, 0.03) for _ in range(80)))

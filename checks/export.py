@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import check, spread, table, unpivoted
+from checks.registry import check, table, unpivoted
 
 # Small enough for several buckets at the smallest scale the checks run at.
 ROWS_PER_BUCKET = 2_000
@@ -23,7 +23,7 @@ EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 @check(text_sql({c: f"{c}::varchar" for c in LINEITEM}, "lineitem"))
 def stringify(spark, sf_dir):
-    return gf.stringify(spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(*LINEITEM))
+    return gf.stringify(table(spark, sf_dir, "lineitem").select(*LINEITEM))
 
 
 @check(text_sql({c: f"{c}::varchar" for c in ORDERS}, "orders"))
@@ -43,7 +43,7 @@ def stringify_orders(spark, sf_dir):
 ))
 def stringify_events(spark, sf_dir):
     """Microsecond times, dates, and doubles on both sides of the fixed-point layout."""
-    more = spread(table(spark, sf_dir, "events"), "event_id").select(
+    more = table(spark, sf_dir, "events").select(
         *EVENTS,
         (F.col("value") * 1e12).alias("scaled"),
         (F.col("value") * 1e-7).alias("tiny"),
@@ -140,3 +140,25 @@ def to_html_table(spark, sf_dir):
     return gf.to_html_table(
         table(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), ["c_custkey"], table_style="color:navy", rows_per_fragment=400
     )
+
+
+@check("""
+    select o_orderkey, (p * 0.000001::decimal(9, 6))::varchar as price, (-p)::varchar as negative, case when o_orderkey % 7 = 0 then '0.00000000' else '0.00000001' end as smallest
+    from (select o_orderkey, case when o_orderkey % 7 = 0 then 0 else o_totalprice end::decimal(18, 2) as p from orders)
+""")
+def stringify_decimals(spark, sf_dir):
+    """Decimals of small scale and zeros, with all digits of their scale."""
+    seventh = F.col("o_orderkey") % 7 == 0
+    price = F.when(seventh, 0).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
+    smallest = F.when(seventh, F.lit("0")).otherwise(F.lit("0.00000001")).cast("decimal(20,8)")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey"), (price * F.lit("0.000001").cast("decimal(9,6)")).alias("price"), (-price).alias("negative"), smallest.alias("smallest")
+    )
+    return gf.stringify(orders).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+@check("select event_type, row_number() over (order by event_type) - 1 as row_idx from events")
+def number_rows_with_copies(spark, sf_dir):
+    """Nothing but exact copies, far more of each than a bucket holds."""
+    numbered, _ = gf.number_rows(table(spark, sf_dir, "events").select("event_type"), ["event_type"], rows_per_bucket=500)
+    return numbered

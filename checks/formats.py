@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import check, spread, table
+from checks.registry import check, table
 
 FORMAT = "struct<horizontalAlignment:string,verticalAlignment:string,wrapStrategy:string,textFormat:struct<fontFamily:string,fontSize:int>>"
 
@@ -45,7 +45,7 @@ def events_metadata(spark, sf_dir):
     last = F.array(cell(F.col("event_id"), effective, user), cell(F.col("user_id"), none, none))
     without_cells = F.when(F.lit(False), last)
     rows = F.array(*[F.struct(cells.alias("values")) for cells in (top, without_cells, last)])
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return table(spark, sf_dir, "events").select(
         F.lit("wb").alias("workbook_id"), F.col("event_id").cast("string").alias("sheet_id"), F.to_json(rows).alias("row_data")
     )
 
@@ -256,3 +256,67 @@ def cell_links_formulas(spark, sf_dir):
         F.lit('=HYPERLINK("'), "p_brand", F.lit('","'), "p_name", F.lit('") and <a class=\'k\' href="'), "p_type", F.lit('">'), "p_brand", F.lit("</a>")
     )
     return gf.cell_links(table(spark, sf_dir, "part").withColumn("cell", cell), "cell", keep=["p_partkey"])
+
+
+@check("""
+    select page_id, unnest([1, 2, 3, 4, 5, 6])::int as ord, unnest([url, url, url, url || '?a&b', url, url]) as uri,
+        unnest(['one', 'two', 'three <b>x</b>', 'four', 'say "five"', url]) as text
+    from pages
+""")
+def cell_links_of_known_targets(spark, sf_dir):
+    """The same target in every form of an anchor and of a formula, between things that are no links."""
+    url = F.col("url")
+    cell = F.concat(
+        F.lit('<a data-href="no" href="'), url, F.lit('">one</a> <a name=x>no</a><a href=\''), url, F.lit("' class=k>two</a> <a href='open'>"),
+        F.lit("<A HREF = "), url, F.lit(">three <b>x</b></A > <a title='a > b' href=\""), url, F.lit('?a&amp;b">four</a> =HYPERLINK( "'),
+        url, F.lit('" ; "say ""five""") and =hyperlink("'), url, F.lit('")'),
+    )
+    return gf.cell_links(table(spark, sf_dir, "pages").withColumn("cell", cell), "cell", keep=["page_id"])
+
+
+def events_with_unknown_members(spark, sf_dir):
+    """A cell per event with members that no schema names, on every level."""
+    text, number = F.col("event_type"), F.col("event_id").cast("string")
+    saved = F.concat(
+        F.lit('[{"values":[{"formattedValue":"'), number, F.lit('","hyperlink":"http://h/'), number,
+        F.lit('","dataValidation":{"strict":true,"id":'), number, F.lit('},"effectiveValue":{"errorValue":{"type":"'), text,
+        F.lit('"}},"effectiveFormat":{"padding":{"top":'), number, F.lit('},"textFormat":{"fontSize":9,"foregroundColorStyle":{"theme":"'), text,
+        F.lit('"}}},"userEnteredFormat":{"borders":{"top":{"style":"'), text, F.lit('"}},"textRotation":{"angle":45}},"textFormatRuns":[{"startIndex":0,"mark":"'),
+        text, F.lit('","format":{"bold":true,"chip":"'), number, F.lit('"}}]}]}]'),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.lit("wb").alias("workbook_id"), number.alias("sheet_id"), saved.alias("row_data")
+    )
+
+
+@check("""
+    select event_id::varchar as sheet_id, event_id::varchar as formatted, event_id::varchar as validation, event_type as error, event_id::varchar as padding,
+        event_type as theme, event_type as user_theme, event_type as border, '45' as angle, '12' as size, 'CENTER' as horizontal, event_id::varchar as chip,
+        'http://h/' || event_id as link, 'true' as bold, true as no_note
+    from events
+""")
+def metadata_round_trip(spark, sf_dir):
+    """Patched and written back: unknown and untouched members are all there, absent ones stay absent."""
+    rows = gf.row_positions(events_with_unknown_members(spark, sf_dir))
+    written = gf.rows_json(gf.refresh_formats(rows, 0, horizontalAlignment="CENTER", fontSize=12, clear_first=False))
+    member = lambda path: F.get_json_object("row", f"$.values[0].{path}")
+    paths = {
+        "formatted": "formattedValue", "validation": "dataValidation.id", "error": "effectiveValue.errorValue.type", "padding": "effectiveFormat.padding.top",
+        "theme": "effectiveFormat.textFormat.foregroundColorStyle.theme", "user_theme": "userEnteredFormat.textFormat.foregroundColorStyle.theme",
+        "border": "userEnteredFormat.borders.top.style", "angle": "userEnteredFormat.textRotation.angle", "size": "effectiveFormat.textFormat.fontSize",
+        "horizontal": "userEnteredFormat.horizontalAlignment", "chip": "textFormatRuns[0].format.chip", "link": "textFormatRuns[0].format.link.uri",
+        "bold": "textFormatRuns[0].format.bold",
+    }
+    return written.select("sheet_id", *[member(path).alias(name) for name, path in paths.items()], member("note").isNull().alias("no_note"))
+
+
+@check("""
+    select o_orderkey as row_idx, unnest([2, 3])::int as col_idx, unnest([o_orderkey::varchar, o_orderstatus]) as text from orders
+""")
+def read_cell_meta_segments(spark, sf_dir):
+    """One sheet saved in a segment per order, each placed by its start row and column."""
+    saved = F.concat(F.lit('[{"values":[{"formattedValue":"'), F.col("o_orderkey").cast("string"), F.lit('"},{"formattedValue":"'), "o_orderstatus", F.lit('"}]}]'))
+    segments = table(spark, sf_dir, "orders").select(
+        F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.col("o_orderkey").alias("start_row"), F.lit(2).alias("start_col"), saved.alias("row_data")
+    )
+    return gf.read_cell_meta(segments).select("row_idx", "col_idx", F.col("formatted_value").alias("text"))

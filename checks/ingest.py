@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import gridframe as gf
-from checks.registry import as_grid, check, row_of, spread, table, unpivoted
+from checks.registry import as_grid, check, row_of, table, unpivoted
 
 CUSTOMER_HEADER = ["Cust Key", "Name", "Nation-Key", "Acct Bal ($)", "Mkt  Segment", "NAME"]
 
@@ -24,7 +24,7 @@ def values_to_grid(spark, sf_dir):
         F.array(F.col("o_orderpriority"), F.nullif("o_orderstatus", F.lit("F")), text("o_custkey")),
     )
     body = F.to_json(F.struct(F.lit("Orders!A1:C3").alias("range"), F.lit("ROWS").alias("majorDimension"), rows.alias("values")))
-    bodies = spread(table(spark, sf_dir, "orders"), "o_orderkey").select(text("o_orderkey").alias("sheet_id"), body.alias("body"))
+    bodies = table(spark, sf_dir, "orders").select(text("o_orderkey").alias("sheet_id"), body.alias("body"))
     return gf.grid_to_cells(gf.values_to_grid(bodies, "body")).drop("workbook_id")
 
 
@@ -129,7 +129,7 @@ def unique_names(spark, sf_dir):
 def clean_names(spark, sf_dir):
     """Whole document texts as names."""
     names = gf.clean_names(F.array("text", "source", "lang"))
-    cleaned = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.posexplode(names).alias("position", "name"))
+    cleaned = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(names).alias("position", "name"))
     return cleaned.select("doc_id", "position", F.length("name").alias("n_chars"), F.md5("name").alias("name_md5"))
 
 
@@ -212,3 +212,17 @@ def grid_to_records(spark, sf_dir):
         .unionAll(as_grid(supplier, F.col("s_suppkey") + 1, F.array(key("s_suppkey"), F.col("s_name"), key("s_nationkey")), "s", "Suppliers"))
     )
     return gf.grid_to_records(grid).select("sheet_id", "row_idx", F.explode("record").alias("name", "value"))
+
+
+@check("""
+    with c as (select (c_custkey % 5)::varchar as sheet_id, c_custkey, lower(c_mktsegment) as segment,
+        row_number() over (partition by c_custkey % 5, c_mktsegment order by c_custkey) - 1 as earlier from customer)
+    select sheet_id, segment || coalesce(nullif(earlier, 0)::varchar, '') as name, c_custkey::varchar as value from c
+""")
+def records_of_wide_headers(spark, sf_dir):
+    """Five sheets of hundreds of columns with few names, one record each."""
+    customer = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 5).alias("sheet"), "c_custkey", "c_mktsegment")
+    lists = customer.groupBy("sheet").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "c_mktsegment"))).alias("c"))
+    rows = F.array(F.col("c.c_mktsegment"), F.col("c.c_custkey").cast("array<string>"))
+    grid = as_grid(lists.select("sheet", F.posexplode(rows).alias("row", "cells")), "row", F.col("cells"), sheet_id=F.col("sheet"))
+    return gf.grid_to_records(grid).select("sheet_id", F.explode("record").alias("name", "value"))

@@ -1,9 +1,12 @@
 """Checks of addresses and of the region operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 import gridframe as gf
 from checks.registry import as_grid, check, table, unpivoted
+from gridframe.operators.extent import checkpoint_dir
 
 # Column letters in SQL, one case per length; each case takes off the shorter names first.
 LETTERS = """
@@ -41,8 +44,8 @@ def range_address(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
         gf.range_address(title, row, col).alias("write_at"),
-        gf.range_address(title, row, col, None, F.lit(26), for_write=False).alias("clear_to_end"),
-        gf.range_address(title, row, col, row + 10, F.lit(28)).alias("block"),
+        gf.range_address(title, row, col, None, 26, for_write=False).alias("clear_to_end"),
+        gf.range_address(title, row, col, row + 10, 28).alias("block"),
     )
 
 
@@ -127,9 +130,14 @@ def refresh(spark, sf_dir):
     "['o_orderkey', 'o_totalprice']", row=10, col=0, width=2, clear="row_idx >= 10 and i <= 3", hidden="false",
 ))
 def refresh_preserving_columns(spark, sf_dir):
-    """More rows than the sheet has; its last column stays."""
+    """More rows than the sheet has; of its six columns the last three stay, though its rows are four wide."""
     df = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return _refreshed(gf.refresh(customer_grid(spark, sf_dir), df, "wb", "0", 10, "A", ["o_orderkey"], preserve_last_n_columns=1))
+    sheets = spark.range(1).select(
+        F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.lit("Sheet1").alias("sheet_title"), F.lit(1000).alias("row_count"), F.lit(6).alias("col_count")
+    )
+    return _refreshed(gf.refresh(
+        customer_grid(spark, sf_dir), df, "wb", "0", 10, "A", ["o_orderkey"], sheets=sheets, preserve_last_n_columns=3, rows_per_bucket=2000
+    ))
 
 
 @check(refresh_sql(
@@ -148,7 +156,7 @@ def refresh_bounded(spark, sf_dir):
 @check("""
     with b as (select o_orderstatus as sheet_id, o_orderkey // 500 as batch_no, min(o_orderkey) as low, max(o_orderkey) as high,
         count(*)::int as n_filled from orders group by o_orderstatus, o_orderkey // 500)
-    select sheet_id, batch_no, case when sheet_id = 'P' then 'S:P' else sheet_id || '!A' || (low + 1) end as range_or_title,
+    select sheet_id, batch_no, case when sheet_id = 'P' then '''S:P''' else sheet_id end || '!A' || (low + 1) as range,
         (high - low + 1)::int as n_rows, n_filled, low::varchar as first_cell, high::varchar as last_cell
     from b
 """)
@@ -162,7 +170,7 @@ def write_batches(spark, sf_dir):
     return gf.write_batches(grid, rows_per_batch=500).select(
         "sheet_id",
         "batch_no",
-        F.col("range").alias("range_or_title"),
+        "range",
         F.size(values).alias("n_rows"),
         F.size(F.filter(values, lambda row: F.size(row) > 0)).alias("n_filled"),
         F.get(F.get(values, F.lit(0)), F.lit(0)).alias("first_cell"),
@@ -202,3 +210,96 @@ def column_widths_of_texts(spark, sf_dir):
     cells = F.array(F.col("doc_id").cast("string"), F.col("text"), F.col("source"))
     grid = as_grid(table(spark, sf_dir, "documents"), "doc_id", cells, sheet_id=F.col("lang"))
     return gf.column_widths(grid, start=1, end=3).select("sheet_id", "col_idx", "width")
+
+
+ROUND_TRIP_TITLE = "case o_orderstatus when 'F' then 'It''s: so' when 'O' then 'Hi! there' else '''P''!A1:B2' end"
+
+
+@check(f"""
+    select o_orderkey as row_idx, {ROUND_TRIP_TITLE} as sheet_title, unnest([0, 1])::int as col_idx,
+        unnest([o_orderkey::varchar, o_orderpriority]) as value from orders
+""")
+def write_batches_round_trip(spark, sf_dir):
+    """Sheets whose titles need quotes, written in many batches and read back where their addresses say."""
+    status = F.col("o_orderstatus")
+    title = F.when(status == "F", "It's: so").when(status == "O", "Hi! there").otherwise("'P'!A1:B2")
+    cells = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderpriority"))
+    grid = as_grid(table(spark, sf_dir, "orders"), "o_orderkey", cells, sheet_id=status, title=title)
+    bodies = gf.write_batches(grid, rows_per_batch=500).drop("sheet_title", "batch_no")
+    placed = gf.values_to_grid(bodies, positions="range")
+    return placed.select("row_idx", "sheet_title", F.posexplode("cells").alias("col_idx", "value"))
+
+
+@check("""
+    with recursive d(n, rest, letters) as (
+        select p_partkey, (p_partkey + 1) * 9999999967, '' from part
+        union all select n, (rest - 1) // 26, chr((65 + (rest - 1) % 26)::int) || letters from d where rest > 0)
+    select n as p_partkey, letters from d where rest = 0
+""")
+def col_letters_of_large_numbers(spark, sf_dir):
+    """Column numbers far beyond seven letters."""
+    number = (F.col("p_partkey") + 1) * F.lit(9999999967)
+    return table(spark, sf_dir, "part").select("p_partkey", gf.col_letters(number).alias("letters"))
+
+
+@check("""
+    select 'keep' as sheet_id, s_suppkey as row_idx, 0::int as col_idx, s_name as value, s_suppkey % 3 = 0 as hidden from supplier
+    union all select 'wide', s_suppkey, unnest([0, 1])::int, unnest([s_suppkey::varchar, s_name]), s_suppkey % 2 = 0 from supplier
+""")
+def stored_grid(spark, sf_dir):
+    """A grid with filtered rows, stored and read again."""
+    supplier = table(spark, sf_dir, "supplier")
+    keep = as_grid(supplier, "s_suppkey", F.array("s_name"), sheet_id="keep").withColumn("hidden", F.col("row_idx") % 3 == 0)
+    both = F.array(F.col("s_suppkey").cast("string"), "s_name")
+    wide = as_grid(supplier, "s_suppkey", both, sheet_id="wide").withColumn("hidden", F.col("row_idx") % 2 == 0)
+    path = f"{checkpoint_dir(spark)}/stored-grid-{uuid.uuid4().hex}"
+    gf.write_grid(keep.unionAll(wide), path)
+    return gf.read_grid(spark, path).select("sheet_id", "row_idx", F.posexplode("cells").alias("col_idx", "value"), "hidden")
+
+
+@check(refresh_sql(
+    "select row_number() over (order by s_suppkey) - 1 as row_idx, [s_suppkey::varchar, s_name] as block from supplier",
+    "['s_suppkey', 's_name']", row=3, col=1, width=2, clear="row_idx >= 3 and i >= 2",
+    hidden="row_idx > 2 and coalesce(max(case when i = 3 then value end), '') = ''",
+).replace("select row_idx, (i - 1)::int", "select 'Sheet1' as sheet_title, row_idx, (i - 1)::int") + """
+    union all select 'Nations', n_nationkey, unnest([0, 1])::int, unnest([n_nationkey::varchar, n_name]), false from nation
+""")
+def refresh_among_sheets(spark, sf_dir):
+    """One of two sheets is refreshed; the other one's cells come through as they were."""
+    cells = F.array(F.col("n_nationkey").cast("string"), "n_name")
+    other = as_grid(table(spark, sf_dir, "nation"), "n_nationkey", cells, "7", "Nations")
+    df = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    new = gf.refresh(
+        customer_grid(spark, sf_dir).unionAll(other), df, "wb", "Sheet1", 3, "B", ["s_suppkey"], rows_per_bucket=200,
+        apply_filter_to_column_index=2, starting_row_filter_index=2, starting_column_filter_index=1,
+    )
+    return new.select("sheet_title", "row_idx", F.posexplode("cells").alias("col_idx", "value"), "hidden")
+
+
+@check(refresh_sql(
+    """select row_number() over (order by s_suppkey) - 1 as row_idx, [s_suppkey::varchar, '<a href="' || s_name || '">go</a>'] as block from supplier""",
+    "['key', 'link']", row=4, col=1, width=2, clear="row_idx >= 4 and i >= 2",
+    hidden="row_idx > 3 and coalesce(max(case when i = 2 then value end), '') = ''",
+).replace("select row_idx, (i - 1)::int", "select 'grid' as part, row_idx, (i - 1)::int") + """
+    union all select 'html', fragment_no, 0, string_agg(html, '' order by s_suppkey), null from (
+        select s_suppkey, (n - 1) // 100 as fragment_no,
+            case when n = 1 then '<table border="1" class="dataframe"><tbody>' else '' end
+            || '<tr><td>' || s_suppkey || '</td><td><a href="' || s_name || '">go</a></td></tr>'
+            || case when n = all_n then '</tbody></table>' else '' end as html
+        from (select s_suppkey, s_name, row_number() over (order by s_suppkey) as n, count(*) over () as all_n from supplier))
+    group by fragment_no
+""")
+def refresh_html(spark, sf_dir):
+    """Suppliers pasted as HTML at B4: header, cleared region, filter and the fragments to paste."""
+    link = F.concat(F.lit('<a href="'), "s_name", F.lit('">go</a>'))
+    df = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), link.alias("link"))
+    one_cell = spark.range(1).select(F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.lit('[{"values":[{"note":"n"}]}]').alias("row_data"))
+    grid, html, _ = gf.refresh_as_html(
+        customer_grid(spark, sf_dir), df, gf.row_positions(one_cell), "wb", "Sheet1", 4, "B", ["key"], rows_per_bucket=300, rows_per_fragment=100,
+        apply_filter_to_column_index=1, starting_row_filter_index=3, starting_column_filter_index=1,
+    )
+    cells = grid.select(F.lit("grid").alias("part"), "row_idx", F.posexplode("cells").alias("col_idx", "value"), "hidden")
+    no = F.lit(None).cast("boolean").alias("hidden")
+    return cells.unionByName(html.select(
+        F.lit("html").alias("part"), F.col("fragment_no").alias("row_idx"), F.lit(0).alias("col_idx"), F.col("html").alias("value"), no
+    ))

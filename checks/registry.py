@@ -30,16 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores for work that is heavy per row.
-
-    The test tables are one row group each, which one task reads. A table in
-    enough files is left as it is.
-    """
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks, key) if len(df.inputFiles()) < tasks else df
-
-
 def as_grid(df: DataFrame, row_idx: Column | str, cells: Column, sheet_id: Column | str = "0", title: Column | str = "Sheet1") -> DataFrame:
     """Grid rows made from the rows of a table; plain strings are literal ids and titles."""
 

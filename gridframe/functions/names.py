@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,14 +14,22 @@ NOT_ALPHANUMERIC = "[^a-zA-Z0-9]+"
 TRAILING_UNDERSCORE = "_$"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def unique_names(names: Column) -> Column:
     """Suffix the n-th repeat of a name with n: ``a, a, a`` -> ``a, a1, a2``."""
 
-    def rename(name: Column, position: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(names, F.lit(1), position), lambda other: other == name))
-        return F.concat(name, F.coalesce(F.nullif(earlier.cast("string"), F.lit("0")), F.lit("")))
+    def renamed(names: Column) -> Column:
+        def rename(name: Column, position: Column) -> Column:
+            earlier = F.size(F.filter(F.slice(names, F.lit(1), position), lambda other: other == name))
+            return F.concat(name, F.coalesce(F.nullif(earlier.cast("string"), F.lit("0")), F.lit("")))
 
-    return F.transform(names, rename)
+        return F.transform(names, rename)
+
+    return once(names, renamed)
 
 
 def clean_names(names: Column) -> Column:
@@ -38,14 +47,26 @@ def lower_names(names: Column) -> Column:
 
 
 def distinct_names(names: Column) -> Column:
-    """Names without any duplicate, also where suffixing once collides (``a, a, a1``).
+    """Names without any duplicate, also where suffixing collides (``a, a, a1``).
 
-    The suffix rule runs twice; if a duplicate is still left, every name takes
-    its position, which cannot collide.
+    The suffix rule runs until nothing repeats. A name that repeats an earlier
+    one gets longer in each pass, so position by position all come to rest, each
+    after at most as many passes as there are names.
     """
-    twice = unique_names(unique_names(names))
-    by_position = F.transform(names, lambda name, i: F.concat(name, F.lit("_c"), i.cast("string")))
-    return F.when(F.size(F.array_distinct(twice)) == F.size(twice), twice).otherwise(by_position)
+
+    def passes(start: Column, steps: Column) -> Column:
+        def next_pass(state: Column, _: Column) -> Column:
+            unique = F.size(F.array_distinct(state)) == F.size(state)
+            return F.when(unique, state).otherwise(unique_names(state))
+
+        return F.aggregate(steps, start, next_pass)
+
+    def settled(names: Column) -> Column:
+        steps = F.when(F.size(names) > 0, F.sequence(F.lit(1), F.size(names))).otherwise(F.array().cast("array<int>"))
+        done = lambda state: F.size(F.array_distinct(state)) == F.size(state)
+        return F.aggregate(steps, names, lambda state, _: F.when(done(state), state).otherwise(passes(state, steps)))
+
+    return once(names, settled)
 
 
 def unique_name_list(names: list[str]) -> list[str]:

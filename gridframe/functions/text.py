@@ -112,6 +112,9 @@ def value_sql(x: str, data_type: T.DataType, depth: int = 0) -> str:
     if isinstance(data_type, T.FloatType):
         # The printed digits, read back as a double, are their own shortest form.
         return double_sql(f"double(string({x}))")
+    if isinstance(data_type, T.DecimalType):
+        # All digits of the scale, whatever the session's settings; a cast may give an exponent.
+        return f"replace(format_number({x}, {data_type.scale}), ',', '')"
     if isinstance(data_type, T.ArrayType):
         item, element_type = f"item{depth}", data_type.elementType
         text = quoted_sql(item) if isinstance(element_type, T.StringType) else value_sql(item, element_type, depth + 1)

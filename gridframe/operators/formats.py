@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridframe.functions import json_text
 from gridframe.sources.metadata import CELL_COLUMNS
 from gridframe.sources.schemas import ROW_KEYS, SHEET_KEYS
 
@@ -27,7 +28,8 @@ Patch = Callable[[Cell, Types], dict[str, Column]]
 
 def _all_null(data_type: T.StructType) -> Column:
     """A struct that is there but has nothing set; ``withField`` on a null struct stays null."""
-    return F.from_json(F.lit("{}"), data_type)
+    fields = ", ".join(f"'{field.name}', cast(null as {field.dataType.simpleString()})" for field in data_type)
+    return F.expr(f"named_struct({fields})")
 
 
 def _with(struct: Column, fields: Mapping[str, str | int | None]) -> Column:
@@ -41,7 +43,7 @@ def clear_patch(cell: Cell, types: Types) -> dict[str, Column]:
 
 
 def align_patch(horizontal: str | None, vertical: str | None, wrap: str | None) -> Patch:
-    keys = {"horizontalAlignment": horizontal, "verticalAlignment": vertical, "wrapStrategy": wrap}
+    keys = {"horizontalAlignment": horizontal or None, "verticalAlignment": vertical or None, "wrapStrategy": wrap or None}
 
     def patch(cell: Cell, types: Types) -> dict[str, Column]:
         if not any(keys.values()):
@@ -98,7 +100,14 @@ def merge_patch(cell: Cell, types: Types) -> dict[str, Column]:
     wanted = cell["hyperlink"].isNotNull() & ~has_link & (_formula(cell) == "")
 
     def later_wins(merged: Column, run: Column) -> Column:
-        return F.struct(*[F.coalesce(run["format"][name], merged[name]).alias(name) for name in format_type.names])
+        def later(name: str) -> Column:
+            if name == json_text.EXTRA:
+                new, old = run["format"][name], merged[name]
+                only_old = F.map_filter(old, lambda key, _: ~F.coalesce(F.map_contains_key(new, key), F.lit(False)))
+                return F.coalesce(F.map_concat(only_old, new), new, old)
+            return F.coalesce(run["format"][name], merged[name])
+
+        return F.struct(*[later(name).alias(name) for name in format_type.names])
 
     merged = F.aggregate(runs, _all_null(format_type), later_wins)
     return {"text_format_runs": F.when(wanted, _linked(cell, run_type, merged)).otherwise(cell["text_format_runs"])}
@@ -192,5 +201,6 @@ def assemble_rows(meta: DataFrame, rows: DataFrame | None = None) -> DataFrame:
 
 
 def rows_json(rows: DataFrame) -> DataFrame:
-    """Assembled rows as JSON text per row, ready to be written."""
-    return rows.select(*SHEET_KEYS, "row_idx", F.to_json(F.struct("values")).alias("row"))
+    """Assembled rows as JSON text per row, ready to be written, members without a name here included."""
+    row = json_text.text_sql("row", T.StructType([rows.schema["values"]]))
+    return rows.select(*SHEET_KEYS, "row_idx", F.struct("values").alias("row")).withColumn("row", F.expr(row))

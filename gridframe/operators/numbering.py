@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Rows numbered by one task.
+from gridframe.operators.extent import checkpoint_once
+
+# Rows numbered by one task, on average; a smaller table is still spread over the cores.
 ROWS_PER_BUCKET = 250_000
-# The bounds travel with the plan; more rows than this allows make the buckets larger, not more.
-MAX_BUCKETS = 65_536
-# Sampled keys per bound.
-OVERSAMPLE = 16
+LEAST_ROWS = 1_000
+# Starts of so many buckets (16 bytes each) are sent to every task; those of more are joined.
+BROADCAST_BUCKETS = 500_000
+# A task's running row number is in the low bits of Spark's increasing id.
+ROW_BITS = 33
 
 
 def number_rows(
@@ -26,49 +26,38 @@ def number_rows(
 ) -> tuple[DataFrame, int]:
     """``df`` with dense 0-based positions in ``order_by`` order, and the row count.
 
-    ``order_by`` is an ascending key. Bounds sampled from it split the rows into
-    ordered buckets; a count per bucket gives where each bucket starts. Both
-    passes read the key columns only. The rows are then shuffled once, a
-    partition per bucket. The driver holds the bounds and one count per bucket.
+    ``order_by`` is an ascending key. The rows are sorted by range and stored in
+    the shared checkpoint folder, each with its bucket and its place there; a
+    count per bucket then gives where each bucket starts. ``df`` is computed
+    three times: for the count, for the ranges and for the rows. The number of
+    buckets follows the row count without a ceiling, and no key comes to the
+    driver other than those Spark itself samples for the ranges.
 
     The key should be unique. Rows that tie are ordered by a hash of the whole
-    row, which keeps the result the same when a task runs again. A key heavy
-    enough to fill a bucket shows as a repeated bound; the buckets then split on
-    the hash too. Only exact copies, whose order cannot matter, stay together.
+    row, which keeps the result the same when a task runs again. Exact copies,
+    whose order cannot matter, are dealt out at random, so a bucket is never
+    larger for them.
     """
     keys = [F.col(key) if isinstance(key, str) else key for key in order_by]
     if not keys:
         raise ValueError("order_by needs at least one key")
-    keys, tie_break = _named(df, keys), _row_hash(df).alias("tie")
     total = df.count()
-    buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
-    if buckets <= 1:
-        # All rows fit one bucket, so one task may number them.
-        position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys, tie_break))
-        return df.withColumn(column, (position - 1).cast("bigint")), total
-
-    split_key = F.struct(*keys)
-    key_type, bounds = _bounds(df, split_key, total, buckets)
-    if len(set(bounds)) < len(bounds):
-        split_key = F.struct(*keys, tie_break)
-        key_type, bounds = _bounds(df, split_key, total, buckets)
-    bucket = _bucket(split_key, key_type, bounds)
-    counts = {row.bucket: row["count"] for row in df.select(bucket.alias("bucket")).groupBy("bucket").count().collect()}
-    starts = list(accumulate((counts.get(b, 0) for b in range(max(counts, default=0))), initial=0))
-    position = F.row_number().over(Window.partitionBy("__bucket").orderBy(*keys, tie_break))
-    start = F.get(_constant(starts, T.ArrayType(T.LongType())), F.col("__bucket"))
-    # A partition per bucket: hashing bucket numbers would put several in one task and none in another.
-    bucketed = df.withColumn("__bucket", bucket).repartitionById(len(bounds) + 1, F.col("__bucket"))
-    return bucketed.withColumn(column, start + position - 1).drop("__bucket"), sum(counts.values())
-
-
-def _named(df: DataFrame, keys: list[Column]) -> list[Column]:
-    """Key fields named by position; binary keys as hex text, which sorts the same."""
-    types = [field.dataType for field in df.select(*keys).schema]
-    return [
-        (F.hex(key) if isinstance(data_type, T.BinaryType) else key).alias(f"k{i}")
-        for i, (key, data_type) in enumerate(zip(keys, types))
-    ]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = max(1, -(-total // rows_per_bucket), min(cores, total // LEAST_ROWS))
+    named = {f"__key{i}": key for i, key in enumerate(keys)}
+    ranged = df.withColumns({**named, "__tie": _row_hash(df), "__deal": F.rand(7)})
+    ranged = ranged.repartitionByRange(buckets, *named, "__tie", "__deal").sortWithinPartitions(*named, "__tie")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    placed = ranged.drop(*named, "__tie", "__deal").withColumns({"__bucket": F.spark_partition_id(), "__place": place})
+    stored = checkpoint_once(placed)
+    counts = stored.groupBy("__bucket").count()
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each bucket.
+    starts = checkpoint_once(counts.select("__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start")))
+    if buckets <= BROADCAST_BUCKETS:
+        starts = F.broadcast(starts)
+    numbered = stored.join(starts, "__bucket").withColumn(column, F.col("__start") + F.col("__place"))
+    return numbered.drop("__bucket", "__place", "__start"), total
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -78,40 +67,3 @@ def _row_hash(df: DataFrame) -> Column:
         column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
         hashed.append(F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column)
     return F.xxhash64(*hashed)
-
-
-def _bounds(df: DataFrame, key: Column, total: int, buckets: int) -> tuple[T.StructType, list[Row]]:
-    """Key type and the lowest key of every bucket but the first, as text.
-
-    They come from a sample whose size follows the number of buckets, not of
-    rows, so that one task may sort it.
-    """
-    keyed = df.select(key.alias("key"))
-    key_type = keyed.schema["key"].dataType
-    sample = keyed.sample(fraction=min(1.0, buckets * OVERSAMPLE / total), seed=7)
-    tiles = sample.withColumn("tile", F.ntile(buckets).over(Window.partitionBy(F.lit(0)).orderBy("key")))
-    lowest = tiles.groupBy("tile").agg(F.min("key").alias("key")).filter("tile > 1").orderBy("tile")
-    return key_type, lowest.select(*[F.col("key")[name].cast("string").alias(name) for name in key_type.names]).collect()
-
-
-def _constant(values: list, data_type: T.ArrayType) -> Column:
-    """An array constant sent as one JSON text, however many values it has."""
-    element = as_text = data_type.elementType
-    if isinstance(element, T.StructType):
-        as_text = T.StructType([T.StructField(name, T.StringType()) for name in element.names])
-        element = T.StructType([T.StructField(field.name, field.dataType) for field in element])
-        values = [dict(zip(as_text.names, value)) for value in values]
-    return F.from_json(F.lit(json.dumps(values)), T.ArrayType(as_text)).cast(T.ArrayType(element))
-
-
-def _bucket(key: Column, key_type: T.StructType, bounds: list[Row]) -> Column:
-    """How many bounds the key has reached, by binary search in a constant array."""
-    if not bounds:
-        return F.lit(0)
-    constants = _constant(bounds, T.ArrayType(key_type))
-    steps = [2**i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda reached, step: F.when(F.get(constants, reached + step - 1) <= key, reached + step).otherwise(reached),
-    )

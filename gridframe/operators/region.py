@@ -91,6 +91,8 @@ def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
 
     A batch is at most ``rows_per_batch`` positions of one sheet, so a group is
     bounded. Positions a sheet has no row for are empty rows between its others.
+    Titles are quoted in the addresses where need be, so that every batch goes
+    where it belongs; a sheet without a title counts as one with an empty one.
     """
     batch = F.call_function("div", F.col("row_idx"), F.lit(rows_per_batch))
     grouped = grid.groupBy(*SHEET_KEYS, batch.alias("batch_no")).agg(
@@ -107,6 +109,6 @@ def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
         *SHEET_KEYS,
         "sheet_title",
         "batch_no",
-        range_address(F.col("sheet_title"), F.get(rows, F.lit(0))["row_idx"], F.lit(0)).alias("range"),
+        range_address(F.coalesce("sheet_title", F.lit("")), F.get(rows, F.lit(0))["row_idx"], 0, quote=True).alias("range"),
         F.flatten(F.transform(rows, with_gap)).alias("values"),
     )

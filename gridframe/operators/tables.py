@@ -13,26 +13,34 @@ from gridframe.sources.schemas import SHEET_KEYS
 
 
 def grid_to_table(grid: DataFrame, make_columns_unique: bool = True, clean_column_names: bool = True) -> DataFrame:
-    """One sheet as a wide all-string table named by its first row."""
-    extent = grid.agg(F.min("row_idx").alias("first_row"), F.max(F.size("cells")).alias("width")).first()
-    return named_columns(grid, extent.first_row, extent.width, make_columns_unique, clean_column_names)
+    """One sheet as a wide all-string table named by its first row; a grid of several sheets is an error."""
+    return headed_table(grid, F.lit(True), make_columns_unique, clean_column_names)
 
 
-def named_columns(
-    grid: DataFrame, first_row: int | None, width: int | None, make_columns_unique: bool, clean_column_names: bool
-) -> DataFrame:
-    """Rows below ``first_row``, with one column per cell up to ``width``, named by that row.
+def headed_table(grid: DataFrame, is_row: Column, make_columns_unique: bool, clean_column_names: bool) -> DataFrame:
+    """The rows of one sheet where ``is_row`` holds, below the first of them, as a table named by that one.
 
-    The driver sees that one row, since a schema needs it; the data rows are a
-    narrow projection. A sheet without rows is a table without columns.
+    One aggregate finds the width of all rows, the first row and its cells; the
+    driver sees that row, since a schema needs it. The table is then a filter and
+    a narrow projection over the source, one column per cell. A sheet without
+    rows is a table without columns.
     """
-    if first_row is None:
+    position, key = F.when(is_row, F.col("row_idx")), F.struct(*SHEET_KEYS)
+    found = grid.agg(
+        F.min(position).alias("first_row"),
+        F.min_by("cells", position).alias("header"),
+        F.max(F.size("cells")).alias("width"),
+        (F.min(key) != F.max(key)).alias("several"),
+    ).first()
+    if found.several:
+        raise ValueError("the grid holds several sheets; select one")
+    if found.first_row is None:
         return grid.select().limit(0)
-    header_cells = grid.filter(F.col("row_idx") == first_row).select("cells").first().cells
-    header = [(cell or "").lower() for cell in header_cells] + [""] * (width - len(header_cells))
+    header_cells = found.header or []
+    header = [(cell or "").lower() for cell in header_cells] + [""] * (found.width - len(header_cells))
     names = table_name_list(header, make_columns_unique, clean_column_names)
     cells = [f"coalesce(get(cells, {i}), '') as {quoted(name)}" for i, name in enumerate(names)]
-    return grid.filter(F.col("row_idx") > first_row).selectExpr(*cells)
+    return grid.filter(is_row & (F.col("row_idx") > found.first_row)).selectExpr(*cells)
 
 
 def record_names(header: Column, make_columns_unique: bool, clean_column_names: bool) -> Column:

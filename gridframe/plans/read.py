@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridframe.operators import sheets
-from gridframe.operators.tables import named_columns
+from gridframe.operators.tables import headed_table
 from gridframe.sources.values import read_values
 
 
@@ -24,21 +24,15 @@ def read_sheet(
     """One sheet as an all-string table, optionally under a view name.
 
     ``source`` is a grid or the path of saved values responses; ``sheet_id`` is
-    the sheet's id or title. Two small actions find the header: the extent of
-    the sheet and its first row. The table itself is then a filter and a
-    projection over the source, without a shuffle.
+    the sheet's id or title. One small action finds the extent of the sheet and
+    its header; the table itself is then a filter and a projection over the
+    source, without a shuffle. The source is read twice in all.
     """
     grid = source if isinstance(source, DataFrame) else read_values(spark, source)
     grid = sheets.cell_range(sheets.select_sheet(grid, sheet_id, workbook_id), cell_range)
-    width = F.max(F.size("cells"))
-    if drop_empty_rows:
-        # Dropped rows still count for the width, as all rows are padded before.
-        first_row = F.min(F.when(sheets.has_content(F.col("cells")), F.col("row_idx")))
-        extent = grid.agg(first_row.alias("first_row"), width.alias("width")).first()
-        grid = sheets.drop_empty_rows(grid)
-    else:
-        extent = grid.agg(F.min("row_idx").alias("first_row"), width.alias("width")).first()
-    table = named_columns(grid, extent.first_row, extent.width, make_columns_unique, clean_column_names)
+    # Dropped rows still count for the width, as all rows are padded before.
+    is_row = sheets.has_content(F.col("cells")) if drop_empty_rows else F.lit(True)
+    table = headed_table(grid, is_row, make_columns_unique, clean_column_names)
     if temp_view_name:
         table.createOrReplaceTempView(temp_view_name)
     return table

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.functions.address import column_index
@@ -25,6 +25,8 @@ def refresh(
     column_letter_to_push_into: str,
     order_by: Sequence[str],
     col_count: int | None = None,
+    sheets: DataFrame | None = None,
+    create: bool = False,
     preserve_last_n_columns: int = 0,
     do_not_clear_entire_target_sheet_range: bool = False,
     apply_filter_to_column_index: int | None = None,
@@ -41,9 +43,12 @@ def refresh(
     the new content. The sheet's filter goes; a new one hides rows whose cell
     in the filter column equals the exclusion text.
 
-    ``col_count`` is the sheet's column count; if needed and not given, its
-    widest row counts. Only the target sheet is joined, by row position; the
-    other sheets pass through.
+    ``sheets`` may list the properties of sheets: ``workbook_id, sheet_id,
+    sheet_title, row_count, col_count``. The sheet's column count comes from
+    there or from ``col_count``; ``preserve_last_n_columns`` needs it, since rows
+    need not be as wide as their sheet. A sheet that is neither listed nor has
+    rows is an error unless ``create`` is set. Only the target sheet is joined,
+    by row position; the other sheets pass through.
     """
     if apply_filter_to_column_index is not None:
         if starting_row_filter_index is None or starting_column_filter_index is None:
@@ -55,6 +60,8 @@ def refresh(
     # A sheet may have no title; it is then not the target.
     sheet, others = grid.filter(is_target), grid.filter(~F.coalesce(is_target, F.lit(False)))
 
+    sheet_id, sheet_title, listed_columns = _identity(sheet, sheets, is_target, str(sheet_name_or_id), create)
+    col_count = listed_columns if col_count is None else col_count
     body, total = numbered_cells(df, order_by, rows_per_bucket)
     if do_not_clear_entire_target_sheet_range:
         end_row, end_col = row + total + 1, col + len(df.columns)
@@ -62,14 +69,13 @@ def refresh(
         end_row, end_col = None, col_count
         if preserve_last_n_columns:
             if col_count is None:
-                col_count = sheet.agg(F.max(F.size("cells"))).first()[0] or 0
+                raise ValueError("preserve_last_n_columns needs the sheet's column count, from col_count or sheets")
             end_col = max(0, col_count - preserve_last_n_columns)
 
     titles = F.array(*[F.lit(name) for name in df.columns])
     header = df.sparkSession.range(0, 1, 1, numPartitions=1).select(F.lit(row - 1).cast("bigint").alias("row_idx"), titles.alias("__block"))
     block = header.unionAll(body.select(F.col("row_idx") + row, "cells"))
 
-    sheet_id, sheet_title = _identity(sheet, str(sheet_name_or_id))
     joined = clear_region(remove_filter(sheet), row, col, end_col, end_row).join(block, "row_idx", "full_outer")
     written = joined.select(
         F.lit(workbook_id).alias("workbook_id"),
@@ -123,16 +129,36 @@ def refresh_formats(
 
 
 def refresh_as_html(
+    grid: DataFrame,
     df: DataFrame,
     rows: DataFrame,
+    workbook_id: str,
+    sheet_name_or_id: str | int,
     row_number_to_push_into: int,
+    column_letter_to_push_into: str,
     order_by: Sequence[str],
     html_table_style: str | None = None,
-    **format_options,
-) -> tuple[DataFrame, DataFrame]:
-    """``(html, rows)``: the body as an HTML table to paste, and the sheet's rows with formats patched."""
-    html = to_html_table(df, order_by, table_style=html_table_style)
-    return html, refresh_formats(rows, row_number_to_push_into, **format_options)
+    horizontalAlignment: str | None = None,
+    verticalAlignment: str | None = None,
+    wrapStrategy: str | None = None,
+    fontFamily: str | None = None,
+    fontSize: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_fragment: int = 1000,
+    **refresh_options,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(grid, html, rows)``: a refresh whose body is pasted as HTML.
+
+    The grid is that of :func:`refresh` with the same options: header, cleared
+    region, the body's texts from the start column on, and the filter. ``html``
+    is the body as one table in fragments, to be pasted at the row below the
+    header in the start column. ``rows``, the cell metadata of the target sheet
+    with the cells nested, comes back with the formats patched.
+    """
+    new_grid = refresh(grid, df, workbook_id, sheet_name_or_id, row_number_to_push_into, column_letter_to_push_into, order_by, rows_per_bucket=rows_per_bucket, **refresh_options)
+    html = to_html_table(df, order_by, table_style=html_table_style, rows_per_fragment=rows_per_fragment, rows_per_bucket=rows_per_bucket)
+    formats_given = (horizontalAlignment, verticalAlignment, wrapStrategy, fontFamily, fontSize)
+    return new_grid, html, refresh_formats(rows, row_number_to_push_into, *formats_given)
 
 
 def _with_hidden(grid: DataFrame) -> DataFrame:
@@ -140,9 +166,15 @@ def _with_hidden(grid: DataFrame) -> DataFrame:
     return grid.select(*GRID.names, hidden.alias("hidden"))
 
 
-def _identity(sheet: DataFrame, key: str) -> tuple[str, str]:
-    """Id and title of the target sheet, from one of its rows; a sheet without rows is known by its key."""
+def _identity(sheet: DataFrame, sheets: DataFrame | None, is_target: Column, key: str, create: bool) -> tuple[str, str, int | None]:
+    """Id, title and column count of the target sheet, from its properties or else one of its rows."""
+    if sheets is not None:
+        listed = sheets.filter(is_target).select("sheet_id", "sheet_title", "col_count").head()
+        if listed is not None:
+            return listed.sheet_id, listed.sheet_title, listed.col_count
     known = sheet.select("sheet_id", "sheet_title").head()
     if known is not None:
-        return known.sheet_id, known.sheet_title
-    return (key, "") if key.isdigit() else ("", key)
+        return known.sheet_id, known.sheet_title, None
+    if not create:
+        raise ValueError(f"no sheet {key!r} in the workbook; create=True makes one")
+    return (key, "", None) if key.isdigit() else ("", key, None)

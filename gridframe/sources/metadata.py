@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.sources.schemas import CELL, SHEET_KEYS, metadata_record, row_data
+from gridframe.functions.json_text import typed_sql
+from gridframe.sources.schemas import CELL, SHEET_KEYS, metadata_record, saved_rows
 
 # Saved field name -> cell_meta column.
 CELL_COLUMNS = {
@@ -21,40 +22,64 @@ CELL_COLUMNS = {
 }
 
 
-def read_metadata(spark: SparkSession, path: str | list[str], cell: T.StructType = CELL, multi_line: bool = False) -> DataFrame:
-    """Saved metadata responses as ``workbook_id, sheet_id, sheet_title, row_data``, one row per sheet."""
-    bodies = spark.read.schema(metadata_record(cell)).options(multiLine=multi_line, mode="FAILFAST").json(path)
+def read_metadata(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Saved metadata responses as ``workbook_id, sheet_id, sheet_title, start_row, start_col, row_data``.
+
+    One row per segment of a sheet: a tall sheet may be saved in many segments,
+    each with the place of its first cell. Everything the rows hold is kept,
+    whatever its name.
+    """
+    bodies = spark.read.schema(metadata_record()).options(multiLine=multi_line, mode="FAILFAST").json(path)
     sheets = bodies.select(F.coalesce("spreadsheetId", F.lit("")).alias("workbook_id"), F.explode("sheets").alias("sheet"))
-    return sheets.select(
+    segments = sheets.select("workbook_id", "sheet.properties", F.explode("sheet.data").alias("segment"))
+    return segments.select(
         "workbook_id",
-        F.coalesce("sheet.properties.sheetId", F.lit("")).alias("sheet_id"),
-        F.coalesce("sheet.properties.title", F.lit("")).alias("sheet_title"),
-        F.get("sheet.data", F.lit(0))["rowData"].alias("row_data"),
+        F.coalesce("properties.sheetId", F.lit("")).alias("sheet_id"),
+        F.coalesce("properties.title", F.lit("")).alias("sheet_title"),
+        F.coalesce("segment.startRow", F.lit(0)).cast("bigint").alias("start_row"),
+        F.coalesce("segment.startColumn", F.lit(0)).alias("start_col"),
+        F.col("segment.rowData").alias("row_data"),
     )
 
 
-def row_positions(df: DataFrame, row_data_col: str = "row_data", cell: T.StructType = CELL) -> DataFrame:
-    """The row list of each sheet, with the cells still nested."""
+def _placed(df: DataFrame, row_data_col: str, cell: T.StructType) -> DataFrame:
+    """Rows with their position, start column and typed cells."""
     rows = F.col(row_data_col)
     if isinstance(df.schema[row_data_col].dataType, T.StringType):
-        rows = F.from_json(rows, row_data(cell), {"mode": "FAILFAST"})
-    return df.select(*SHEET_KEYS, F.posexplode(rows).alias("row_idx", "row")).select(
-        *SHEET_KEYS, F.col("row_idx").cast("bigint").alias("row_idx"), F.col("row")["values"].alias("values")
-    )
+        rows = F.from_json(rows, saved_rows(), {"mode": "FAILFAST"})
+
+    def start(name: str) -> Column:
+        return (F.col(name) if name in df.columns else F.lit(0)).cast("bigint").alias(name)
+
+    found = df.select(*SHEET_KEYS, start("start_row"), start("start_col"), F.posexplode(rows).alias("position", "row"))
+    cells = F.expr(f"transform(row.values, saved -> {typed_sql('saved', cell)})")
+    return found.select(*SHEET_KEYS, (F.col("start_row") + F.col("position")).alias("row_idx"), "start_col", cells.alias("values"))
+
+
+def row_positions(df: DataFrame, row_data_col: str = "row_data", cell: T.StructType = CELL) -> DataFrame:
+    """The rows of each sheet, with the cells still nested.
+
+    ``start_row`` and ``start_col``, if ``df`` has them, place a segment; cells
+    before its first column are null. Segments side by side give a row each.
+    """
+    rows = _placed(df, row_data_col, cell)
+    values = F.col("values")
+    before = F.array_repeat(F.lit(None).cast(rows.schema["values"].dataType.elementType), F.col("start_col").cast("int"))
+    return rows.select(*SHEET_KEYS, "row_idx", F.when(F.col("start_col") > 0, F.concat(before, values)).otherwise(values).alias("values"))
 
 
 def read_cell_meta(df: DataFrame, row_data_col: str = "row_data", cell: T.StructType = CELL) -> DataFrame:
     """``cell_meta``: one row per cell; a row without cells contributes none.
 
-    ``row_data_col`` is the row list of one sheet, as JSON text or parsed.
+    ``row_data_col`` is the row list of one sheet or segment, as JSON text or
+    parsed. Members of a cell that ``cell`` does not name are in the map
+    ``extra``, and so at every level below it.
     """
-    cells = row_positions(df, row_data_col, cell).select(
-        *SHEET_KEYS, "row_idx", F.posexplode("values").alias("col_idx", "cell")
-    )
+    cells = _placed(df, row_data_col, cell).select(*SHEET_KEYS, "row_idx", "start_col", F.posexplode("values").alias("col_idx", "cell"))
     fields = cells.schema["cell"].dataType.names
     return cells.select(
         *SHEET_KEYS,
         "row_idx",
-        "col_idx",
+        (F.col("start_col") + F.col("col_idx")).cast("int").alias("col_idx"),
         *[F.col("cell")[field].alias(CELL_COLUMNS.get(field, field)) for field in fields],
     )

@@ -52,7 +52,7 @@ CELL_FORMAT = _struct(
 )
 CELL_VALUE = _struct(numberValue=NUMBER, stringValue=TEXT, boolValue=FLAG, formulaValue=TEXT)
 
-# One cell of saved row metadata. Content the operators do not touch is carried through.
+# The named part of one cell of saved row metadata; everything else is carried beside it.
 CELL = _struct(
     userEnteredValue=CELL_VALUE,
     effectiveValue=CELL_VALUE,
@@ -65,13 +65,12 @@ CELL = _struct(
 )
 
 
-def row_data(cell: T.StructType = CELL) -> T.ArrayType:
-    return T.ArrayType(_struct(values=T.ArrayType(cell)))
+def saved_rows() -> T.ArrayType:
+    """Rows as they are saved, each cell whole."""
+    return T.ArrayType(_struct(values=T.ArrayType(T.VariantType())))
 
 
-def metadata_record(cell: T.StructType = CELL) -> T.StructType:
-    sheet = _struct(
-        properties=_struct(sheetId=TEXT, title=TEXT),
-        data=T.ArrayType(_struct(rowData=row_data(cell))),
-    )
+def metadata_record() -> T.StructType:
+    segment = _struct(startRow=COUNT, startColumn=COUNT, rowData=saved_rows())
+    sheet = _struct(properties=_struct(sheetId=TEXT, title=TEXT), data=T.ArrayType(segment))
     return _struct(spreadsheetId=TEXT, sheets=T.ArrayType(sheet))

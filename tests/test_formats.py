@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,30 +120,60 @@ def test_assemble_rows(sheet, meta):
     assert json.loads(texts[1].row) == {"values": []}
 
 
-def test_documented_html_push(spark, sheet):
-    df = spark.createDataFrame(
-        [('=HYPERLINK("test.com","1st test")',
-          '<a href="test.com">2nd test</a> and <a href="test.com">3rd test</a>.',
-          '<div style="background:#00A972;color:white">=HYPERLINK("test.com","4th test")</div>')],
-        "one string, many string, styled string",
-    )
-    html, rows = gf.refresh_as_html(
-        df, gf.row_positions(sheet), 2, ["one"], horizontalAlignment="CENTER", verticalAlignment="MIDDLE",
-        wrapStrategy="WRAP", fontFamily="Barlow", fontSize=10)
-    assert html.first().html.count("<td>") == 3
+def test_html_push(spark, sheet, make_grid, lines):
+    cells = ['=HYPERLINK("u.org","one")', 'x <a href="v.org">two</a>, <a href="w.org">three</a>', "<b>plain</b>"]
+    df = spark.createDataFrame([tuple(cells)], "first string, second string, third string")
+    old = make_grid({("wb", "0", "Sheet1"): [["keep", "top"]] + [["keep", f"o{r}", f"p{r}"] for r in range(5)], ("wb", "1", "Other"): [["x"]]})
+    grid, html, rows = gf.refresh_as_html(
+        old, df, gf.row_positions(sheet), "wb", "Sheet1", 2, "B", ["first"], horizontalAlignment="LEFT", verticalAlignment="TOP",
+        wrapStrategy="CLIP", fontFamily="Inter", fontSize=12, apply_filter_to_column_index=1, starting_row_filter_index=1, starting_column_filter_index=1)
+    target = gf.select_sheet(grid, "0")
+    assert lines(target) == [["keep", "top"], ["keep", "first", "second", "third"], ["keep", *cells], *[["keep", "", ""]] * 3]
+    assert [r.row_idx for r in target.filter("hidden").orderBy("row_idx").collect()] == [3, 4, 5]
+    assert lines(gf.select_sheet(grid, "1")) == [["x"]]
+    assert [r.html for r in html.collect()] == ['<table border="1" class="dataframe"><tbody><tr>' + "".join(f"<td>{c}</td>" for c in cells) + "</tr></tbody></table>"]
     by_row = {r.row_idx: r["values"] for r in rows.collect()}
     assert set(by_row) == {0, 1, 2, 3}
     for cell in by_row[2] + by_row[3]:
         user = cell.userEnteredFormat
-        assert (user.horizontalAlignment, user.verticalAlignment, user.wrapStrategy) == ("CENTER", "MIDDLE", "WRAP")
-        assert (user.textFormat.fontFamily, user.textFormat.fontSize) == ("Barlow", 10)
+        assert (user.horizontalAlignment, user.verticalAlignment, user.wrapStrategy) == ("LEFT", "TOP", "CLIP")
+        assert (user.textFormat.fontFamily, user.textFormat.fontSize) == ("Inter", 12)
     assert by_row[0][0].userEnteredFormat is None
-    links = {name: [(r.ord, r.uri, r.text) for r in gf.cell_links(df, name).orderBy("ord").collect()] for name in df.columns}
-    assert links == {
-        "one": [(1, "test.com", "1st test")],
-        "many": [(1, "test.com", "2nd test"), (2, "test.com", "3rd test")],
-        "styled": [(1, "test.com", "4th test")],
-    }
+
+
+LINKS = [
+    ('<a data-href="x" href="y">t</a>', [("y", "t")]),
+    ("<a href=y>t</a> <A HREF = \"y\" class=k>T</A >", [("y", "t"), ("y", "T")]),
+    ("<a href=\"/it's/long\">t</a>", [("/it's/long", "t")]),
+    ("<a href='p?a=1&amp;b=&#34;'>A &amp; B</a>", [('p?a=1&b="', "A &amp; B")]),
+    ('=hyperlink( "u" , "t" )', [("u", "t")]),
+    ('=HYPERLINK("u")', [("u", "u")]),
+    ('=HYPERLINK("u";"say ""hi""")', [("u", 'say "hi"')]),
+    ('<a href="1">one<a href="2">two <b>x</b></a>', [("2", "two <b>x</b>")]),
+    ('<a title="a > b" href="z"><i>t</i></a>', [("z", "<i>t</i>")]),
+    ("<abbr href='n'>t</abbr> <a name=x>no</a> <a>none</a>", []),
+    ("<br/><a/href='s'>t</a>", [("s", "t")]),
+]
+
+
+def test_links_of_every_form(spark):
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(LINKS)], "k int, c string")
+    got = {}
+    for r in gf.cell_links(df, "c", ["k"]).orderBy("k", "ord").collect():
+        got.setdefault(r.k, []).append((r.uri, r.text))
+    assert [got.get(i, []) for i in range(len(LINKS))] == [want for _, want in LINKS]
+
+
+def test_unclosed_anchors_take_linear_time(spark):
+    df = spark.createDataFrame([("<a href='x'> " * 8_000,), ("<a " * 30_000,), ("=HYPERLINK(" * 20_000,)], "c string")
+    start = time.perf_counter()
+    assert gf.cell_links(df, "c").count() == 0
+    assert time.perf_counter() - start < 5
+
+
+def test_empty_alignment_is_no_alignment(meta):
+    done = gf.align(meta, 0, horizontal="", vertical="TOP")
+    assert done.filter("effective_format.horizontalAlignment = '' or user_entered_format.horizontalAlignment = ''").count() == 0
 
 
 @pytest.mark.parametrize("clear_first", [True, False])
@@ -168,3 +199,59 @@ def test_column_widths(make_grid):
     assert got == {("1", 0): 3, ("1", 1): 2, ("1", 2): 0, ("2", 0): 1}
     assert {r.col_idx for r in gf.column_widths(grid, 1, 2).collect()} == {1}
     assert {r.col_idx for r in gf.column_widths(grid, 1).collect()} == {1, 2}
+
+
+SAVED = {
+    "spreadsheetId": "wb",
+    "sheets": [{
+        "properties": {"sheetId": 3, "title": "T"},
+        "data": [
+            {"rowData": [{"values": [{
+                "formattedValue": "x", "chipRuns": [{"chip": {"a": 1}}], "note": "n\n\"q\"",
+                "effectiveValue": {"errorValue": {"type": "REF"}}, "userEnteredValue": {"numberValue": 1.5},
+                "effectiveFormat": {"padding": {"top": 2}, "borders": {}, "textFormat": {"fontSize": 9, "foregroundColorStyle": {"themeColor": "TEXT"}}},
+                "userEnteredFormat": {"textRotation": {"angle": 45}},
+                "textFormatRuns": [{"startIndex": 1, "mark": True, "format": {"bold": True, "chip": "c", "link": {"uri": "u", "kind": "k"}}}],
+            }, {}]}, {}]},
+            {"startRow": 40, "startColumn": 2, "rowData": [{"values": [{"formattedValue": "far", "dataValidation": {"strict": False, "n": None}}]}]},
+        ],
+    }],
+}
+
+
+def test_everything_saved_is_written_back(spark, tmp_path):
+    (tmp_path / "saved.json").write_text(json.dumps(SAVED))
+    segments = gf.read_metadata(spark, str(tmp_path / "saved.json"))
+    rows = gf.row_positions(segments)
+    written = {r.row_idx: json.loads(r.row) for r in gf.rows_json(rows).collect()}
+    first, second = SAVED["sheets"][0]["data"]
+    assert written == {0: first["rowData"][0], 1: {}, 40: {"values": [None, None, second["rowData"][0]["values"][0]]}}
+    meta = gf.read_cell_meta(segments)
+    assert sorted((r.sheet_id, r.row_idx, r.col_idx, r.formatted_value) for r in meta.collect() if r.formatted_value) == [("3", 0, 0, "x"), ("3", 40, 2, "far")]
+    again = {r.row_idx: json.loads(r.row) for r in gf.rows_json(gf.assemble_rows(meta)).collect()}
+    assert again[0] == written[0] and again[40] == {"values": second["rowData"][0]["values"]}
+
+    patched = gf.rows_json(gf.refresh_formats(rows, 0, horizontalAlignment="LEFT", fontSize=11, clear_first=False)).filter("row_idx = 0")
+    cell = json.loads(patched.first().row)["values"][0]
+    want = json.loads(json.dumps(first["rowData"][0]["values"][0]))
+    text = {"fontSize": 11, "foregroundColorStyle": {"themeColor": "TEXT"}}
+    want["effectiveFormat"] |= {"horizontalAlignment": "LEFT", "textFormat": text}
+    want["userEnteredFormat"] |= {"horizontalAlignment": "LEFT", "textFormat": text}
+    assert cell == want
+    cleared = gf.rows_json(gf.refresh_formats(rows, 0, wrapStrategy="CLIP")).filter("row_idx = 0")
+    assert json.loads(cleared.first().row)["values"][0]["userEnteredFormat"] == {"wrapStrategy": "CLIP"}
+
+
+def test_merged_runs_keep_unknown_members(spark):
+    runs = [{"format": {"chip": "a", "bold": True}}, {"startIndex": 3, "format": {"chip": "b", "other": 1}}]
+    data = json.dumps([{"values": [{"hyperlink": "h", "textFormatRuns": runs}]}])
+    df = spark.createDataFrame([("w", "s", data)], "workbook_id string, sheet_id string, row_data string")
+    merged = gf.merge_link_runs(gf.read_cell_meta(df), 0)
+    cell = json.loads(gf.rows_json(gf.assemble_rows(merged)).first().row)["values"][0]
+    assert cell["textFormatRuns"] == [{"format": {"bold": True, "link": {"uri": "h"}, "chip": "b", "other": 1}}]
+
+
+def test_a_value_of_another_kind_is_an_error(spark):
+    df = spark.createDataFrame([("w", "s", '[{"values":[{"textFormatRuns":"x"}]}]')], "workbook_id string, sheet_id string, row_data string")
+    with pytest.raises(Exception):
+        gf.read_cell_meta(df).collect()

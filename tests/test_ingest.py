@@ -183,3 +183,56 @@ def test_narrow_operators_on_a_stream(spark, tmp_path):
     finally:
         query.stop()
     assert {r.row_idx for r in spark.table("grid_rows").collect()} == {0, 2}
+
+
+def test_titles_and_dimensions_of_bodies(spark, lines):
+    bodies = [
+        {"range": "'Hi! there'!A1:B2", "majorDimension": "COLUMNS", "values": [["a", "b", "c"], ["d"]]},
+        {"range": "Hi! you!A1", "majorDimension": "ROWS", "values": [["x"]]},
+        {"range": "E!A1", "majorDimension": "COLUMNS", "values": []},
+    ]
+    grid = gf.values_to_grid(spark.createDataFrame([(json.dumps(b),) for b in bodies], "body string"), "body")
+    by_title = {r.sheet_title: [x.cells for x in grid.filter(F.col("sheet_title") == r.sheet_title).orderBy("row_idx").collect()] for r in grid.collect()}
+    assert by_title == {"Hi! there": [["a", "d"], ["b", ""], ["c", ""]], "Hi! you": [["x"]]}
+
+
+def test_a_stored_grid_keeps_what_is_hidden(spark, tmp_path, make_grid):
+    grid = gf.apply_filter(make_grid([["h"], ["x"], [""], ["y"]]))
+    gf.write_grid(grid, str(tmp_path / "g"), rows_per_file=2)
+    back = gf.read_grid(spark, str(tmp_path / "g"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, grid.collect()))
+    assert len(list((tmp_path / "g").glob("part-*"))) == 2
+    plain = make_grid([["h"]])
+    gf.write_grid(plain, str(tmp_path / "p"))
+    assert gf.read_grid(spark, str(tmp_path / "p")).columns == plain.columns
+
+
+def test_a_table_is_one_sheet(make_grid):
+    with pytest.raises(ValueError, match="several sheets"):
+        gf.grid_to_table(make_grid({("w", "1", "A"): [["a"]], ("w", "2", "B"): [["b"]]}))
+
+
+def test_a_sheet_is_read_twice(spark, make_grid):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    grid = make_grid([["h", "i"], ["1", "2"], ["", ""]]).coalesce(1)
+    grid = grid.mapInArrow(counted, grid.schema)
+    assert gf.read_sheet(spark, grid, "wb", "0").count() == 1
+    assert reads.value == 2
+
+
+def test_number_rows_computes_its_frame_three_times(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    df = spark.range(0, 5000, 1, 1).mapInArrow(counted, "id bigint")
+    numbered, total = gf.number_rows(df, ["id"], rows_per_bucket=700)
+    assert total == 5000 and numbered.filter("row_idx <> id").count() == 0 and numbered.count() == 5000
+    assert reads.value <= 3

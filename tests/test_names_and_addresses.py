@@ -1,10 +1,15 @@
 import random
+import time
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridframe import clean_names, col_letters, col_number, column_index, distinct_names, parse_range, range_address, unique_names
+from gridframe.functions.address import address_cells, address_title, letters_of
 from gridframe.functions.names import clean_name_list, table_name_list, unique_name_list
+from gridframe.operators.tables import record_names
 
 REPEATED = [
     (["a", "a", "a"], ["a", "a1", "a2"]),
@@ -80,3 +85,41 @@ def test_parse_range():
     for bad in ("", "nonsense here", "1A:2B", ":"):
         with pytest.raises(ValueError):
             parse_range(bad)
+
+
+def test_letters_of_every_bigint(spark):
+    numbers = [8353082582, 8353082583, 2**62, 2**63 - 1]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n bigint").select("n", col_letters(F.col("n")).alias("s")).collect()
+    assert [column_index(r.s) + 1 for r in rows] == numbers and [r.s for r in rows] == [letters_of(n) for n in numbers]
+    assert rows[0].s == "ZZZZZZZ" and rows[1].s == "AAAAAAAA"
+
+
+def test_corners_in_either_order():
+    assert parse_range("D9:B2") == parse_range("B2:D9") == parse_range("B9:D2")
+    assert parse_range("C:A") == (0, None, 0, 3) and parse_range("5:2") == (1, 5, 0, None)
+
+
+def test_titles_are_read_back(spark):
+    titles = ["Plain", "Hi! there", "a:b", "it's", "''", "'", "!", "x!A1:B2", "two words", "", "A1", "line\n", "é" * 9000]
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    address = range_address(F.col("t"), F.lit(4), 2, quote=True)
+    rows = df.select("t", address_title(address).alias("title"), address_cells(address).alias("cells")).collect()
+    assert all(r.title == r.t and r.cells == "C5" for r in rows)
+    bare = spark.createDataFrame([("S!A1:B2", "S", "A1:B2"), ("S", "S", ""), ("Hi! there!B2", "Hi! there", "B2"), ("'q:r'", "q:r", "")], "a string, t string, c string")
+    assert all(r.t == r.title and r.c == r.cells for r in bare.select("t", "c", address_title(F.col("a")).alias("title"), address_cells(F.col("a")).alias("cells")).collect())
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(headers=st.lists(st.lists(st.sampled_from(["a", "a1", "a11", "a111", "a2", "b", "b 1", "B-1"]), min_size=1, max_size=9), min_size=100, max_size=100))
+def test_record_and_table_names_are_equal(spark, headers):
+    headers = [["a", "a", "a1", "a11", "a111"], *headers]
+    for unique, clean in ((True, True), (True, False), (False, True), (False, False)):
+        got = names_of(spark, lambda h: record_names(h, unique, clean), headers)
+        assert got == [table_name_list(h, unique, clean) for h in headers]
+
+
+def test_wide_headers_are_quick(spark):
+    header = ["a"] * 400 + [f"a{i}" for i in range(300)] + ["b", "b1"] * 150
+    start = time.perf_counter()
+    got = names_of(spark, lambda h: record_names(h, True, True), [header] * 3)
+    assert got == [table_name_list(header)] * 3 and time.perf_counter() - start < 20

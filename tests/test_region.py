@@ -40,8 +40,8 @@ def test_overlay_leaves_the_rest_untouched(spark, make_grid):
 
 
 def test_documented_write_block(make_grid, lines):
-    block = make_grid([["Name", "Age"], ["Alice", "28"], ["Bob", "35"]])
-    assert lines(gf.overlay(make_grid([]), block, 0, 0)) == [["Name", "Age"], ["Alice", "28"], ["Bob", "35"]]
+    block = make_grid([["Town", "Rank"], ["Oslo", "3"], ["Rome", "1"]])
+    assert lines(gf.overlay(make_grid([]), block, 0, 0)) == [["Town", "Rank"], ["Oslo", "3"], ["Rome", "1"]]
 
 
 def test_overlay_many_sheets_and_new_sheet(make_grid):
@@ -59,9 +59,9 @@ def test_clear_region(make_grid, lines):
 
 
 def test_filters(make_grid):
-    grid = make_grid([["h", "x", "EXCLUDE_ME"], ["", "x", "EXCLUDE_ME"], ["k", "x", "no"], ["", "y"], ["m", "z", "EXCLUDE_ME"]])
+    grid = make_grid([["h", "x", "out"], ["", "x", "out"], ["k", "x", "no"], ["", "y"], ["m", "z", "out"]])
     assert visible(gf.apply_filter(grid)) == [0, 2, 4]
-    by_text = gf.apply_filter(grid, filter_col=2, start_row=1, exclude="EXCLUDE_ME")
+    by_text = gf.apply_filter(grid, filter_col=2, start_row=1, exclude="out")
     assert visible(by_text) == [0, 1, 2, 3]
     assert visible(gf.apply_filter(grid, filter_col=2)) == [0, 1, 2, 4]
     assert visible(gf.remove_filter(by_text)) == [0, 1, 2, 3, 4]
@@ -70,27 +70,31 @@ def test_filters(make_grid):
 
 
 def test_write_batches_round_trip(spark, tmp_path, make_grid, lines):
-    grid = make_grid({("w", "1", "A"): [[str(i)] for i in range(12)], ("w", "2", "Q1:Q2"): [["x", "y"]]})
-    grid = grid.filter("row_idx not in (0, 3, 6, 7)").unionAll(make_grid({("w", "1", "A"): [["first"]]}))
+    grid = make_grid({("w", "1", "A"): [[str(i)] for i in range(12)], ("w", "2", "Hi! it's: B"): [["x", str(i)] for i in range(11)]})
+    grid = grid.filter("row_idx not in (0, 3, 6, 7) or sheet_id = '2'").unionAll(make_grid({("w", "1", "A"): [["first"]]}))
     batches = gf.write_batches(grid, rows_per_batch=5)
     got = {(r.sheet_id, r.batch_no): (r.range, r["values"]) for r in batches.collect()}
     assert got == {
         ("1", 0): ("A!A1", [["first"], ["1"], ["2"], [], ["4"]]),
         ("1", 1): ("A!A6", [["5"], [], [], ["8"], ["9"]]),
         ("1", 2): ("A!A11", [["10"], ["11"]]),
+        ("2", 0): ("'Hi! it''s: B'!A1", [["x", str(i)] for i in range(5)]),
+        ("2", 1): ("'Hi! it''s: B'!A6", [["x", str(i)] for i in range(5, 10)]),
+        ("2", 2): ("'Hi! it''s: B'!A11", [["x", "10"]]),
     }
     path = str(tmp_path / "batches")
     batches.write.json(path)
     again = gf.read_values(spark, path, positions="range")
-    filled = {i: cells for i, cells in lines(again, sparse=True).items() if cells}
-    assert filled == lines(grid, sparse=True)
+    for title in ("A", "Hi! it's: B"):
+        filled = {i: cells for i, cells in lines(again.filter(F.col("sheet_title") == title), sparse=True).items() if cells}
+        assert filled == lines(grid.filter(F.col("sheet_title") == title), sparse=True)
 
 
 def test_batch_address_with_colon_title(make_grid):
-    assert gf.write_batches(make_grid([["x"]], title="Q1:Q2")).first().range == "Q1:Q2"
+    assert gf.write_batches(make_grid([["x"]], title="Q1:Q2")).first().range == "'Q1:Q2'!A1"
 
 
-PEOPLE = [("John Doe", 25), ("Jane Doe", 28), ("Bob Smith", 30)]
+PEOPLE = [("Ines", 41), ("Hugo", 52), ("Clara", 63)]
 
 
 def test_documented_refresh(spark, make_grid, lines):
@@ -99,7 +103,7 @@ def test_documented_refresh(spark, make_grid, lines):
     new = gf.refresh(old, df, "wb", "Sheet1", 2, "A", ["name"], starting_row_filter_index=1, starting_column_filter_index=0,
                      apply_filter_to_column_index=1)
     sheet = lines(gf.select_sheet(new, "0"))
-    assert sheet[:5] == [["keep"], ["name", "age", "q0"], ["Bob Smith", "30", ""], ["Jane Doe", "28", ""], ["John Doe", "25", ""]]
+    assert sheet[:5] == [["keep"], ["name", "age", "q0"], ["Clara", "63", ""], ["Hugo", "52", ""], ["Ines", "41", ""]]
     assert all(set(cells) == {""} for cells in sheet[5:]) and len(sheet) == 9
     # The filter hides the rows whose column B is blank, below its own header row.
     assert visible(gf.select_sheet(new, "0")) == [0, 1, 2, 3, 4]
@@ -111,23 +115,31 @@ def test_documented_refresh(spark, make_grid, lines):
 def test_refresh_keeps_other_content(spark, make_grid, lines):
     df = spark.createDataFrame(PEOPLE[:2], "name string, age bigint")
     rows = [[f"{c}{r}" for c in "ABCDE"] for r in range(1, 8)]
-    kept = gf.refresh(make_grid(rows), df, "wb", "0", 2, "B", ["name"], preserve_last_n_columns=1)
+    kept = gf.refresh(make_grid(rows), df, "wb", "0", 2, "B", ["name"], col_count=5, preserve_last_n_columns=1)
     assert lines(kept)[1] == ["A2", "name", "age", "D2", "E2"]
-    assert lines(kept)[2] == ["A3", "Jane Doe", "28", "", "E3"]
+    assert lines(kept)[2] == ["A3", "Hugo", "52", "", "E3"]
     assert lines(kept)[6] == ["A7", "", "", "", "E7"]
     by_count = gf.refresh(make_grid(rows), df, "wb", "0", 2, "B", ["name"], col_count=4, preserve_last_n_columns=1)
     assert lines(by_count)[6] == ["A7", "", "", "D7", "E7"]
     # Bounded: two body rows and one more, two columns from the start column.
     bounded = gf.refresh(make_grid(rows), df, "wb", "0", 2, "B", ["name"], do_not_clear_entire_target_sheet_range=True)
     assert lines(bounded)[2:6] == [
-        ["A3", "Jane Doe", "28", "D3", "E3"], ["A4", "John Doe", "25", "D4", "E4"],
+        ["A3", "Hugo", "52", "D3", "E3"], ["A4", "Ines", "41", "D4", "E4"],
         ["A5", "", "", "D5", "E5"], ["A6", "B6", "C6", "D6", "E6"]]
 
 
 def test_refresh_of_empty_things(spark, make_grid, lines):
     df = spark.createDataFrame(PEOPLE, "name string, age bigint")
-    fresh = gf.refresh(make_grid([]), df, "wb", "0", 1, "C", ["age"])
-    assert lines(fresh)[:2] == [["", "", "name", "age"], ["", "", "John Doe", "25"]]
+    fresh = gf.refresh(make_grid([]), df, "wb", "0", 1, "C", ["age"], create=True)
+    assert lines(fresh)[:2] == [["", "", "name", "age"], ["", "", "Ines", "41"]]
+    with pytest.raises(ValueError, match="no sheet"):
+        gf.refresh(make_grid([["a"]]), df, "wb", "Shet1", 1, "A", ["age"])
+    with pytest.raises(ValueError, match="column count"):
+        gf.refresh(make_grid([["a"]]), df, "wb", "0", 1, "A", ["age"], preserve_last_n_columns=2)
+    listed = spark.createDataFrame([("wb", "0", "Sheet1", 100, 4)], "workbook_id string, sheet_id string, sheet_title string, row_count int, col_count int")
+    by_properties = gf.refresh(make_grid([list("abcd")] * 3), df, "wb", "0", 1, "A", ["age"], sheets=listed, preserve_last_n_columns=1)
+    assert lines(by_properties)[1] == ["Ines", "41", "", "d"]
+    assert lines(gf.refresh(make_grid([]), df, "wb", "0", 1, "A", ["age"], sheets=listed))[1] == ["Ines", "41"]
     only_header = gf.refresh(make_grid([["a"], ["b"]]), df.limit(0), "wb", "0", 1, "A", ["age"])
     assert lines(only_header) == [["name", "age"], [""]]
     bounded = gf.refresh(make_grid([["a"], ["b"], ["c"]]), df.limit(0), "wb", "0", 1, "A", ["age"],
@@ -168,4 +180,4 @@ def test_refresh_joins_once(spark, make_grid):
         F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.lit("S").alias("sheet_title"),
         F.col("id").alias("row_idx"), F.array(F.col("id").cast("string")).alias("cells"))
     plan = gf.refresh(grid, df, "wb", "0", 1, "A", ["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join") == 1
+    assert plan.count("Join FullOuter") == 1 and plan.count("Join") == 2

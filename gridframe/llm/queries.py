@@ -9,11 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, mixing, pii, secret_scan, setsketch, url_filter
+from gridframe.llm import bpe, chat, covertree, kmeans_tree, langid, mixing, oracles, pii, secret_scan, setsketch, url_filter
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracles.SQL)
 
 RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"

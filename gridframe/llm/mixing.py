@@ -27,7 +27,9 @@ MOST_REPEATS = 3
 # Weight of a source over time: straight from the first number to the second. Taken in turn by the sources in order.
 SCHEDULES = ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))
 # Documents of a bucket of the order, on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
+# Rows of a table that is still sent to every task; a larger one is joined by key.
+SENT_ROWS = 100_000
 SPACE, SEED = 1 << 40, 11
 
 
@@ -92,13 +94,13 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     rate = lambda i: F.element_at(F.array(*[F.lit(float(s[i])) for s in schedules]), (F.pmod("no", F.lit(len(schedules))) + 1).cast("int"))
     facts = checkpoint_once(facts.select("t.source", "t.source_size", "target", F.ceil(F.col("rows") / bucket_rows).alias("buckets"), rate(0).alias("early"), rate(1).alias("late")))
 
-    facts = facts.withColumnRenamed("source", "__source")
+    facts = _sent_if_small(facts.withColumnRenamed("source", "__source"))
     rows = docs.join(facts, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     rows = rows.withColumn("bucket", F.floor(F.col("order") * F.col("buckets") / SPACE).cast("bigint"))
     in_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = in_bucket.select(F.col("source").alias("__source"), F.col("bucket").alias("__bucket"), F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("start"))
-    starts = checkpoint_once(starts)
+    starts = _sent_if_small(checkpoint_once(starts))
     rows = rows.join(starts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket"))).drop("__source", "__bucket")
     within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2
@@ -119,6 +121,11 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     return rows.select("doc_id", "order", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), positions.alias("positions"))
 
 
+def _sent_if_small(stored: DataFrame) -> DataFrame:
+    """A stored table of two or three short columns, broadcast only after its rows have been counted."""
+    return F.broadcast(stored) if stored.count() <= SENT_ROWS else stored
+
+
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """One row for each copy, with its ``position``, sorted by range over the whole table."""
     copies = mixed.withColumn("position", F.explode("positions")).drop("positions")

@@ -57,8 +57,9 @@ def frame(spark, documents):
     return spark.createDataFrame([(i, texts[i], sources[i], "k") for i in texts], "doc_id long, text string, source string, target string")
 
 
-@pytest.mark.parametrize("bucket_rows", [20_000, 15])
-def test_targets_and_what_is_taken(spark, documents, bucket_rows):
+@pytest.mark.parametrize("bucket_rows,sent", [(1_000, 100_000), (15, 0)])
+def test_targets_and_what_is_taken(spark, documents, bucket_rows, sent, monkeypatch):
+    monkeypatch.setattr(mixing, "SENT_ROWS", sent)
     check(mixing.mix(frame(spark, documents), bucket_rows=bucket_rows).collect(), *documents)
 
 

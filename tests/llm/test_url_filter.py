@@ -68,3 +68,52 @@ def test_query_and_no_python(spark):
         assert (r.host, r.path, r.rule) == (host, route, rule) and (not rule or r.verdict == verdict)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_templates(rows):
+    """Verdict of each (host, path) by the template tree, with dictionaries; ``rows`` are (host, path, verdict by rule)."""
+
+    def form(path):
+        parts = [re.sub(r"^(?:\d+|(?=[^.]*\d)[0-9a-fA-F-]{8,}|(?=[^.]*\d)[\w-]+)(\.\w{1,5})?$", r"*\1", s, flags=re.A) for s in path.split("/")[1:]]
+        return tuple(parts[:4] + ["**"] if len(parts) > 4 else parts)
+
+    pages = [(host, form(path), verdict) for host, path, verdict in rows]
+    template = {(h, f): "" for h, f, _ in pages}
+    for level in range(5):
+        counts, parents = {}, {}
+        for h, f, verdict in pages:
+            if level < len(f):
+                for into, key in ((counts, (h, template[h, f], f[level])), (parents, (h, template[h, f]))):
+                    n = into.setdefault(key, [0, 0, 0, set()])
+                    n[0], n[1], n[2] = n[0] + 1, n[1] + bool(verdict), n[2] + (verdict == "block")
+                    n[3].add(f[level])
+        after = {}
+        for (h, f), t in template.items():
+            if level >= len(f):
+                after[h, f] = t
+                continue
+            (n, known, bad, _), (all_n, all_known, all_bad, values) = counts[h, t, f[level]], parents[h, t]
+            name = f[level]
+            if len(values) > 12 and all_n < len(values) * 3:
+                name = "*"
+            elif 0 < known < all_known:
+                share = all_bad / all_known
+                if abs(bad / known - share) <= 1.96 * (share * (1 - share) / known) ** 0.5:
+                    name = "*"
+            after[h, f] = f"{t}/{name}"
+        template = after
+    known, bad = {}, {}
+    for h, f, verdict in pages:
+        key = h, template[h, f]
+        known[key], bad[key] = known.get(key, 0) + bool(verdict), bad.get(key, 0) + (verdict == "block")
+    share = sum(bad.values()) / max(1, sum(known.values()))
+    return {(h, p): v or ("block" if known[k] and (bad[k] + 4 * share) / (known[k] + 4) >= 0.5 else "allow") for (h, p, v), (_, f, _) in zip(rows, pages) for k in [(h, template[h, f])]}
+
+
+def test_query_against_dictionaries(spark):
+    path = "/root/testdata/sf0.1"
+    rows = queries.op9_path_templates(spark, path).collect()
+    by_rule = {text: verdict for verdict, text in ((r[0], r[1] + r[2]) for r in RULES)}
+    want = brute_templates([(r.host, r.path, by_rule.get(r.rule)) for r in rows])
+    assert all(r.verdict == want[r.host, r.path] for r in rows)
+    assert {r.verdict for r in rows if not r.rule} >= {"allow"}

@@ -126,7 +126,7 @@ CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
 
 @check(f"select row_number() over (order by c_custkey) - 1 as row_idx, {CUSTOMER_ROW} as html from customer")
 def to_html_rows(spark, sf_dir):
-    return gf.to_html_rows(table(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), ["c_custkey"])
+    return gf.to_html_rows(table(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), ["c_custkey"], rows_per_bucket=400)
 
 
 @check(f"""
@@ -138,7 +138,7 @@ def to_html_rows(spark, sf_dir):
 """)
 def to_html_table(spark, sf_dir):
     return gf.to_html_table(
-        table(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), ["c_custkey"], table_style="color:navy", rows_per_fragment=400
+        table(spark, sf_dir, "customer").select(*CUSTOMER_COLUMNS), ["c_custkey"], table_style="color:navy", rows_per_fragment=400, rows_per_bucket=400
     )
 
 

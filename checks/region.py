@@ -120,7 +120,7 @@ def refresh(spark, sf_dir):
     df = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     new = gf.refresh(
         customer_grid(spark, sf_dir), df, "wb", "Sheet1", 4, "B", ["s_suppkey"],
-        apply_filter_to_column_index=2, starting_row_filter_index=3, starting_column_filter_index=1,
+        apply_filter_to_column_index=2, starting_row_filter_index=3, starting_column_filter_index=1, rows_per_bucket=30,
     )
     return _refreshed(new)
 
@@ -149,7 +149,7 @@ def refresh_bounded(spark, sf_dir):
     """Only the rectangle of the new content, and one row more, is cleared."""
     df = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return _refreshed(gf.refresh(
-        customer_grid(spark, sf_dir), df, "wb", "0", 3, "C", ["s_suppkey"], do_not_clear_entire_target_sheet_range=True
+        customer_grid(spark, sf_dir), df, "wb", "0", 3, "C", ["s_suppkey"], do_not_clear_entire_target_sheet_range=True, rows_per_bucket=30
     ))
 
 

@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Pre-tokens a task remembers; reaching it empties the cache, results do not change.
-CACHE_TOKENS = 300_000
+from gridframe.llm.kept import kept
+
+# Pre-tokens a worker remembers in each of two generations; results do not depend on it.
+CACHE_TOKENS = 200_000
 # Longer pre-tokens are rare and large, so they are not remembered.
 CACHE_LENGTH = 64
 # Texts are matched in runs of this many pre-tokens, so a very long text needs no list of all of them.
@@ -155,17 +157,22 @@ class Encoder(dict):
     def __init__(self, table: PerfectHash, pattern: str) -> None:
         super().__init__()
         self.table = table
+        self.older: dict[str, bytes] = {}
         self.pattern = regex.compile(pattern)
         self.single = [table.get(bytes([byte])) for byte in range(256)]
         self.joined = mergeable_pairs(table.keys)
 
     def __missing__(self, token: str) -> bytes:
-        raw = token.encode("utf-8", "replace")
-        number = self.table.get(raw)
-        ids = [number] if number is not None else merge_bytes(raw, self.single, self.joined)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.older.get(token)
+        if packed is None:
+            raw = token.encode("utf-8", "replace")
+            number = self.table.get(raw)
+            ids = [number] if number is not None else merge_bytes(raw, self.single, self.joined)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= CACHE_LENGTH:
             if len(self) >= CACHE_TOKENS:
+                # What was used since the last turn is kept for one more.
+                self.older = dict(self)
                 self.clear()
             self[token] = packed
         return packed
@@ -179,17 +186,6 @@ class Encoder(dict):
         return b"".join(runs)
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder_of(ranks: str, pattern: str, table: PerfectHash) -> Encoder:
-    """The encoder of this worker process, which later tasks go on using."""
-    if (ranks, pattern) not in _encoders:
-        _encoders.clear()
-        _encoders[ranks, pattern] = Encoder(table, pattern)
-    return _encoders[ranks, pattern]
-
-
 def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         for low in range(0, len(batch), SLICE):
@@ -213,7 +209,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
     sent = df.sparkSession.sparkContext.broadcast(perfect_hash(ranks))
 
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = encoder_of(ranks, pattern, sent.value)
+        encoder = kept(("bpe", ranks, pattern), lambda: Encoder(sent.value, pattern))
         for part in slices(batches):
             yield pa.array([encoder.encode(value.as_py() or "") for value in part], pa.binary())
 

@@ -15,6 +15,7 @@ task scores each distinct word once and remembers a bounded number of them.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.llm.kept import kept
+
 # Labelled rows per language in the sample, on average; the words counted from them are bounded strictly.
 SAMPLE_DOCS = 1_500
 SAMPLE_WORDS = 60_000
@@ -37,7 +40,7 @@ UNKNOWN_LETTER = 1e-7
 # Longer runs of letters are cut here, so that no product of probabilities underflows.
 WORD_LETTERS = 24
 # Numbers a task remembers for the words it has scored.
-CACHE_SCORES = 4_000_000
+CACHE_SCORES = 1_600_000
 MARK = "▁"
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -241,7 +244,7 @@ class Scorer:
         return out
 
 
-def runs(texts: list[str | None], letters: int = 400_000) -> Iterator[list[str | None]]:
+def runs(texts: list[str | None], letters: int = 1_500_000) -> Iterator[list[str | None]]:
     """Texts in runs of about as many letters in all, whatever the length of each."""
     run, size = [], 0
     for text in texts:
@@ -262,11 +265,11 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_out: str = "la
     beforehand; a tie goes to the name that sorts first. Columns already named
     as the outputs are replaced.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
     def score_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer, languages = Scorer(sent.value), sent.value.languages
+        scorer, languages = kept(("langid", key), lambda: Scorer(sent.value)), sent.value.languages
         for batch in batches:
             names, scores = [], []
             for run in runs(batch.to_pylist()):
@@ -282,9 +285,9 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_out: str = "la
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
 
     score = F.arrow_udf(score_batches, "lang string, score double")(F.col(text))
-    kept = [c for c in df.columns if c not in (lang_out, score_out)]
-    scored = df.select(*[F.col(f"`{c}`") for c in kept], score.alias(hidden := f"__scored_{len(df.columns)}"))
-    return scored.select(*[F.col(f"`{c}`") for c in kept], F.col(hidden)["lang"].alias(lang_out), F.col(hidden)["score"].alias(score_out))
+    carried = [c for c in df.columns if c not in (lang_out, score_out)]
+    scored = df.select(*[F.col(f"`{c}`") for c in carried], score.alias(hidden := f"__scored_{len(df.columns)}"))
+    return scored.select(*[F.col(f"`{c}`") for c in carried], F.col(hidden)["lang"].alias(lang_out), F.col(hidden)["score"].alias(score_out))
 
 
 def held_out(doc_id: Column) -> Column:

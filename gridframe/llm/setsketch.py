@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridframe.llm.components import connected_components
+from gridframe.llm.kept import kept
 from gridframe.operators.extent import checkpoint_once
 
 REGISTERS, ROWS = 252, 6
@@ -50,9 +51,9 @@ BLOCK = 1_500
 # Shingles of all texts in a block of a family, on average.
 FAMILY_SHINGLES = 250_000
 # Shingles of all texts that one verifying group holds, more only where a single text has more.
-GROUP_SHINGLES = 400_000
+GROUP_SHINGLES = 60_000
 # Word hashes a task remembers, and shingles it sketches at a time.
-CACHE_WORDS, RUN_SHINGLES = 400_000, 200_000
+CACHE_WORDS, RUN_SHINGLES = 300_000, 200_000
 
 _random = np.random.default_rng(20)
 SEEDS = _random.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
@@ -239,7 +240,7 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
     """``id, n_shingles, d1, d2, sketch`` of rows ``id, text``: set size, 128-bit digest of the set, registers."""
 
     def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = kept("words", WordHashes)
 
         def flush(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
             filled = [i for i, s in enumerate(sets) if len(s)]
@@ -282,7 +283,7 @@ def _bucket_entries(classes: DataFrame) -> DataFrame:
 
 def checked_sets(group: pd.DataFrame, width: int) -> dict[int, np.ndarray]:
     """Shingle set of each class of a group; a text that is not the class's own (its id stands twice) is passed over."""
-    hashes, sets = WordHashes(), {}
+    hashes, sets = kept("words", WordHashes), {}
     for rep, text, digest in zip(group["rep"], group["text"], group["d1"]):
         if rep not in sets:
             found = shingle_set(text, width, hashes)

@@ -230,9 +230,11 @@ class Scorer:
 
     def score(self, texts: list[list[str]]) -> np.ndarray:
         """Row per text, zero for a text without words."""
-        if (len(self.place) + sum(map(len, texts))) * self.width > CACHE_SCORES:
+        distinct = set().union(*texts)
+        new = list(distinct - self.place.keys())
+        if self.place and (len(self.place) + len(new)) * self.width > CACHE_SCORES:
             self._forget()
-        new = list(set().union(*texts) - self.place.keys())
+            new = list(distinct)
         self.scores = np.concatenate([self.scores, log_likelihoods(new, self.pieces, self.probabilities)])
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         out = np.zeros((len(texts), self.probabilities.shape[1]))

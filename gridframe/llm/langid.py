@@ -286,7 +286,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_out: str = "la
                     scores.append(float(1.0 / np.exp(np.maximum(row - row[best], -700.0)).sum()))
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
 
-    score = F.arrow_udf(score_batches, "lang string, score double")(F.col(text))
+    # Else a filter on the result would be pushed below it and score every text a second time.
+    score = F.arrow_udf(score_batches, "lang string, score double").asNondeterministic()(F.col(text))
     carried = [c for c in df.columns if c not in (lang_out, score_out)]
     scored = df.select(*[F.col(f"`{c}`") for c in carried], score.alias(hidden := f"__scored_{len(df.columns)}"))
     return scored.select(*[F.col(f"`{c}`") for c in carried], F.col(hidden)["lang"].alias(lang_out), F.col(hidden)["score"].alias(score_out))

@@ -8,8 +8,10 @@ until the wished share of them lies in visited leaves.
 
 Copies of a vector are one candidate: only the few smallest ids of each vector
 can be among its neighbours, so the rest never meet a query. Equal queries are
-searched once. A leaf is compared in blocks of rows and of queries of bounded
-size, each block giving at most the wished number of neighbours per query.
+searched once. Leaves under one child of the root are compared together, in
+blocks of rows and of queries of bounded size: a query goes to each such cell
+once, with the list of leaves it visits there, and each block gives at most the
+wished number of neighbours per query.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ SAMPLE_ROWS, CALIBRATION_QUERIES = 16_384, 256
 CHILDREN, LEAF_ROWS = 16, 48
 # Share of the exact neighbours of the calibration queries that visited leaves must hold.
 RECALL = 0.96
-# Rows of a leaf, and queries that visit it, that meet in one group, on average.
+# Rows of a cell, and queries that visit it, that meet in one group, on average.
 BLOCK_ROWS = 4_096
 # Scores this close to the last place are computed again, one by one, before they are ranked.
 CLOSE = 1e-9
@@ -84,6 +86,18 @@ class Tree:
                 pending += [(child, rows[owner == i]) for i, child in enumerate(self.children[node])]
         return leaf
 
+    def cells(self) -> dict[int, int]:
+        """The child of the root that each leaf is under."""
+        found = {}
+        for cell in self.children[0] or [0]:
+            pending = [cell]
+            while pending:
+                node = pending.pop()
+                pending += self.children[node]
+                if not self.children[node]:
+                    found[node] = cell
+        return found
+
     def visits(self, point: np.ndarray) -> Iterator[int]:
         """Leaves in the order in which best-bin-first search reaches them."""
         heap = [(-1.0, 0)]
@@ -108,22 +122,37 @@ def cosine(query: np.ndarray, points: np.ndarray) -> np.ndarray:
     return (points * query).sum(axis=1) / (np.sqrt((points * points).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
-def nearest(queries: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its place, and the ids and scores of its ``k`` nearest points, nearest first, ties to the smaller id."""
+def nearest(queries: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k: int, leaves: np.ndarray | None = None, visited: list | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query its place, and the ids and scores of its ``k`` nearest points, nearest first, ties to the smaller id.
+
+    With the points' ``leaves`` a query meets only the points of those it has ``visited``.
+    """
+    if leaves is None:
+        leaves, visited = np.zeros(len(points), np.int64), [[0]] * len(queries)
+    order = np.argsort(leaves, kind="stable")
+    points, point_ids = points[order], point_ids[order]
+    names, starts = np.unique(leaves[order], return_index=True)
+    stops = np.append(starts[1:], len(points))
     unit_points = units(points)
     for low in range(0, len(queries), 256):
-        rough = units(queries[low : low + 256]) @ unit_points.T
+        block = units(queries[low : low + 256])
+        comes = np.array([np.isin(names, list(v)) for v in visited[low : low + 256]])
+        rough = np.full((len(block), len(points)), -np.inf)
+        for leaf, (start, stop) in enumerate(zip(starts, stops)):
+            who = np.flatnonzero(comes[:, leaf])
+            rough[who, start:stop] = block[who] @ unit_points[start:stop].T
         for i, row in enumerate(rough):
             last = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            close = np.flatnonzero(row >= last - CLOSE)
+            close = np.flatnonzero((row >= last - CLOSE) & (row > -np.inf))
             score = cosine(queries[low + i], points[close])
             order = np.lexsort((point_ids[close], -score))[:k]
             yield low + i, point_ids[close][order], score[order]
 
 
-def _found(group: pd.DataFrame, points: np.ndarray, point_ids: np.ndarray, k: int) -> pd.DataFrame:
+def _found(group: pd.DataFrame, points: np.ndarray, point_ids: np.ndarray, k: int, leaves: np.ndarray | None = None) -> pd.DataFrame:
     keys, ids, scores = [], [], []
-    for i, found, score in nearest(matrix(group["vec"]), points, point_ids, k):
+    visited = None if leaves is None else list(group["leaves"])
+    for i, found, score in nearest(matrix(group["vec"]), points, point_ids, k, leaves, visited):
         keys += [group["query"].iloc[i]] * len(found)
         ids.append(found)
         scores.append(score)
@@ -182,14 +211,17 @@ def search(df: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL,
 
     context = df.sparkSession.sparkContext
     trees = context.broadcast(fit(rows))
+    cells = context.broadcast({dim: tree.cells() for dim, tree in trees.value.items()})
     visits = context.broadcast(_calibrated(queries, rows, trees.value, k, recall))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, group in batch.groupby("dim"):
-                yield group.assign(leaf=trees.value[dim].assign(units(matrix(group["vec"]))))
+                leaf = trees.value[dim].assign(units(matrix(group["vec"])))
+                yield group.assign(leaf=leaf, cell=[cells.value[dim][i] for i in leaf])
 
-    placed = checkpoint_once(rows.select("vec_id", "vec", "dim").mapInPandas(assign, "vec_id bigint, vec array<double>, dim int, leaf bigint"))
+    placed = rows.select("vec_id", "vec", "dim").mapInPandas(assign, "vec_id bigint, vec array<double>, dim int, leaf bigint, cell bigint")
+    placed = checkpoint_once(placed)
     # One number per leaf.
     sizes = {(r.dim, r.leaf): r["count"] for r in placed.groupBy("dim", "leaf").count().collect()}
     filled = context.broadcast(sizes)
@@ -198,31 +230,35 @@ def search(df: DataFrame, is_query: Column, k: int = 5, recall: float = RECALL,
         for batch in batches:
             out = []
             for query, vec, dim in zip(batch["query"], batch["vec"], batch["dim"]):
-                seen, held = 0, 0
+                seen, held, by_cell = 0, 0, {}
                 for leaf in trees.value[dim].visits(units(np.asarray(vec)[None, :])[0]):
                     if seen >= visits.value[dim] and held > k:
                         break
                     seen, held = seen + 1, held + filled.value.get((dim, leaf), 0)
                     if (dim, leaf) in filled.value:
-                        out.append((query, vec, dim, leaf))
-            yield pd.DataFrame(out, columns=["query", "vec", "dim", "leaf"])
+                        by_cell.setdefault(cells.value[dim][leaf], []).append(leaf)
+                out += [(query, vec, dim, cell, leaves) for cell, leaves in by_cell.items()]
+            yield pd.DataFrame(out, columns=["query", "vec", "dim", "cell", "leaves"])
 
-    visiting = checkpoint_once(queries.select("query", "vec", "dim").mapInPandas(visit, "query bigint, vec array<double>, dim int, leaf bigint"))
-    visitors = {(r.dim, r.leaf): r["count"] for r in visiting.groupBy("dim", "leaf").count().collect()}
+    asked_of = "query bigint, vec array<double>, dim int, cell bigint, leaves array<bigint>"
+    visiting = checkpoint_once(queries.select("query", "vec", "dim").mapInPandas(visit, asked_of))
+    # Two numbers per cell.
     spark = df.sparkSession
-    blocks = [(d, leaf, blocks_for(n, block_rows), blocks_for(visitors.get((d, leaf), 0), block_rows)) for (d, leaf), n in sizes.items()]
-    blocks = F.broadcast(spark.createDataFrame(blocks, "dim int, leaf bigint, row_blocks bigint, query_blocks bigint"))
+    rows_in = {(r.dim, r.cell): r["count"] for r in placed.groupBy("dim", "cell").count().collect()}
+    visitors = {(r.dim, r.cell): r["count"] for r in visiting.groupBy("dim", "cell").count().collect()}
+    blocks = [(dim, cell, blocks_for(n, block_rows), blocks_for(visitors.get((dim, cell), 0), block_rows)) for (dim, cell), n in rows_in.items()]
+    blocks = F.broadcast(spark.createDataFrame(blocks, "dim int, cell bigint, row_blocks bigint, query_blocks bigint"))
 
     def grid(frame: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        frame = frame.join(blocks, ["dim", "leaf"]).withColumn(own[:-1], F.pmod(F.xxhash64(key), F.col(own)))
+        frame = frame.join(blocks, ["dim", "cell"]).withColumn(own[:-1], F.pmod(F.xxhash64(key), F.col(own)))
         return frame.withColumn(other[:-1], F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))).drop(own, other)
 
-    keys = ["dim", "leaf", "row_block", "query_block"]
+    keys = ["dim", "cell", "row_block", "query_block"]
 
     def compare(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
         if not len(one) or not len(other):
             return pd.DataFrame({"query": [], "vec_id": [], "score": []})
-        return _found(one, matrix(other["vec"]), other["vec_id"].to_numpy(), k + 1)
+        return _found(one, matrix(other["vec"]), other["vec_id"].to_numpy(), k + 1, other["leaf"].to_numpy())
 
     asking = grid(visiting, "query", "query_blocks", "row_blocks").groupBy(keys)
     found = asking.cogroup(grid(placed, "vec_id", "row_blocks", "query_blocks").groupBy(keys)).applyInPandas(compare, FOUND)

@@ -168,7 +168,7 @@ def _ranked(found: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def fit(rows: DataFrame) -> dict[int, Tree]:
-    """A tree for each length of vector, from one bounded sample of ``vec_id, vec, dim``."""
+    """A tree for each length of vector, from one bounded sample of ``vec_id, vec, dim``; a length the sample misses has one leaf."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -186,6 +186,8 @@ def fit(rows: DataFrame) -> dict[int, Tree]:
             tree.children, tree.centroids = [], []
         tree.children.append(list(row.children))
         tree.centroids.append(np.array(row.centroids) if row.centroids else None)
+    for row in rows.select("dim").distinct().collect():
+        trees.setdefault(row.dim, Tree())
     return trees
 
 

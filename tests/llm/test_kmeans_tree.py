@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridframe.llm import kmeans_tree, queries
 
@@ -69,6 +70,19 @@ def test_defined_results(spark):
     assert kmeans_tree.search(df.limit(0), df.vec_id >= 0).count() == 0
 
 
+def test_length_that_the_sample_misses(spark, monkeypatch):
+    monkeypatch.setattr(kmeans_tree, "SAMPLE_ROWS", 60)
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(600)] + [(1000, [1.0, 2.0]), (1001, [2.0, 1.0]), (1002, [-1.0, 0.5]), (1003, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sampled = df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(60).filter("size(embedding) < 4")
+    assert sampled.count() == 0
+    got = by_query(kmeans_tree.search(df, (df.vec_id >= 1000) | (df.vec_id < 5)))
+    want = brute(rows, lambda i: i >= 1000 or i < 5, 5)
+    assert [i for i, _ in got[1000]] == [1001, 1002] and 1003 not in got
+    assert got.keys() == {q for q, found in want.items() if found} and all(len(got[q]) == 5 for q in range(5))
+
+
 def test_query(spark):
     path = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gridframe.llm.kept import kept
 
-# Labelled rows per language in the sample, on average; the words counted from them are bounded strictly.
+# Distinct labelled texts per language in the sample, on average; the words counted from them are bounded strictly.
 SAMPLE_DOCS = 1_500
 SAMPLE_WORDS = 60_000
 # Passes of expectation maximisation.
@@ -44,6 +44,8 @@ CACHE_SCORES = 1_600_000
 MARK = "▁"
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
+# The same letters for Java.
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -179,19 +181,24 @@ class Model:
 def fit(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Model:
     """Model of the languages of ``labelled`` rows; rows with a null language or text teach nothing.
 
-    A row is in the sample by a hash of its text, about ``sample_docs`` for each
-    language; copies of one text are in or out together and count as often as
-    they occur. Of each language's words the ``sample_words`` most frequent are
-    used, ties by the word. Without any labelled row the model has no language.
+    A text is in the sample by its hash, about ``sample_docs`` different ones for
+    each language, and counts once there however many copies it has. The text of
+    the lowest hash always is, so every language with a word is learned; texts
+    without a letter teach nothing. Of each language's words the
+    ``sample_words`` most frequent are used, ties by the word. Without any
+    labelled row with a word the model has no language.
     """
     vocabulary_pieces = read_pieces(vocabulary)
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
+    space = 1 << 30
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("text"), F.lit(space)))
+    # The number of different texts need not be exact: it only sets the rate.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"), F.min("place").alias("least")).collect()
     if not sizes:
         return Model(vocabulary_pieces, [], np.zeros((len(vocabulary_pieces) + 1, 0)))
-    space = 1 << 30
-    limits = F.create_map(*chain.from_iterable((F.lit(k), F.lit(min(space, space * sample_docs // n))) for k, n in sorted(sizes.items())))
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(space)) < limits[F.col("lang")])
+    limits = {r.lang: max(min(space, space * sample_docs // max(1, r.n)), r.least + 1) for r in sizes}
+    limit = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in sorted(limits.items())))[F.col("lang")]
+    sample = rows.filter(F.col("place") < limit).select("lang", "text").distinct()
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

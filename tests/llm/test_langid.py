@@ -67,6 +67,20 @@ def test_defined_results(spark, model):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+def test_copies_neither_hide_a_language_nor_outweigh_it(spark):
+    hot = "alle meine Entchen schwimmen auf dem See"
+    rows = [(hot, "de")] * 4000 + [(f"das Haus und der Baum {chr(97 + i % 26)}{chr(97 + i // 26)}", "de") for i in range(40)]
+    rows += [(f"the house and the tree {i}", "en") for i in range(3000)] + [("1234 !!", "fr")] * 3000 + [(f"{i} 5", "fr") for i in range(3000)] + [("la maison", "fr")]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = langid.fit(df, VOCABULARY, sample_docs=4)
+    assert model.languages == ["de", "en", "fr"]
+    everything = langid.fit(df, VOCABULARY, sample_docs=10_000)
+    once = langid.fit(df.distinct(), VOCABULARY, sample_docs=10_000)
+    assert (everything.probabilities == once.probabilities).all()
+    got = langid.predict(spark.createDataFrame([("der Baum und das Haus",)], "text string"), everything).first()
+    assert got.lang_pred == "de"
+
+
 def test_no_labels(spark):
     empty = langid.fit(spark.createDataFrame([("a b", None)], "text string, lang string"), VOCABULARY)
     got = langid.predict(spark.createDataFrame([("a b",)], "text string"), empty).first()

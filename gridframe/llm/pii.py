@@ -1,7 +1,8 @@
 """Personal data found in texts and replaced by surrogates of the same kind and form.
 
 Entities are e-mail addresses, telephone numbers, IPv4 addresses, card numbers
-with a valid check digit, and person names behind a form of address. A surrogate
+with a valid check digit, and person names behind a form of address, with all
+other mentions of their words in the same text. A surrogate
 is the entity under a keyed permutation of all strings of its form, so an entity
 gets the same surrogate wherever it occurs (coreference) and two entities never
 get the same one (distinctness), without any table of them:
@@ -48,22 +49,33 @@ ADDRESS_FORMS = {
     "": ("Dr.", "Prof."),
 }
 LETTER_CLASSES = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "áàâäéèêëíìîïóòôöúùûü", "ÁÀÂÄÉÈÊËÍÌÎÏÓÒÔÖÚÙÛÜ", "ñç", "ÑÇ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ", "άέήίόύώ", "ΆΈΉΊΌΎΏ", "0123456789")
+# Words in small letters inside a name, and those that stand before an apostrophe or hyphen.
+PARTICLES = frozenset("van von vom zu zum zur der den dem des de del della dello dei degli delle di da das do dos du la las le les lo los y e af av ten ter te op 't bin ibn bint ben al el abu san santa st ap фон де ван дер ла ντε φον βαν".split())
+ELIDED = frozenset("d l dell dall all o al el as es ad ar ash".split())
+# Words that, though part of a name found, say nothing where they stand alone.
+COMMON = frozenset("A Am An And Are As At But By For From He Her His I If In Is It Its My No Not Of On Or Our She So That The Their Then There They This To Was We Were What When Who Will With You Your Das Der Die Den Dem Des Ein Eine Er Es Ich Im Ist Sie Und Wir Al Del El En Ella Es La Las Le Les Lo Los No Se Si Su Un Una Y Yo Au Ce Elle En Est Et Il Ils Je Nous On Par Un Une Vous А В И К На Не Но Он Она Они По С Это Я Η Ο Οι Το Τα Και Στο Στη".split())
 CLASS_OF = {letter: letters for letters in LETTER_CLASSES for letter in letters}
 POOL_OF = {name: (kind, names) for kind, names in GIVEN_NAMES.items() for name in names}
 
-_word = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+# A possessive ending is no part of a word.
+_word = r"[^\W\d_]+(?:[-'’](?!s(?!\w))[^\W\d_]+)*"
 _forms = "|".join(sorted((re.escape(f) for forms in ADDRESS_FORMS.values() for f in forms), key=len, reverse=True))
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})|\(\d{2,4}\)|\d{3}(?=[.-]\d{3}[.-]\d{4}))(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "name": rf"(?<!\w)(?:{_forms})[  ]{_word}(?: {_word}){{0,2}}",
+    # The words of the name follow in ``name_stop``.
+    "name": rf"(?<!\w)(?:(?:{_forms})[  ])+(?=[^\W\d_])",
 }
 # Text without any of these cannot hold an entity: a run of digits, an at sign, or a form of address.
 HINT = re.compile(rf"@|\d[\d .()-]{{5,}}\d|(?<!\w)(?:{_forms})[  ]")
 ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-ADDRESSED = re.compile(rf"(?:{_forms})[  ]")
+ADDRESSED = re.compile(rf"(?:(?:{_forms})[  ])+")
+
+WORD = re.compile(_word)
+BLANKS = (" ", " ")
+BETWEEN, BETWEEN_INITIALS = re.compile("[  ]"), re.compile("\\.[  ]?")
 
 
 def _number(key: bytes, *parts: object) -> int:
@@ -152,14 +164,84 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         digits = [int(c) for c in text[start:] if c.isdigit()]
         new = iter(permuted(digits, [10] * len(digits), key, f"phone\x1e{text[:start]}\x1e{len(digits)}"))
         return text[:start] + "".join(str(next(new)) if c.isdigit() else c for c in text[start:])
-    address = ADDRESSED.match(text).end()
-    return text[:address] + re.sub(_word, lambda m: name_part(m.group(), key), text[address:])
+    address = found.end() if (found := ADDRESSED.match(text)) else 0
+    return text[:address] + WORD.sub(lambda m: name_part(m.group(), key) if is_name_word(m.group()) else m.group(), text[address:])
+
+
+def is_name_word(word: str) -> bool:
+    """Capitalised, or with a capital behind an elided word or particle (d'Artagnan, al-Hassan)."""
+    first, *rest = re.split("[-'’]", word)
+    return first[0].isupper() or (first in ELIDED or first in PARTICLES) and any(part[:1].isupper() for part in rest)
+
+
+def name_stop(text: str, start: int) -> int:
+    """Where the name that starts here ends: any number of name words, initials with their full stop, particles only before such words."""
+    stop, at = start, start
+    while match := WORD.match(text, at):
+        word = match.group()
+        if at > start and ADDRESSED.match(text, at):
+            break
+        if is_name_word(word):
+            stop = match.end()
+        elif word not in PARTICLES:
+            break
+        after = BETWEEN_INITIALS.match(text, match.end()) if len(word) == 1 and word.isupper() else None
+        after = after or BETWEEN.match(text, match.end())
+        if not after:
+            break
+        at = after.end()
+    return stop
+
+
+def mentions(text: str, start: int, stop: int, known: set[str]) -> Iterator[tuple[int, int]]:
+    """Where words of names already found stand without a form of address; neighbours are one mention, with the particles between them."""
+    first = last = None
+    alone = False
+    for match in WORD.finditer(text, start, stop):
+        word = match.group()
+        if first is not None and not (BETWEEN.fullmatch(text, last, match.start()) or BETWEEN_INITIALS.fullmatch(text, last, match.start())) and not _bridged(text, last, match.start()):
+            if alone:
+                yield first, last
+            first, alone = None, False
+        if word in known:
+            first = match.start() if first is None else first
+            last, alone = match.end(), alone or word not in COMMON and len(word) > 1
+        elif "-" in word or "'" in word or "’" in word:
+            if first is not None and alone:
+                yield first, last
+            first, alone = None, False
+            for part in re.finditer(r"[^\W\d_]+", word):
+                if part.group() in known and part.group() not in COMMON and len(part.group()) > 1:
+                    yield match.start() + part.start(), match.start() + part.end()
+    if first is not None and alone:
+        yield first, last
+
+
+def _bridged(text: str, start: int, stop: int) -> bool:
+    """Whether only particles stand between two words."""
+    between = text[start:stop]
+    return between[:1] in BLANKS and between[-1:] in BLANKS and all(word in PARTICLES for word in between.split())
 
 
 def entities(text: str | None) -> Iterator[tuple[str, int, int]]:
-    """``kind, start, stop`` of the entities of a text, from left to right; a name ends before its first word in small letters."""
+    """``kind, start, stop`` of the entities of a text, from left to right; names also where they are repeated without a form of address."""
     if not text or not HINT.search(text):
         return
+    found = list(_direct(text))
+    known = {m.group() for kind, start, stop in found if kind == "name" for m in WORD.finditer(text, ADDRESSED.match(text, start).end(), stop) if is_name_word(m.group())}
+    if not known:
+        yield from found
+        return
+    at = 0
+    for kind, start, stop in [*found, ("", len(text), len(text))]:
+        yield from (("name", a, b) for a, b in mentions(text, at, start, known))
+        if kind:
+            yield kind, start, stop
+        at = stop
+
+
+def _direct(text: str) -> Iterator[tuple[str, int, int]]:
+    """Entities that are known by their own form; a name ends before its first word that is neither capitalised nor a particle inside it."""
     at = 0
     while match := ANY.search(text, at):
         kind, (start, stop) = match.lastgroup, match.span()
@@ -172,15 +254,9 @@ def entities(text: str | None) -> Iterator[tuple[str, int, int]]:
             if stop is None:
                 continue
         if kind == "name":
-            stop = ADDRESSED.match(text, start).end()
-            at = stop
-            for word in re.compile(_word).finditer(text, stop, match.end()):
-                if not word.group()[0].isupper():
-                    break
-                at = word.end()
-            if at == stop:
+            at = stop = name_stop(text, match.end())
+            if stop == match.end():
                 continue
-            stop = at
         yield kind, start, stop
 
 

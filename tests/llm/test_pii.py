@@ -57,6 +57,22 @@ def test_names_keep_gender_and_script():
     assert pii.name_part("Xy", KEY) != "Xy"
 
 
+def test_whole_names_with_particles_and_initials():
+    for name in ["Mr. Juan Carlos Garcia Lopez", "Mr. Ludwig van Beethoven", "Prof. Maria de la Cruz", "Frau von der Leyen", "Prof. Dr. Hans Müller", "Mr. J. R. R. Tolkien", "Monsieur d'Artagnan"]:
+        assert found(f"So {name} said of the house.") == [("name", name)]
+    assert found("Herr Müller und Frau Schmidt, Mr. Smith Mrs. Jones") == [("name", n) for n in ("Herr Müller", "Frau Schmidt", "Mr. Smith", "Mrs. Jones")]
+    assert pii.surrogate("name", "Mr. Ludwig van Beethoven", KEY).split()[2] == "van"
+
+
+def test_names_without_a_form_of_address_get_the_same_surrogate():
+    text = "Smith came. Mr. John van Smith said: Smith's house, John van Smith, Smith-like, but no Smithson; mail Smith@x.org. Dr. The Fox. The end"
+    new, spans = pii.replaced(text, KEY)
+    first, last = pii.name_part("John", KEY), pii.name_part("Smith", KEY)
+    assert new.startswith(f"{last} came. Mr. {first} van {last} said: {last}'s house, {first} van {last}, {last}-like, but no Smithson; mail ") and new.endswith(" The end")
+    assert [s["kind"] for s in spans] == ["name"] * 5 + ["email", "name"] and "Smith " not in new
+    assert found("Smith came. John, too.") == []
+
+
 def test_columns_of_every_kind(spark):
     rows = [(1, None, "k"), (2, "", "k"), (3, "none here", "k"), (4, "a@x.org and A@X.org, b@x.org", "k"), (4, "a@x.org and A@X.org, b@x.org", "k"), (5, "pad " * 50_000 + "a@x.org", "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans string").selectExpr("*", "'y' as kind")

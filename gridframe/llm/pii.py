@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridframe.operators.extent import checkpoint_once
+
 KEY = b"surrogates-1"
 ROUNDS = 8
 
@@ -48,6 +50,8 @@ ADDRESS_FORMS = {
     "m": ("Mr.", "Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr.", "Г-н", "Κύριος"),
     "": ("Dr.", "Prof."),
 }
+# Country codes other than 1 and 7 have two digits if they are here, else three.
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 LETTER_CLASSES = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "áàâäéèêëíìîïóòôöúùûü", "ÁÀÂÄÉÈÊËÍÌÎÏÓÒÔÖÚÙÛÜ", "ñç", "ÑÇ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ", "άέήίόύώ", "ΆΈΉΊΌΎΏ", "0123456789")
 # Words in small letters inside a name, and those that stand before an apostrophe or hyphen.
 PARTICLES = frozenset("van von vom zu zum zur der den dem des de del della dello dei degli delle di da das do dos du la las le les lo los y e af av ten ter te op 't bin ibn bint ben al el abu san santa st ap фон де ван дер ла ντε φον βαν".split())
@@ -138,6 +142,11 @@ def check_digit(digits: list[int]) -> int:
     return -sum(doubled) % 10
 
 
+def country_code(digits: str) -> str:
+    """Country code that an international number starts with; no code is the start of another."""
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
+
+
 def is_card(text: str) -> bool:
     digits = [int(c) for c in text if c.isdigit()]
     return len(digits) >= 13 and check_digit(digits[:-1]) == digits[-1]
@@ -159,11 +168,12 @@ def surrogate(kind: str, text: str, key: bytes) -> str:
         return "".join(str(next(new)) if c.isdigit() else c for c in text)
     if kind == "phone":
         # The country code stays; the form of the number is not part of the entity, only its digits are.
-        head = re.match(r"\+\d{1,3}", text)
-        start = head.end() if head else 0
-        digits = [int(c) for c in text[start:] if c.isdigit()]
-        new = iter(permuted(digits, [10] * len(digits), key, f"phone\x1e{text[:start]}\x1e{len(digits)}"))
-        return text[:start] + "".join(str(next(new)) if c.isdigit() else c for c in text[start:])
+        digits = "".join(c for c in text if c.isdigit())
+        head = country_code(digits) if text[0] == "+" else ""
+        rest = [int(c) for c in digits[len(head) :]]
+        sign = "+" if text[0] == "+" else ""
+        new = iter([*head, *permuted(rest, [10] * len(rest), key, f"phone\x1e{sign}{head}\x1e{len(rest)}")])
+        return "".join(str(next(new)) if c.isdigit() else c for c in text)
     address = found.end() if (found := ADDRESSED.match(text)) else 0
     return text[:address] + WORD.sub(lambda m: name_part(m.group(), key) if is_name_word(m.group()) else m.group(), text[address:])
 
@@ -305,9 +315,11 @@ def replace_entities(df: DataFrame, key: bytes = KEY, text: str = "text", text_o
 
 
 def collisions(df: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
-    """``kind, surrogate, n`` of surrogates that stand for several entities of a table; there should be none.
+    """``kind, surrogate, n, entity`` of surrogates that stand for several entities of a table, and of entities with several surrogates; there should be none.
 
-    An audit over all rows: entities are combined before they are shuffled.
+    ``n`` counts the others; ``entity`` is null in the first case, ``surrogate`` in
+    the second. An audit over all rows: entities are combined before they are
+    shuffled.
     """
 
     def list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +329,10 @@ def collisions(df: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame
 
     schema = pa.schema([(c, pa.string()) for c in ("kind", "entity", "surrogate")])
     pairs = df.select(F.col(f"`{text}`")).mapInArrow(list_batches, "kind string, entity string, surrogate string").distinct()
-    return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).filter("n > 1")
+    pairs = checkpoint_once(pairs)
+    shared = pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.lit(None).cast("string").alias("entity"))
+    split = pairs.groupBy("kind", "entity").agg(F.count("*").alias("n")).select("kind", F.lit(None).cast("string").alias("surrogate"), "n", "entity")
+    return shared.union(split).filter("n > 1")
 
 
 def form(kind: str, text: str) -> str:

@@ -73,6 +73,17 @@ def test_names_without_a_form_of_address_get_the_same_surrogate():
     assert found("Smith came. John, too.") == []
 
 
+def test_a_telephone_number_is_one_entity_in_any_format(spark, monkeypatch):
+    for formats in (["+1 555 123 4567", "+15551234567", "+1 (555) 123-4567"], ["+44 20 7946 0958", "+442079460958"], ["+351 21 123 4567", "+351211234567"]):
+        new = [pii.surrogate("phone", text, KEY) for text in formats]
+        assert len({pii.form("phone", text) for text in new}) == 1 and pii.form("phone", new[0]) != pii.form("phone", formats[0])
+        assert new[0].split()[0] == formats[0].split()[0] and found(" ".join(formats[:1])) == [("phone", formats[0])]
+    df = spark.createDataFrame([("+1 555 123 4567 or",), ("+15551234567 or",)], "text string")
+    assert pii.collisions(df, KEY).count() == 0
+    monkeypatch.setattr(pii, "_surrogate", lambda kind, text, key: "+1" + ("0" if " " in text else "1") * 10)
+    assert [(r.entity, r.surrogate, r.n) for r in pii.collisions(df, KEY).collect()] == [("+15551234567", None, 2)]
+
+
 def test_columns_of_every_kind(spark):
     rows = [(1, None, "k"), (2, "", "k"), (3, "none here", "k"), (4, "a@x.org and A@X.org, b@x.org", "k"), (4, "a@x.org and A@X.org, b@x.org", "k"), (5, "pad " * 50_000 + "a@x.org", "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans string").selectExpr("*", "'y' as kind")

@@ -6,7 +6,7 @@ as the exponent of ``BASE`` at which it was truncated. Registers of a union are
 the maxima of the registers, so sketches merge, and two sets agree in a register
 about as often as their similarity.
 
-1. Documents with equal sets form a class; one of them stands for it.
+1. Documents with equal sets form a class with a number of its own; one of them stands for it.
 2. Bands of ``ROWS`` registers send classes to buckets. Two sets at the least
    similarity used here, 0.8, share no bucket with a probability below 4e-6
    (below 3e-9 at 0.85).
@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,11 +233,11 @@ def family_links(reps: list[int], parts: list[int], sides: list[int], sets: list
     return links
 
 
-SKETCHED = "id bigint, n_shingles bigint, d1 bigint, d2 bigint, sketch binary"
+SKETCHED = "id bigint, t1 bigint, t2 bigint, n_shingles bigint, d1 bigint, d2 bigint, sketch binary"
 
 
 def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
-    """``id, n_shingles, d1, d2, sketch`` of rows ``id, text``: set size, 128-bit digest of the set, registers."""
+    """``id, t1, t2, n_shingles, d1, d2, sketch`` of rows ``id, t1, t2, text``: set size, 128-bit digest of the set, registers."""
 
     def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = kept("words", WordHashes)
@@ -249,14 +249,14 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
                 for i, row in zip(filled, registers([sets[i] for i in filled])):
                     sketches[i] = row.tobytes()
             digests = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets]
-            columns = [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
+            columns = [pa.array([key[k] for key in ids], pa.int64()) for k in range(3)] + [pa.array([len(s) for s in sets], pa.int64())]
             columns += [pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(sketches, pa.binary())], names=["id", "n_shingles", "d1", "d2", "sketch"])
+            return pa.RecordBatch.from_arrays([*columns, pa.array(sketches, pa.binary())], names=["id", "t1", "t2", "n_shingles", "d1", "d2", "sketch"])
 
         for batch in batches:
             ids, sets, size = [], [], 0
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids.append(doc_id.as_py())
+            for *key, text in zip(*batch.columns):
+                ids.append([value.as_py() for value in key])
                 sets.append(shingle_set(text.as_py(), width, hashes))
                 size += len(sets[-1]) + 1
                 if size >= RUN_SHINGLES:
@@ -368,6 +368,12 @@ def _across_families(entries: DataFrame, placed: DataFrame, classes: DataFrame,
     return sorted_rows.mapInPandas(compare, "a bigint, b bigint")
 
 
+def text_key(text: Column) -> list[Column]:
+    """``t1, t2``: 128-bit key of a text, null as empty."""
+    body = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(body).alias("t1"), F.xxhash64(F.lit(7), body).alias("t2")]
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row ``id, n_shingles, component_id, kept`` for each row of ``df``.
 
@@ -377,17 +383,33 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     texts of blanks only have no shingle, are linked with nothing and are kept.
 
     Ids are whole numbers. Repeated rows are copies of each other and each gets
-    a row. A row without an id gets the component of the rows with an equal set
-    that have one, else none, and is kept in that case. Other columns are not
-    looked at.
+    a row. Rows without an id are linked like all others; where no id is among
+    linked rows, their ``component_id`` is null. Several texts may carry one id.
+    Of the texts that carry the smallest id of linked rows, or of those without
+    an id where none has one, the rows of one text are kept. Other columns are
+    not looked at.
     """
+    return judged(df, doc_id, text, width, percent).select("id", "n_shingles", "component_id", "kept")
+
+
+def judged(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """``near_duplicates`` with ``t1, t2``, the key of the row's text; rows of equal id and text are judged alike."""
     if not 50 <= percent <= 100 or width < 1:
         raise ValueError("percent must be from 50 to 100 and width at least 1")
-    docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
+    body = F.col(f"`{text}`")
+    docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), *text_key(body), body.alias("text"))
     sketched = checkpoint_once(sketch_documents(docs, width))
     filled = sketched.filter("n_shingles > 0")
-    named = checkpoint_once(filled.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
-    stand = filled.join(named.withColumn("id", F.col("rep")), ["d1", "d2", "id"])
+    # The row that stands for a class: the smallest id, those without one last, then the key of the text.
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2")).alias("first")
+    named = filled.groupBy("d1", "d2").agg(first).select("d1", "d2", "first.*")
+    # A number of its own for each class; it is stored, so it stays.
+    named = checkpoint_once(named.withColumn("rep", F.monotonically_increasing_id()))
+    # Copies without an id are combined before they are shuffled; the others have their id as a key.
+    keys = ["d1", "d2", "t1", "t2"]
+    stand = filled.filter("id is not null").join(named.filter("id is not null"), [*keys, "id"]).drop("id", "no_id")
+    bare = filled.filter("id is null").drop("id").dropDuplicates(keys)
+    stand = stand.unionByName(bare.join(named.filter("id is null").drop("id", "no_id"), keys))
     classes = checkpoint_once(stand.groupBy("rep").agg(*[F.first(c).alias(c) for c in ("n_shingles", "d1", "sketch")]))
 
     entries = _bucket_entries(classes)
@@ -396,7 +418,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     entries = checkpoint_once(entries.join(shared, "bucket"))
     inside = entries.select("rep").distinct()
     facts = classes.join(inside, "rep").select("rep", "n_shingles", "d1")
-    texts = checkpoint_once(facts.join(docs.select(F.col("id").alias("rep"), "text"), "rep"))
+    wanted = facts.join(named.select("rep", "id", "t1", "t2"), "rep")
+    without = docs.filter("id is null").select("t1", "t2", "text").distinct()
+    texts = wanted.filter("id is not null").join(docs.filter("id is not null"), ["id", "t1", "t2"]).select(*facts.columns, "text")
+    texts = checkpoint_once(texts.union(wanted.filter("id is null").join(without, ["t1", "t2"]).select(*facts.columns, "text")))
 
     led = entries.filter("leader <> rep").groupBy("rep", "leader").count()
     led = led.groupBy("rep").agg(F.max(F.struct("count", -F.col("leader"))).alias("best"))
@@ -415,7 +440,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     across = across.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
     parts = connected_components(links.union(inside).union(across)).withColumnRenamed("node", "rep")
 
-    named = named.join(parts, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    joined = sketched.select("id", "n_shingles", "d1", "d2").join(checkpoint_once(named), ["d1", "d2"], "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return joined.select("id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()))
+    named = checkpoint_once(named.join(parts, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    # Combined before they are shuffled, whatever the size of a component.
+    kept_of = parts.join(named.drop("component"), "rep").groupBy("component").agg(F.min(F.struct("no_id", "id", "t1", "t2")).alias("best"))
+    own = F.struct("no_id", "id", "t1", "t2")
+    named = named.join(kept_of, "component", "left").withColumn("best", F.coalesce("best", own))
+    named = named.select("d1", "d2", F.col("best.id").alias("component_id"), F.col("best.t1").alias("k1"), F.col("best.t2").alias("k2"))
+    joined = sketched.drop("sketch").join(checkpoint_once(named), ["d1", "d2"], "left")
+    empty = F.col("n_shingles") == 0
+    chosen = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2"))
+    component = F.when(empty, F.col("id")).otherwise(F.col("component_id"))
+    return joined.select("id", "t1", "t2", "n_shingles", component.alias("component_id"), (empty | chosen).alias("kept"))

@@ -74,6 +74,17 @@ def test_equal_rows_keep_their_copies(spark):
         assert stage(spark, docs.limit(0), PATH).count() == 0
 
 
+def test_near_duplicates_without_an_id_or_with_one_id_for_two_texts(spark):
+    def text(name, changed=""):
+        return " ".join([*(f"{name}{i}" for i in range(100)), changed])
+
+    rows = [(1, text("a")), (None, text("a")), (None, text("b", "x")), (None, text("b", "y")), (None, text("b", "y")), (None, text("c"))]
+    rows += [(7, text("d")), (7, text("a", "z")), (9, text("d", "w")), (5, text("e", "u")), (5, text("e", "v")), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, (r.text or "-")[0]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, PATH).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (None, "b"), (None, "c"), (7, "d"), (5, "e"), (None, "-")], key=str)
+
+
 def test_run_is_the_stages_in_turn(spark):
     got = corpus_pipeline.run(spark, PATH)
     assert got.columns == ["doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]

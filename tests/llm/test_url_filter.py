@@ -57,6 +57,18 @@ def test_similar_branches_merge(spark):
     assert got["http://m.org/pc/1"] == "/pc/*"
 
 
+def test_branches_below_the_fourth_segment_and_words_with_digits(spark):
+    deep = "/a/b/c/d/e/f"
+    urls = [f"http://t.org{deep}/{kind}/{i}" for kind in ("bad", "good") for i in range(5)] + [f"http://u.org/{kind}/{i}" for kind in ("casino777", "mp3") for i in range(5)]
+    urls += [f"http://v.org/item{i}.html" for i in range(30)] + ["http://v.org/about"] * 90 + ["http://w.org" + "/a" * i for i in range(40)]
+    labels = [(host, f"{path}/{i}", blocked) for host, path, blocked in (("t.org", f"{deep}/bad", True), ("t.org", f"{deep}/good", False), ("u.org", "/casino777", True), ("u.org", "/mp3", False)) for i in range(100, 140)]
+    df, labels = spark.createDataFrame([(u,) for u in urls], "url string"), spark.createDataFrame(labels, "host string, path string, blocked boolean")
+    got = {r.url: r for r in url_filter.judge(df, [], labels=labels).collect()}
+    assert got["http://t.org/a/b/c/d/e/f/bad/1"].template == "/a/b/c/d/e/f/bad/*" and got["http://v.org/item3.html"].template == "/*.html"
+    assert got["http://v.org/about"].template == "/about" and got["http://w.org/a/a/a"].template == "/a/a/a"
+    assert {u for u, r in got.items() if r.verdict == "block"} == {u for u in urls if "/bad/" in u or "casino" in u}
+
+
 def test_query_and_no_python(spark):
     path = "/root/testdata/sf0.01"
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{path}/pages.parquet").collect()}

@@ -7,8 +7,8 @@ the maxima of the registers, so sketches merge, and two sets agree in a register
 about as often as their similarity.
 
 1. Documents with equal sets form a class with a number of its own; one of them stands for it.
-2. Bands of ``ROWS`` registers send classes to buckets. Two sets at the least
-   similarity used here, 0.8, share no bucket with a probability below 4e-6
+2. Bands of ``ROWS`` registers, fewer for limits below 0.8, send classes to
+   buckets. Two sets at the limit share no bucket with a probability below 4e-6
    (below 3e-9 at 0.85).
 3. Every class is verified against the class that leads most of its buckets.
    Links give components; pairs of a similarity not far below the limit give
@@ -42,6 +42,8 @@ from gridframe.llm.kept import kept
 from gridframe.operators.extent import checkpoint_once
 
 REGISTERS, ROWS = 252, 6
+# Chance that two sets at the limit share no bucket.
+MISSED = 4e-6
 BASE, RATE, TOP = 1.02, 20.0, 65_534
 MARGIN = 0.12
 # How far below the limit a pair still makes one family.
@@ -109,11 +111,17 @@ def merge(sketches: np.ndarray) -> np.ndarray:
     return sketches.max(axis=0)
 
 
-def band_keys(sketches: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band (columns) of each sketch (rows)."""
-    bands = sketches.reshape(len(sketches), REGISTERS // ROWS, ROWS).astype(np.uint64)
-    keys = np.broadcast_to(np.arange(1, REGISTERS // ROWS + 1, dtype=np.uint64) * MIX, bands.shape[:2]).copy()
-    for j in range(ROWS):
+def rows_for(percent: int) -> int:
+    """Registers of a band: the most, up to ``ROWS``, with which two sets at the limit miss each other less often than ``MISSED``."""
+    fits = [r for r in range(1, ROWS + 1) if REGISTERS % r == 0 and (1 - (percent / 100) ** r) ** (REGISTERS // r) < MISSED]
+    return max(fits)
+
+
+def band_keys(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` registers (columns) of each sketch (rows)."""
+    bands = sketches.reshape(len(sketches), REGISTERS // rows, rows).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(1, REGISTERS // rows + 1, dtype=np.uint64) * MIX, bands.shape[:2]).copy()
+    for j in range(rows):
         keys = (keys ^ bands[:, :, j]) * WORD_FACTORS[j]
         keys ^= keys >> np.uint64(32)
     return keys.view(np.int64)
@@ -147,7 +155,7 @@ def allowed(equal: np.ndarray, greater: np.ndarray, sizes: np.ndarray, other_siz
     return similarity(equal, greater, sizes.astype(float), other_sizes.astype(float)) >= least if len(equal) else np.zeros(0, bool)
 
 
-def likely_pairs(rows: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
+def likely_pairs(rows: pd.DataFrame, least: float, band_rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of one group, but of different families (and blocks, if the group has two), that may reach the limit.
 
     Rows of a group are consecutive. All groups are compared at once: every row
@@ -174,7 +182,7 @@ def likely_pairs(rows: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarr
             equal = same.sum(axis=1)
             # Equal registers alone rule out most pairs; the small allowance is for those that are equal by chance.
             close = np.flatnonzero(equal >= (least - 0.05) * REGISTERS)
-            close = close[same[close].reshape(len(close), REGISTERS // ROWS, ROWS).all(axis=2).argmax(axis=1) == band[i[close]]]
+            close = close[same[close].reshape(len(close), REGISTERS // band_rows, band_rows).all(axis=2).argmax(axis=1) == band[i[close]]]
             i, j, equal = i[close], j[close], equal[close]
             keep = allowed(equal, (sketches[i] > sketches[j]).sum(axis=1), sizes[i], sizes[j], least)
             lefts.append(i[keep])
@@ -268,13 +276,13 @@ def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(sketch_batches, SKETCHED)
 
 
-def _bucket_entries(classes: DataFrame) -> DataFrame:
+def _bucket_entries(classes: DataFrame, rows: int) -> DataFrame:
     """``bucket, band, rep``, one row for each band of each class."""
 
     def keys(sketches: pa.Array) -> pa.Array:
         table = np.frombuffer(b"".join(sketches.to_pylist()), np.uint16).reshape(len(sketches), REGISTERS)
-        flat = band_keys(table).ravel()
-        offsets = np.arange(0, len(flat) + 1, REGISTERS // ROWS, dtype=np.int32)
+        flat = band_keys(table, rows).ravel()
+        offsets = np.arange(0, len(flat) + 1, REGISTERS // rows, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     keys_of = F.arrow_udf(keys, T.ArrayType(T.LongType()))
@@ -339,7 +347,7 @@ def _inside_families(placed: DataFrame, texts: DataFrame, width: int, percent: i
     return members.groupBy("family", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
-def _across_families(entries: DataFrame, placed: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+def _across_families(entries: DataFrame, placed: DataFrame, classes: DataFrame, least: float, band_rows: int) -> DataFrame:
     """Pairs ``a, b`` of different families in one bucket that may reach the limit."""
     known = entries.join(placed.select("rep", "family"), "rep")
     mixed = known.groupBy("bucket").agg(F.min("family").alias("first"), F.max("family").alias("last"), F.count("*").alias("n"))
@@ -350,7 +358,7 @@ def _across_families(entries: DataFrame, placed: DataFrame, classes: DataFrame,
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-            i, j = likely_pairs(rows, least)
+            i, j = likely_pairs(rows, least, band_rows)
             a, b = rows["rep"].to_numpy()[i], rows["rep"].to_numpy()[j]
             return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -412,7 +420,7 @@ def judged(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     stand = stand.unionByName(bare.join(named.filter("id is null").drop("id", "no_id"), keys))
     classes = checkpoint_once(stand.groupBy("rep").agg(*[F.first(c).alias(c) for c in ("n_shingles", "d1", "sketch")]))
 
-    entries = _bucket_entries(classes)
+    entries = _bucket_entries(classes, rows_for(percent))
     shared = entries.groupBy("bucket").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
     shared = checkpoint_once(shared.filter("leader < last").select("bucket", "leader"))
     entries = checkpoint_once(entries.join(shared, "bucket"))
@@ -436,7 +444,7 @@ def judged(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     placed = checkpoint_once(placed)
 
     inside = _inside_families(placed, texts, width, percent)
-    across = verify(_across_families(entries.select("bucket", "band", "rep"), placed, classes, percent / 100 - MARGIN), texts, width)
+    across = verify(_across_families(entries.select("bucket", "band", "rep"), placed, classes, percent / 100 - MARGIN, rows_for(percent)), texts, width)
     across = across.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
     parts = connected_components(links.union(inside).union(across)).withColumnRenamed("node", "rep")
 

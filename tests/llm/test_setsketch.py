@@ -98,6 +98,21 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 60, 70, 80, 85, 100])
+def test_sets_at_any_limit_share_a_bucket(percent):
+    rows = setsketch.rows_for(percent)
+    assert (1 - (percent / 100) ** rows) ** (252 // rows) < 4e-6 and (rows == 6 or percent < 80)
+    rng, share = np.random.default_rng(percent), percent / 100
+    missed = 0
+    for _ in range(60):
+        pool = rng.integers(0, 1 << 62, 2000, dtype=np.uint64)
+        each = int(2000 * (1 - share) / 2)
+        sketches = setsketch.registers([pool[: 2000 - each], pool[each:]])
+        keys = setsketch.band_keys(sketches, rows)
+        missed += not (keys[0] == keys[1]).any()
+    assert missed == 0
+
+
 def test_query(spark):
     path = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]

@@ -87,6 +87,15 @@ def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return whole[0] @ whole[1].T
 
 
+def at_most(whole: int) -> float:
+    """The largest double that does not exceed a whole number."""
+    try:
+        near = float(whole)
+    except OverflowError:
+        return float(np.finfo(float).max) if whole > 0 else -np.inf
+    return near if near <= whole else float(np.nextafter(near, -np.inf))
+
+
 def dual_tree(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k: int) -> pd.DataFrame:
     """The ``k`` best points of each query that reach its floor: ``query_id, vec_id, score``."""
     query_root, query_order = cover_tree(queries)
@@ -114,7 +123,7 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, po
             merged = best[at] + [(-int(row[j]), int(point_ids[b.start + j])) for j in reach]
             best[at] = heapq.nsmallest(k, merged)
             if len(best[at]) == k:
-                worst[at] = max(worst[at], float(-best[at][-1][0]))
+                worst[at] = max(worst[at], at_most(-best[at][-1][0]))
 
     pending = [(-bound(query_root, root), 0, query_root, root)]
     count = 1
@@ -175,7 +184,9 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, scale: float = 1024.0, v
                 ids, points = sent.value.get(dim, (np.empty(0), np.empty((0, dim))))
                 if len(ids) <= k:
                     continue
-                scores = inner_products(matrix(group["vec"]), points).astype(float)
+                scores = inner_products(matrix(group["vec"]), points)
+                if scores.dtype == object:
+                    scores = np.array([[at_most(x) for x in row] for row in scores]).reshape(scores.shape)
                 scores[group["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
                 batch.loc[group.index, "floor"] = -np.sort(-scores, axis=1)[:, k - 1]
             yield batch

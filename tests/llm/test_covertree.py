@@ -54,6 +54,25 @@ def test_defined_results(spark):
     assert covertree.top_k(df.limit(0), df.vec_id >= 0).count() == 0
 
 
+def test_scores_that_a_double_rounds_up():
+    assert [covertree.at_most(x) for x in (2**53 + 3, -(2**53) - 3, 10**400, -(10**400), 7)] == [2**53 + 2, -(2**53) - 4, np.finfo(float).max, -math.inf, 7]
+    score = 2**53 + 3
+    factor = next(d for d in range(3, 10**6, 2) if score % d == 0)
+    query, point = np.array([[float(factor)]]), np.array([[float(score // factor)]])
+    points = np.repeat(point, 200, axis=0)
+    for floor in (-np.inf, covertree.at_most(score)):
+        got = covertree.dual_tree(query, np.array([-1]), np.array([floor]), points, np.arange(200)[::-1].copy(), 2)
+        assert list(got["vec_id"]) == [0, 1] and set(got["score"]) == {score}
+
+
+def test_floor_is_no_higher_than_the_score(spark):
+    factor = next(d for d in range(3, 10**6, 2) if (2**53 + 3) % d == 0)
+    rows = [(0, [float(factor)])] + [(i, [float((2**53 + 3) // factor)]) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, covertree.top_k(df, df.vec_id == 0, k=3, scale=1.0).collect()))
+    assert got == [(0, 1, 1, 2**53 + 3), (0, 2, 2, 2**53 + 3), (0, 3, 3, 2**53 + 3)]
+
+
 def test_query(spark):
     path = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]

@@ -59,4 +59,37 @@ SECRETS = f"""
     from documents left join t using (doc_id)
 """
 
-SQL = {"op3_cover_tree": TOP_PRODUCTS, "op4_chat_parts": CHAT, "op7_blob_ledger": SECRETS}
+AUDIT = """
+    with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+    w as (select *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as words, min(doc_id) over (partition by text) as least from d),
+    m as (
+        select doc_id, part,
+            list_filter([
+                case when len(words) < 100 then 'A' end,
+                case when 100 * len(list_distinct(words)) < 80 * len(words) then 'B' end,
+                case when 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * len(text) then 'C' end,
+                case when regexp_matches(text, '[#$%&*|]') then 'D' end,
+                case when least < doc_id then 'E' end], lambda x: x is not null) as fails
+        from w),
+    l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+    k as (
+        select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+        from m left join l using (doc_id) group by part, fails),
+    f as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+    o as (
+        select a.x || b.x || c.x || d.x || e.x as filter_order from f a, f b, f c, f d, f e
+        where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s as (select filter_order, step, filter_order[step] as own, string_split(filter_order[1:step - 1], '') as before from o, range(1, 6) t(step)),
+    r as (
+        select part, filter_order, step::int as step, own,
+            coalesce(sum(n) filter (not list_contains(fails, own) and not list_has_any(fails, before)), 0)::bigint as kept,
+            coalesce(sum(n) filter (list_contains(fails, own) and not list_has_any(fails, before)), 0)::bigint as removed,
+            coalesce(sum(n) filter (list_contains(fails, own) and list_has_any(fails, before)), 0)::bigint as redundant,
+            coalesce(sum(n) filter (fails = [own]), 0)::bigint as unique_fails,
+            coalesce(sum(good) filter (list_contains(fails, own) and not list_has_any(fails, before)), 0)::bigint as good_lost,
+            coalesce(sum(toxic) filter (list_contains(fails, own) and not list_has_any(fails, before)), 0)::bigint as toxic_lost
+        from k, s group by all)
+    select * exclude (own), (sum(removed) over (partition by part, own))::bigint as shapley from r
+"""
+
+SQL = {"op3_cover_tree": TOP_PRODUCTS, "op4_chat_parts": CHAT, "op7_blob_ledger": SECRETS, "op12_counting_bloom": AUDIT}

@@ -92,4 +92,28 @@ AUDIT = """
     select * exclude (own), (sum(removed) over (partition by part, own))::bigint as shapley from r
 """
 
-SQL = {"op3_cover_tree": TOP_PRODUCTS, "op4_chat_parts": CHAT, "op7_blob_ledger": SECRETS, "op12_counting_bloom": AUDIT}
+COLLOCATIONS = """
+    with d as (
+        select coalesce(lang, 'und') as lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+        from documents),
+    w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from d),
+    g as (select lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) as phrase from w, range(1, 6) t(m)),
+    c as (select lang, m, phrase, count(*) as f from g group by all),
+    n as (select lang, sum(f) as n from c where m = 1 group by lang),
+    k as (select * from c where m > 1 and f >= 100),
+    x as (
+        select distinct a.lang, a.phrase from k a join k b on a.lang = b.lang and a.f = b.f
+        where b.m > a.m and contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' ')),
+    s as (select lang, phrase, m, f as a, string_split(phrase, ' ') as words, unnest(range(1, m)) as cut from k anti join x using (lang, phrase)),
+    t as (
+        select s.*, l.f as l, r.f as r, n.n, ((1000::hugeint * s.a * n.n) // (l.f::hugeint * r.f))::bigint as score
+        from s join n using (lang)
+        join c l on l.lang = s.lang and l.phrase = array_to_string(s.words[1:s.cut], ' ')
+        join c r on r.lang = s.lang and r.phrase = array_to_string(s.words[s.cut + 1:], ' ')),
+    b as (select * from t qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+    o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from b)
+    select lang, rank::int as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score from o where rank <= 2000
+"""
+
+SQL = {"op3_cover_tree": TOP_PRODUCTS, "op4_chat_parts": CHAT, "op7_blob_ledger": SECRETS, "op12_counting_bloom": AUDIT, "op13_branch_and_bound": COLLOCATIONS}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, chat, covertree, filter_audit, kmeans_tree, langid, mixing, oracles, pii, secret_scan, setsketch, url_filter
+from gridframe.llm import bpe, chat, collocations, covertree, filter_audit, kmeans_tree, langid, mixing, oracles, pii, secret_scan, setsketch, url_filter
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,9 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_counting_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove of every language's documents, in all orders."""
     return filter_audit.audit(filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query
+def op13_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))

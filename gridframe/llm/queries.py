@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridframe.llm import bpe, chat, collocations, covertree, filter_audit, kmeans_tree, langid, mixing, oracles, pii, secret_scan, setsketch, url_filter
+from gridframe.llm import bpe, chat, collocations, covertree, filter_audit, kmeans_tree, langid, mixing, oracles, pii, quality, secret_scan, setsketch, url_filter
 from gridframe.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +132,13 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and whether it stays, by base rules and by its group's robust estimate."""
+    found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 @query
 def op12_counting_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove of every language's documents, in all orders."""

@@ -1,0 +1,129 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from gridframe.llm import quality
+
+SCHEMA = "doc_id long, text string, lang string, source string, kept string, length int, `group` string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    places = {}
+    for i in range(len(words) - 2):
+        places.setdefault(tuple(words[i : i + 3]), []).append(i)
+    repeated = {i + step for at in places.values() if len(at) > 1 for i in at for step in range(3)}
+    n = len(words)
+    return n, sum(map(len, words)), sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), len(repeated), n < 50 or 100 * len(repeated) > 50 * n
+
+
+def vector(n, chars, symbols, lines, repeated, _):
+    plain = [np.log(n), np.log(chars / n), np.sqrt(symbols / chars), np.sqrt(lines / n), np.sqrt(repeated / n)]
+    return tuple(int(np.floor(16 / least * x + 0.5)) for x, least in zip(plain, [0.5, 0.05, 0.03, 0.04, 0.12]))
+
+
+def estimate(vectors):
+    """Concentration steps over a whole group, by matrices."""
+    x = np.array(sorted(set(vectors)), float)
+    if len(x) < 30:
+        return None
+    quartiles = np.percentile(x, [25, 50, 75], axis=0)
+    best = None
+    for start in range(2):
+        mean, cov = quartiles[1], np.diag(((quartiles[2] - quartiles[0]) / 1.349) ** 2 + 256)
+        for step in range(8):
+            y = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T).T
+            distance = (y**2).max(axis=1) if start and not step else (y**2).sum(axis=1)
+            bucket = np.floor(64 * np.log2(1 + distance))
+            enough = np.sort(bucket)[int(np.ceil(0.75 * len(x))) - 1]
+            near = x[bucket <= enough]
+            mean, cov = near.mean(axis=0), quality.CONSISTENT * np.cov(near.T, bias=True) + 256 * np.eye(5)
+        found = np.linalg.det(cov), mean, cov
+        best = found if best is None or found[0] < best[0] * (1 - 1e-12) else best
+    return best[1], np.linalg.inv(best[2])
+
+
+def corpus():
+    rng = random.Random(7)
+    rows = []
+
+    def text(n, symbols=0, letters=6, repeat=0):
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, letters))) for _ in range(n)]
+        words += words[:repeat]
+        for _ in range(symbols):
+            words.insert(rng.randrange(len(words)), "#" * rng.randint(1, 6))
+        return "".join(word + rng.choice([" ", " ", " ", "\n", "\t"]) for word in words)
+
+    for i in range(500):
+        lang, source = rng.choice(["en", "de", None]), rng.choice(["a", "a", "b", None])
+        shape = rng.random()
+        made = text(rng.randint(55, 400), symbols=rng.choice([0, 0, 0, 1]), repeat=rng.choice([0, 0, 20]))
+        if shape < 0.05:
+            made = text(rng.randint(60, 200), symbols=150)
+        elif shape < 0.1:
+            made = text(rng.randint(60, 200), letters=60)
+        rows.append((i, made, lang, source, "x", 1, "g"))
+    copies = [(1000 + i, rows[3][1], "en", "a", "x", 1, "g") for i in range(250)]
+    odd = [None, "", " \n\t ", "one two", "a b c a b c", "aaa aaa aaa aaa", "x " * 60, "same line here\n" * 3 + "\n\n", "é🙂 " * 55, "#$%", "y" * 200_000, "long text " * 60_000, " ".join(map(str, range(100_000)))]
+    return rows + copies + rows[:10] + [(None if i % 2 else 2000 + i, t, "en", "a", None, 1, "g") for i, t in enumerate(odd)] + [(5000, rows[0][1], "xx", "rare", "x", 1, "g")]
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    rows = corpus()
+    found = quality.judged(spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], SCHEMA + ", no int")).collect()
+    return rows, {r.no: r for r in found}
+
+
+def test_base_statistics_equal_brute_force(result):
+    rows, found = result
+    assert len(found) == len(rows)
+    for no, row in enumerate(rows):
+        r = found[no]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(row[1]), row[1][:50]
+
+
+def test_verdicts_equal_matrices_over_whole_groups(result):
+    rows, found = result
+    known = [(row[2:4], base(row[1])) for row in rows]
+    groups = {}
+    for key, stats in known:
+        if not stats[-1]:
+            groups.setdefault(key, []).append(vector(*stats))
+    usual = {key: estimate(vectors) for key, vectors in groups.items()}
+    assert usual["xx", "rare"] is None and sum(value is not None for value in usual.values()) >= 6
+    for no, (key, stats) in enumerate(known):
+        r = found[no]
+        if stats[-1] or usual[key] is None:
+            assert r.kept is not stats[-1] and r.distance is None
+        else:
+            mean, inverse = usual[key]
+            off = np.array(vector(*stats)) - mean
+            assert r.distance == pytest.approx(off @ inverse @ off, rel=1e-6, abs=1e-9) and r.kept == (r.distance <= quality.FARTHEST)
+
+
+def test_outliers_go_and_copies_do_not_set_the_norm(result):
+    rows, found = result
+    symbols = [found[i] for i, row in enumerate(rows[:500]) if row[1].count("#") > 150]
+    plain = [found[i] for i, row in enumerate(rows[:500]) if not found[i].n_repeat_words and row[1].count("#") < 8 and max(map(len, row[1].split())) <= 7]
+    assert len(symbols) > 10 and not any(r.kept for r in symbols)
+    assert len(plain) > 300 and all(r.kept for r in plain)
+
+
+def test_groups_too_many_to_broadcast(spark, result, monkeypatch):
+    rows, found = result
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
+    again = quality.judged(spark.createDataFrame([(*row, i) for i, row in enumerate(rows[:400])], SCHEMA + ", no int"))
+    few = quality.judged(spark.createDataFrame([(*row, i) for i, row in enumerate(rows[:20])], SCHEMA + ", no int"))
+    assert again.count() == 400 and {r.kept for r in few.collect()} == {True}
+
+
+def test_empty_table_and_limits(spark):
+    assert quality.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+    # Tabulated: 95 % of chi-square with five degrees of freedom is below 11.0705.
+    assert quality._limit(0.95, 5) == pytest.approx(11.0705, abs=1e-4) and quality._limit(0.95, 7) == pytest.approx(14.0671, abs=1e-4)

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,18 @@ LONGEST = 5
 BITS_AN_ITEM = 16
 MOST_BITS = 1 << 29
 PROBES = 4
+# Bytes from which on a word is hashed by itself.
+LONG_WORD = 64
 # Bytes of text that a task looks at together; a longer text is cut behind marks that end a piece.
 CHUNK_BYTES = 1 << 20
 # Shares of a language's word occurrences that the first frontiers hold; the last holds the rest.
 FRONTIERS = (0.1, 0.4)
 
-PIECE_ENDS, SPACES = b".,;:!?\n\v\f\r", b" \t"
+PIECE_ENDS, SPACE, LINE_END = b".,;:!?\n\v\f\r", 32, 10
 _PIECE_END = re.compile(b"[" + PIECE_ENDS + b"]")
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(SPACES)], _KIND[list(PIECE_ENDS)] = 1, 2
+_PLAIN = bytes(LINE_END if byte in PIECE_ENDS else byte for byte in range(256)).lower().replace(b"\t", b" ")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_BASE, _STEP = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,22 +51,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _text_hash(text: bytes) -> int:
-    value = 0
-    for byte in text:
-        value = (value * _BASE + byte + 1) % (1 << 64)
-    return value
+    return int.from_bytes(blake2b(text, digest_size=8).digest(), "little")
 
 
 @dataclass
 class Words:
-    """The words of a chunk of texts, in order: ``data`` has each followed by one space."""
+    """The words of a chunk of texts, in order; linked ones have one space between them in ``data``."""
 
     data: np.ndarray
     start: np.ndarray
-    end: np.ndarray
+    size: np.ndarray
     row: np.ndarray
     linked: np.ndarray
-    hashes: np.ndarray
+    salt: np.ndarray
+    _hashes: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def shifted(self, values: np.ndarray, by: int) -> np.ndarray:
+        """The value of the word that many places on; nothing beyond the last."""
+        out = np.zeros_like(values)
+        if by < len(values):
+            out[: len(values) - by] = values[by:]
+        return out
 
     def runs(self, length: int) -> np.ndarray:
         """Whether as many words from each on lie in one piece."""
@@ -73,53 +80,64 @@ class Words:
             fits &= self.shifted(self.linked, step)
         return fits
 
-    def shifted(self, values: np.ndarray, by: int) -> np.ndarray:
-        """The value of the word that many places on; nothing beyond the last."""
-        out = np.zeros_like(values)
-        out[: len(values) - by or None] = values[by:] if by < len(values) else 0
-        return out
-
-    def phrase_hashes(self, languages: np.ndarray) -> list[np.ndarray]:
-        """Hashes of the phrases of 1 to 5 words that start at each word, in its text's language."""
-        found = [_mixed(self.hashes + languages[self.row])] if len(self.row) else [self.hashes]
-        for length in range(2, LONGEST + 1):
-            found.append(_mixed(found[-1] * _STEP + self.shifted(self.hashes, length - 1)))
-        return found
+    def hashes(self, length: int) -> np.ndarray:
+        """Hashes of the phrases of that many words that start at each word, in its text's language."""
+        if length not in self._hashes:
+            self._hashes[length] = _mixed(self._plain() + self.salt[self.row]) if length == 1 else self._longer(length)
+        return self._hashes[length]
+
+    def _longer(self, length: int) -> np.ndarray:
+        return _mixed(self.hashes(length - 1) * _STEP + self.shifted(self.hashes(1), length - 1))
+
+    def _plain(self) -> np.ndarray:
+        """Hashes of the words alone, by blocks of 8 bytes; long words in one go."""
+        blocks = np.ndarray(len(self.data), "<u8", np.concatenate([self.data, np.zeros(8, np.uint8)]), strides=(1,))
+        hashes = self.size.astype(np.uint64)
+        left, at, mask = self.size, np.arange(len(self.size)), np.uint64(0xFFFFFFFFFFFFFFFF)
+        for block in range(LONG_WORD // 8):
+            unused = np.uint64(64) - (np.minimum(left, 8).astype(np.uint64) << np.uint64(3))
+            value = blocks[self.start[at] + 8 * block] & (mask >> unused)
+            hashes[at] = _mixed(hashes[at] * _STEP + value)
+            more = left > 8
+            left, at = left[more] - 8, at[more]
+            if not len(at):
+                break
+        for i in at:
+            hashes[i] = _text_hash(self.data[self.start[i] : self.start[i] + self.size[i]].tobytes())
+        return hashes
 
     def texts(self, first: np.ndarray, length: np.ndarray) -> pa.Array:
         """Phrases as bytes, words joined by one space."""
-        start, end = self.start[first], self.end[np.minimum(first + length - 1, len(self.end) - 1)]
-        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-        at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], end - start)
-        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(self.data[at])])
-
-
-def words_of(texts: list[bytes]) -> Words:
-    """Words of whole texts; a piece ends with its text."""
-    raw = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
-    kind = _KIND[raw]
-    inside = np.concatenate([[False], kind == 0])
+        start, last = self.start[first], first + length - 1
+        size = self.start[last] + self.size[last] - start
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        if len(first) == len(self.start) and (length == 1).all():
+            data = self.data[(self.data != SPACE) & (self.data != LINE_END)]
+        else:
+            data = self.data[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _plain_text(text: bytes) -> bytes:
+    """Lower case, every mark that ends a piece as a line end, spaces and tabs as one space."""
+    text = text.translate(_PLAIN)
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
+    return text
+
+
+def words_of(texts: list[bytes], salt: np.ndarray | None = None) -> Words:
+    """Words of whole texts, with a number for each text's language; a piece ends with its text."""
+    texts = [_plain_text(text) for text in texts]
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    inside = np.zeros(len(data) + 1, bool)
+    np.logical_and(data != SPACE, data != LINE_END, out=inside[1:])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = turns[::2], turns[1::2]
-    row_ends = np.cumsum(np.fromiter((len(text) + 1 for text in texts), np.int64, len(texts)))
-    ends_before = np.cumsum(kind == 2)
-    piece = ends_before[start]
     linked = np.zeros(len(start), bool)
-    linked[:-1] = piece[1:] == piece[:-1]
-    keep = kind == 0
-    keep[end] = True
-    data = raw[keep].copy()
-    size = end - start
-    after = np.cumsum(size + 1)
-    data[after - 1] = 32
-    # A polynomial over a word's bytes, from differences of one running sum.
-    powers = np.cumprod(np.full(len(data) + 1, _BASE, np.uint64))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1][::-1])])
-    begin = after - size - 1
-    inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-    back = np.cumprod(np.full(len(data) + 1, inverse, np.uint64))
-    hashes = (sums[after - 1] - sums[begin]) * back[len(data) - after]
-    return Words(data, begin, after - 1, np.searchsorted(row_ends, start, "right"), linked, hashes)
+    linked[:-1] = (start[1:] == end[:-1] + 1) & (data[end[:-1]] == SPACE)
+    row_ends = np.cumsum(np.fromiter((len(text) + 1 for text in texts), np.int64, len(texts)))
+    return Words(data, start, end - start, np.searchsorted(row_ends, start, "right"), linked, np.zeros(len(texts), np.uint64) if salt is None else salt)
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
@@ -146,23 +164,29 @@ Picked = tuple[np.ndarray, np.ndarray]
 FOUND = "lang string, phrase binary, f bigint"
 
 
-def _counted(batches: Iterator[pa.RecordBatch], pick: Callable[[Words, list[np.ndarray]], Picked]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], pick: Callable[[Words], Picked]) -> Iterator[pa.RecordBatch]:
     """The phrases that ``pick`` chooses (first word, number of words), counted by chunk and language."""
     for batch in batches:
         for texts, languages in _chunks(batch):
-            words = words_of(texts)
-            if not len(words.start):
-                continue
             names = sorted(set(languages))
-            code = np.array([names.index(language) for language in languages])
-            first, length = pick(words, words.phrase_hashes(np.array([_text_hash(name.encode()) for name in names], np.uint64)[code]))
-            if not len(first):
-                continue
-            found = pa.table({"lang": pa.array(code[words.row[first]], pa.int32()), "phrase": words.texts(first, length)})
-            found = found.group_by(["lang", "phrase"]).aggregate([([], "count_all")])
-            lang = pa.DictionaryArray.from_arrays(found.column("lang").combine_chunks(), pa.array(names)).cast(pa.string())
-            for part in pa.table([lang, found.column("phrase").cast(pa.binary()), found.column("count_all")], names=["lang", "phrase", "f"]).to_batches():
-                yield part
+            # Texts by language, so a language's phrases are side by side.
+            order = sorted(range(len(texts)), key=languages.__getitem__)
+            codes = np.array([names.index(languages[i]) for i in order])
+            salts = np.array([_text_hash(name.encode()) for name in names], np.uint64)
+            words = words_of([texts[i] for i in order], salts[codes])
+            first, length = pick(words)
+            first, length = (first, length) if len(names) == 1 else _in_order(first, length)
+            phrases = words.texts(first, length)
+            bounds = np.searchsorted(codes[words.row[first]], np.arange(len(names) + 1))
+            for name, low, high in zip(names, bounds[:-1], bounds[1:], strict=True):
+                if high > low:
+                    counts = phrases.slice(low, high - low).value_counts()
+                    yield pa.record_batch([pa.repeat(name, len(counts)), counts.field("values").cast(pa.binary()), counts.field("counts")], names=["lang", "phrase", "f"])
+
+
+def _in_order(first: np.ndarray, length: np.ndarray) -> Picked:
+    order = np.argsort(first, kind="stable")
+    return first[order], length[order]
 
 
 class Bloom:
@@ -171,16 +195,22 @@ class Bloom:
     def __init__(self, words: np.ndarray):
         self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for at in bits_of(hashes, self.mask):
-            found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    def has(self, hashes: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+        """Of the hashes, or of those ``where`` says: false elsewhere."""
+        found = np.zeros(len(hashes), bool)
+        at = np.arange(len(hashes)) if where is None else np.flatnonzero(where)
+        own = hashes if where is None else hashes[at]
+        for probe in range(PROBES):
+            bit = _probe(own, probe, self.mask)
+            hit = (self.words[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+            at, own = at[hit], own[hit]
+        found[at] = True
         return found
 
 
-def bits_of(hashes: np.ndarray, mask: np.uint64) -> list[np.ndarray]:
-    low, high = hashes, _mixed(hashes ^ _STEP) | np.uint64(1)
-    return [_mixed(low + np.uint64(i) * high) & mask for i in range(PROBES)]
+def _probe(hashes: np.ndarray, no: int, mask: np.uint64) -> np.ndarray:
+    """The bits of a phrase: parts of its hash, and beyond them of a hash of that."""
+    return (hashes if no == 0 else _mixed(hashes + np.uint64(no * int(_STEP) % (1 << 64)))) & mask
 
 
 def bloom(phrases: DataFrame) -> Bloom:
@@ -193,11 +223,11 @@ def bloom(phrases: DataFrame) -> Bloom:
         for batch in batches:
             for texts, languages in _chunks(batch):
                 names = np.array([_text_hash(language.encode()) for language in languages], np.uint64)
-                words = words_of(texts)
+                words = words_of(texts, names)
                 first = np.flatnonzero(np.concatenate([[True], words.row[1:] != words.row[:-1]]))
                 length = np.diff(np.concatenate([first, [len(words.start)]]))
-                hashes = np.stack(words.phrase_hashes(names))[length - 1, first]
-                at = np.concatenate(bits_of(hashes, mask))
+                hashes = np.choose(length - 1, [words.hashes(m)[first] for m in range(1, LONGEST + 1)])
+                at = np.concatenate([_probe(hashes, no, mask) for no in range(PROBES)])
                 yield pa.record_batch([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["word", "bits"])
 
     rows = phrases.select("lang", F.col("phrase").cast("binary").alias("text")).mapInArrow(places, "word bigint, bits bigint")
@@ -207,49 +237,54 @@ def bloom(phrases: DataFrame) -> Bloom:
     return Bloom(words)
 
 
-def _count(texts: DataFrame, pick: Callable[[Words, list[np.ndarray]], Picked], *filters: Bloom, least: int = 1) -> DataFrame:
+def _count(texts: DataFrame, pick: Callable[[Words], Picked], *filters: Bloom, least: int = 1) -> DataFrame:
     """``lang, phrase, f`` of picked phrases with at least ``least`` occurrences."""
     sent = texts.sparkSession.sparkContext.broadcast(filters)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, lambda words, hashes: pick(words, hashes, *sent.value))
+        return _counted(batches, lambda words: pick(words, *sent.value))
 
     counts = texts.mapInArrow(scan, FOUND).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
     return counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
-def _each_word(words: Words, hashes: list[np.ndarray]) -> Picked:
+def _each_word(words: Words) -> Picked:
     return np.arange(len(words.start)), np.ones(len(words.start), np.int64)
 
 
-def _pairs(words: Words, hashes: list[np.ndarray], frontier: Bloom, frequent: Bloom) -> Picked:
+def _of_lengths(chosen: dict[int, np.ndarray]) -> Picked:
+    firsts = [np.flatnonzero(fits) for fits in chosen.values()]
+    return np.concatenate(firsts), np.repeat(list(chosen), [len(first) for first in firsts])
+
+
+def _pairs(words: Words, frontier: Bloom, frequent: Bloom) -> Picked:
     """Two words, the first of the frontier and the second frequent."""
-    first = np.flatnonzero(words.linked & frontier.has(hashes[0]) & words.shifted(frequent.has(hashes[0]), 1))
-    return first, np.full(len(first), 2)
+    fits = frontier.has(words.hashes(1), words.linked)
+    return _of_lengths({2: fits & words.shifted(frequent.has(words.hashes(1), np.concatenate([[False], fits[:-1]])), 1)})
 
 
-def _grown(words: Words, hashes: list[np.ndarray], pairs: Bloom, frequent: Bloom) -> Picked:
+def _grown(words: Words, pairs: Bloom, frequent: Bloom) -> Picked:
     """Three to five words that begin with a frequent pair and go on with frequent words."""
-    common = frequent.has(hashes[0])
-    fits, firsts, lengths = words.runs(2) & pairs.has(hashes[1]), [], []
+    fits, chosen = pairs.has(words.hashes(2), words.linked), {}
     for length in range(3, LONGEST + 1):
-        fits = fits & words.runs(length) & words.shifted(common, length - 1)
-        firsts.append(np.flatnonzero(fits))
-        lengths.append(np.full(len(firsts[-1]), length))
-    return np.concatenate(firsts), np.concatenate(lengths)
+        fits = fits & words.runs(length)
+        last = np.zeros(len(fits), bool)
+        last[length - 1 :] = fits[: len(fits) - length + 1]
+        fits = fits & words.shifted(frequent.has(words.hashes(1), last), length - 1)
+        chosen[length] = fits
+    return _of_lengths(chosen)
 
 
-def _around(words: Words, hashes: list[np.ndarray], open_phrases: Bloom, ends: Bloom) -> Picked:
+def _around(words: Words, open_phrases: Bloom, ends: Bloom) -> Picked:
     """Second parts of open phrases, and open phrases with the word before them."""
-    firsts, lengths = [], []
-    behind = np.zeros(len(words.start), bool)
+    chosen, behind = {}, np.zeros(len(words.start), bool)
     for length in range(2, LONGEST + 1):
         fits = words.runs(length)
-        chosen = fits & (behind | ends.has(hashes[length - 1])) if length < LONGEST else fits & behind
-        behind = words.shifted(fits & open_phrases.has(hashes[length - 1]), 1)
-        firsts.append(np.flatnonzero(chosen))
-        lengths.append(np.full(len(firsts[-1]), length))
-    return np.concatenate(firsts), np.concatenate(lengths)
+        chosen[length] = fits & behind
+        if length < LONGEST:
+            chosen[length] |= ends.has(words.hashes(length), fits)
+            behind = words.shifted(open_phrases.has(words.hashes(length), fits), 1)
+    return _of_lengths(chosen)
 
 
 def _size(phrase: Column) -> Column:

@@ -1,9 +1,12 @@
 """Checks of the ingest operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 import gridframe as gf
 from checks.registry import as_grid, check, row_of, table, unpivoted
+from gridframe.operators.extent import checkpoint_dir
 
 CUSTOMER_HEADER = ["Cust Key", "Name", "Nation-Key", "Acct Bal ($)", "Mkt  Segment", "NAME"]
 
@@ -28,6 +31,33 @@ def values_to_grid(spark, sf_dir):
     return gf.grid_to_cells(gf.values_to_grid(bodies, "body")).drop("workbook_id")
 
 
+@check("""
+    with r as (select *, row_number() over (partition by o_orderstatus order by o_orderkey) as n from orders),
+    c as (select o_orderstatus as sheet_title, n + 1 as row_idx, [
+        '', o_orderkey::varchar, '[' || o_orderstatus || '],["' || o_orderpriority || '\\"', case when o_custkey % 2 = 0 then o_custkey::varchar end] as cells from r
+        union all select distinct o_orderstatus, 1, ['', 'key', 'text]', 'customer'] from orders)
+    select sheet_title, row_idx::bigint as row_idx, (i - 1)::int as col_idx, cells[i] as value from c, unnest(range(1, 5)) as u(i)
+""")
+def tall_body(spark, sf_dir):
+    """One saved body per order status, all its orders, brackets and quotes in the cells; the split size is the session's."""
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    text = F.concat(F.lit("["), status, F.lit('],["'), F.col("o_orderpriority"), F.lit('\\"'))
+    customer = F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey").cast("string"))
+    row = F.to_json(F.array(key.cast("string"), text, customer), {"ignoreNullFields": "false"})
+    orders = table(spark, sf_dir, "orders")
+    head = F.concat(F.lit('{"range":"'), status, F.lit('!B2","majorDimension":"ROWS","values":[["key","text]","customer"]'))
+    statuses = orders.select(status).distinct()
+    lines = (
+        statuses.select(status, F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("o_orderkey"), head.alias("line"))
+        .unionAll(orders.select(status, F.lit(1), key, F.concat(F.lit(","), row)))
+        .unionAll(statuses.select(status, F.lit(2), F.lit(None), F.lit("]}")))
+    )
+    folder = f"{checkpoint_dir(spark)}/tall-{uuid.uuid4().hex}"
+    order = ["o_orderstatus", "part", "o_orderkey"]
+    lines.repartition("o_orderstatus").sortWithinPartitions(*order).select("o_orderstatus", "line").write.partitionBy("o_orderstatus").text(folder)
+    return gf.read_tall_values(spark, folder, positions="range").select("sheet_title", "row_idx", F.posexplode("cells").alias("col_idx", "value"))
+
+
 def orders_by_status(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     cells = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderpriority"))

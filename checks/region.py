@@ -288,18 +288,22 @@ def refresh_among_sheets(spark, sf_dir):
             || case when n = all_n then '</tbody></table>' else '' end as html
         from (select s_suppkey, s_name, row_number() over (order by s_suppkey) as n, count(*) over () as all_n from supplier))
     group by fragment_no
+    union all select 'rows', i, 0, case i when 0 then '{"values":[{"note":"n"}]}' when 4 then
+        '{"values":[{"note":"m","effectiveFormat":{"horizontalAlignment":"CENTER"},"userEnteredFormat":{"horizontalAlignment":"CENTER"}}]}'
+        else '{"values":[]}' end, null from range(5) t(i)
 """)
 def refresh_html(spark, sf_dir):
-    """Suppliers pasted as HTML at B4: header, cleared region, filter and the fragments to paste."""
+    """Suppliers pasted as HTML at B4: header, cleared region, filter, the fragments to paste and the rows with formats patched."""
     link = F.concat(F.lit('<a href="'), "s_name", F.lit('">go</a>'))
     df = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), link.alias("link"))
-    one_cell = spark.range(1).select(F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.lit('[{"values":[{"note":"n"}]}]').alias("row_data"))
-    grid, html, _ = gf.refresh_as_html(
-        customer_grid(spark, sf_dir), df, gf.row_positions(one_cell), "wb", "Sheet1", 4, "B", ["key"], rows_per_bucket=300, rows_per_fragment=100,
+    saved = F.lit('[{"values":[{"note":"n"}]},{},{},{},{"values":[{"note":"m"}]}]')
+    two_cells = spark.range(1).select(F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), saved.alias("row_data"))
+    grid, html, rows = gf.refresh_as_html(
+        customer_grid(spark, sf_dir), df, gf.row_positions(two_cells), "wb", "Sheet1", 4, "B", ["key"], rows_per_bucket=300, rows_per_fragment=100,
+        horizontalAlignment="CENTER",
         apply_filter_to_column_index=1, starting_row_filter_index=3, starting_column_filter_index=1,
     )
     cells = grid.select(F.lit("grid").alias("part"), "row_idx", F.posexplode("cells").alias("col_idx", "value"), "hidden")
     no = F.lit(None).cast("boolean").alias("hidden")
-    return cells.unionByName(html.select(
-        F.lit("html").alias("part"), F.col("fragment_no").alias("row_idx"), F.lit(0).alias("col_idx"), F.col("html").alias("value"), no
-    ))
+    part = lambda name, row, value: (F.lit(name).alias("part"), F.col(row).alias("row_idx"), F.lit(0).alias("col_idx"), F.col(value).alias("value"), no)
+    return cells.unionByName(html.select(*part("html", "fragment_no", "html"))).unionByName(gf.rows_json(rows).select(*part("rows", "row_idx", "row")))

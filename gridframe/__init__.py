@@ -38,4 +38,5 @@ from gridframe.operators.tables import grid_to_records, grid_to_table
 from gridframe.plans.read import read_sheet
 from gridframe.plans.refresh import refresh, refresh_as_html, refresh_formats
 from gridframe.sources.metadata import read_cell_meta, read_metadata, row_positions
+from gridframe.sources.tall import read_tall_values
 from gridframe.sources.values import read_grid, read_values, values_to_grid, write_grid

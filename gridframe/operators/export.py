@@ -59,7 +59,7 @@ def row_texts(df: DataFrame) -> list[str]:
     return [cell_sql(quoted(field.name), field.dataType) for field in df.schema]
 
 
-def _numbered(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int) -> tuple[DataFrame, list[str], int]:
+def numbered_rows(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int) -> tuple[DataFrame, list[str], int]:
     """Numbered rows with positional columns, their texts as SQL and the row count.
 
     Raw values are shuffled, not their wider texts, and rendered afterwards.
@@ -78,8 +78,12 @@ def numbered_cells(
     df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> tuple[DataFrame, int]:
     """``row_idx, cells`` of the rendered rows in order, and their count."""
-    numbered, texts, total = _numbered(df, order_by, rows_per_bucket)
-    return numbered.selectExpr("row_idx", f"array({', '.join(texts)}) as cells"), total
+    numbered, texts, total = numbered_rows(df, order_by, rows_per_bucket)
+    return cell_rows(numbered, texts), total
+
+
+def cell_rows(numbered: DataFrame, texts: list[str]) -> DataFrame:
+    return numbered.selectExpr("row_idx", f"array({', '.join(texts)}) as cells")
 
 
 def to_cells(
@@ -109,7 +113,7 @@ def html_row(texts: list[str]) -> str:
 
 def to_html_rows(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``row_idx, html`` with one table row per DataFrame row."""
-    numbered, texts, _ = _numbered(df, order_by, rows_per_bucket)
+    numbered, texts, _ = numbered_rows(df, order_by, rows_per_bucket)
     return numbered.selectExpr("row_idx", f"{html_row(texts)} as html")
 
 
@@ -126,7 +130,12 @@ def to_html_table(
     ``rows_per_fragment`` rows is a single fragment; a tall one is never put
     together in one task.
     """
-    numbered, texts, total = _numbered(df, order_by, rows_per_bucket)
+    numbered, texts, total = numbered_rows(df, order_by, rows_per_bucket)
+    return html_fragments(numbered, texts, total, table_style, rows_per_fragment)
+
+
+def html_fragments(numbered: DataFrame, texts: list[str], total: int, table_style: str | None = None, rows_per_fragment: int = 1000) -> DataFrame:
+    """The table of rows that are numbered already."""
     last = max(0, (total - 1) // rows_per_fragment)
     opening = (TABLE_OPEN_STYLED.format(style=table_style) if table_style else TABLE_OPEN) + "<tbody>"
     rows = numbered.selectExpr(
@@ -134,7 +143,7 @@ def to_html_table(
     )
     if total == 0:
         # A table without rows still has its tags.
-        rows = df.sparkSession.range(0, 1, 1, numPartitions=1).select(F.col("id").alias("fragment_no"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
+        rows = numbered.sparkSession.range(0, 1, 1, numPartitions=1).select(F.col("id").alias("fragment_no"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"))
     ordered = F.array_sort(F.collect_list("row"))
     body = F.array_join(F.transform(ordered, lambda row: row["html"]), "")
     return rows.groupBy("fragment_no").agg(body.alias("body")).select(

@@ -74,9 +74,6 @@ def attach_facts(rows: DataFrame, facts: DataFrame, broadcast_bytes: int = BROAD
     def chunk(row_idx: Column) -> Column:
         return F.call_function("div", row_idx, F.lit(CHUNK_ROWS))
 
-    chunks = F.sequence(chunk(F.col("first_row")), chunk(F.col("last_row")))
-    return (
-        rows.withColumn("__chunk", chunk(F.col("row_idx")))
-        .join(facts.withColumn("__chunk", F.explode(chunks)), [*SHEET_KEYS, "__chunk"])
-        .drop("__chunk")
-    )
+    # Only chunks that hold rows: positions may be sparse keys, with few rows among very many.
+    chunks = rows.select(*SHEET_KEYS, chunk(F.col("row_idx")).alias("__chunk")).distinct().join(facts, SHEET_KEYS)
+    return rows.withColumn("__chunk", chunk(F.col("row_idx"))).join(chunks, [*SHEET_KEYS, "__chunk"]).drop("__chunk")

@@ -34,9 +34,9 @@ def number_rows(
     driver other than those Spark itself samples for the ranges.
 
     The key should be unique. Rows that tie are ordered by a hash of the whole
-    row, which keeps the result the same when a task runs again. Exact copies,
-    whose order cannot matter, are dealt out at random, so a bucket is never
-    larger for them.
+    row. Exact copies, whose order cannot matter, are dealt out by their places
+    in their task's rows, sorted by that hash: a bucket is never larger for them,
+    and a task that runs again with its rows in another order deals out the same.
     """
     keys = [F.col(key) if isinstance(key, str) else key for key in order_by]
     if not keys:
@@ -45,7 +45,7 @@ def number_rows(
     cores = df.sparkSession.sparkContext.defaultParallelism
     buckets = max(1, -(-total // rows_per_bucket), min(cores, total // LEAST_ROWS))
     named = {f"__key{i}": key for i, key in enumerate(keys)}
-    ranged = df.withColumns({**named, "__tie": _row_hash(df), "__deal": F.rand(7)})
+    ranged = dealt(df.withColumns({**named, "__tie": _row_hash(df)}))
     ranged = ranged.repartitionByRange(buckets, *named, "__tie", "__deal").sortWithinPartitions(*named, "__tie")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     placed = ranged.drop(*named, "__tie", "__deal").withColumns({"__bucket": F.spark_partition_id(), "__place": place})
@@ -60,6 +60,16 @@ def number_rows(
     return numbered.drop("__bucket", "__place", "__start"), total
 
 
+def dealt(hashed: DataFrame) -> DataFrame:
+    """Rows with a number ``__deal`` that tells copies apart, by row hash ``__tie`` and place in the sorted task.
+
+    The copies that a task holds have the same numbers in whatever order its
+    rows come, so a shuffle by them can be repeated task by task.
+    """
+    ordered = hashed.sortWithinPartitions("__tie")
+    return ordered.withColumn("__deal", F.xxhash64("__tie", F.monotonically_increasing_id()))
+
+
 def _row_hash(df: DataFrame) -> Column:
     """Hash of the whole row; columns holding maps or variants, which have no hash, go in as JSON."""
     hashed = []

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.functions.address import column_index
 from gridframe.operators import formats
-from gridframe.operators.export import numbered_cells, to_html_table
+from gridframe.operators.export import cell_rows, html_fragments, numbered_cells, numbered_rows
 from gridframe.operators.numbering import ROWS_PER_BUCKET
 from gridframe.operators.region import apply_filter, clear_region, remove_filter, spliced
 from gridframe.operators.sheets import is_sheet
@@ -50,6 +50,33 @@ def refresh(
     rows is an error unless ``create`` is set. Only the target sheet is joined,
     by row position; the other sheets pass through.
     """
+    options = (
+        col_count, sheets, create, preserve_last_n_columns, do_not_clear_entire_target_sheet_range,
+        apply_filter_to_column_index, starting_row_filter_index, starting_column_filter_index, string_exclusion_filter,
+    )
+    place = (workbook_id, sheet_name_or_id, row_number_to_push_into, column_letter_to_push_into)
+    return _refreshed(grid, df.columns, lambda: numbered_cells(df, order_by, rows_per_bucket), *place, *options)
+
+
+def _refreshed(
+    grid: DataFrame,
+    names: list[str],
+    numbered: Callable[[], tuple[DataFrame, int]],
+    workbook_id: str,
+    sheet_name_or_id: str | int,
+    row_number_to_push_into: int,
+    column_letter_to_push_into: str,
+    col_count: int | None = None,
+    sheets: DataFrame | None = None,
+    create: bool = False,
+    preserve_last_n_columns: int = 0,
+    do_not_clear_entire_target_sheet_range: bool = False,
+    apply_filter_to_column_index: int | None = None,
+    starting_row_filter_index: int | None = None,
+    starting_column_filter_index: int | None = None,
+    string_exclusion_filter: str = "",
+) -> DataFrame:
+    """:func:`refresh` with the rows that ``numbered`` gives once the arguments are found in order."""
     if apply_filter_to_column_index is not None:
         if starting_row_filter_index is None or starting_column_filter_index is None:
             raise ValueError("a filter needs starting_row_filter_index and starting_column_filter_index")
@@ -62,9 +89,9 @@ def refresh(
 
     sheet_id, sheet_title, listed_columns = _identity(sheet, sheets, is_target, str(sheet_name_or_id), create)
     col_count = listed_columns if col_count is None else col_count
-    body, total = numbered_cells(df, order_by, rows_per_bucket)
+    body, total = numbered()
     if do_not_clear_entire_target_sheet_range:
-        end_row, end_col = row + total + 1, col + len(df.columns)
+        end_row, end_col = row + total + 1, col + len(names)
     else:
         end_row, end_col = None, col_count
         if preserve_last_n_columns:
@@ -72,8 +99,8 @@ def refresh(
                 raise ValueError("preserve_last_n_columns needs the sheet's column count, from col_count or sheets")
             end_col = max(0, col_count - preserve_last_n_columns)
 
-    titles = F.array(*[F.lit(name) for name in df.columns])
-    header = df.sparkSession.range(0, 1, 1, numPartitions=1).select(F.lit(row - 1).cast("bigint").alias("row_idx"), titles.alias("__block"))
+    titles = F.array(*[F.lit(name) for name in names])
+    header = grid.sparkSession.range(0, 1, 1, numPartitions=1).select(F.lit(row - 1).cast("bigint").alias("row_idx"), titles.alias("__block"))
     block = header.unionAll(body.select(F.col("row_idx") + row, "cells"))
 
     joined = clear_region(remove_filter(sheet), row, col, end_col, end_row).join(block, "row_idx", "full_outer")
@@ -153,10 +180,13 @@ def refresh_as_html(
     region, the body's texts from the start column on, and the filter. ``html``
     is the body as one table in fragments, to be pasted at the row below the
     header in the start column. ``rows``, the cell metadata of the target sheet
-    with the cells nested, comes back with the formats patched.
+    with the cells nested, comes back with the formats patched. The rows are
+    numbered once, for both.
     """
-    new_grid = refresh(grid, df, workbook_id, sheet_name_or_id, row_number_to_push_into, column_letter_to_push_into, order_by, rows_per_bucket=rows_per_bucket, **refresh_options)
-    html = to_html_table(df, order_by, table_style=html_table_style, rows_per_fragment=rows_per_fragment, rows_per_bucket=rows_per_bucket)
+    numbered, texts, total = numbered_rows(df, order_by, rows_per_bucket)
+    place = (workbook_id, sheet_name_or_id, row_number_to_push_into, column_letter_to_push_into)
+    new_grid = _refreshed(grid, df.columns, lambda: (cell_rows(numbered, texts), total), *place, **refresh_options)
+    html = html_fragments(numbered, texts, total, html_table_style, rows_per_fragment)
     formats_given = (horizontalAlignment, verticalAlignment, wrapStrategy, fontFamily, fontSize)
     return new_grid, html, refresh_formats(rows, row_number_to_push_into, *formats_given)
 

@@ -45,16 +45,21 @@ def values_to_grid(df: DataFrame, body_col: str | None = None, positions: str =
         F.col("range"),
         F.posexplode(values).alias("position", "row"),
     )
-    row_idx, cells = F.col("position").cast("bigint"), F.coalesce("row", F.array().cast("array<string>"))
-    if positions == "range":
-        # Where the range names a start cell; a bare title starts at A1.
-        start, at = r"^\$?([A-Za-z]*)\$?(\d*)", address_cells(F.col("range"))
-        row_idx = row_idx + F.greatest(F.coalesce(F.regexp_extract(at, start, 2).try_cast("bigint") - 1, F.lit(0)), F.lit(0))
-        first_col = F.greatest(col_number(F.coalesce(F.regexp_extract(at, start, 1), F.lit(""))) - 1, F.lit(0)).cast("int")
-        cells = F.when(F.size(cells) > 0, F.concat(F.array_repeat(F.lit(""), first_col), cells)).otherwise(cells)
+    row_idx, cells = placed_row(F.col("range"), F.col("position").cast("bigint"), F.coalesce("row", F.array().cast("array<string>")), positions)
     return rows.select("workbook_id", "sheet_id", "sheet_title", row_idx.alias("row_idx"), cells.alias("cells"))
 
 
+def placed_row(address: Column, row_idx: Column, cells: Column, positions: str) -> tuple[Column, Column]:
+    """Position and cells of a body's row; by range, from the cell on where the body's range starts."""
+    if positions == "body":
+        return row_idx, cells
+    # Where the range names a start cell; a bare title starts at A1.
+    start, at = r"^\$?([A-Za-z]*)\$?(\d*)", address_cells(address)
+    first_row = F.greatest(F.coalesce(F.regexp_extract(at, start, 2).try_cast("bigint") - 1, F.lit(0)), F.lit(0))
+    first_col = F.greatest(col_number(F.coalesce(F.regexp_extract(at, start, 1), F.lit(""))) - 1, F.lit(0)).cast("int")
+    return row_idx + first_row, F.when(F.size(cells) > 0, F.concat(F.array_repeat(F.lit(""), first_col), cells)).otherwise(cells)
+
+
 def _transposed(columns: Column) -> Column:
     """Rows of a body saved by columns; the end of a short column reads as blank cells."""
     height = F.coalesce(F.array_max(F.transform(columns, lambda c: F.coalesce(F.size(c), F.lit(0)))), F.lit(0))

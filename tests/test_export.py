@@ -167,3 +167,20 @@ def test_empty_frame(spark):
     df = spark.createDataFrame([], "a int, b string")
     assert gf.to_cells(df, ["a"]).count() == 0
     assert gf.to_html_rows(df, ["a"]).count() == 0
+
+
+def test_copies_are_dealt_out_alike_whatever_the_order_in_a_task(spark):
+    from collections import Counter
+
+    from gridframe.operators.numbering import _row_hash, dealt
+
+    rows = [(i % 3, "copy") for i in range(600)] + [(i, "own") for i in range(50)]
+
+    def buckets(order):
+        df = spark.createDataFrame(rows, "k long, v string").coalesce(1).sortWithinPartitions(order)
+        ranged = dealt(df.withColumn("__tie", _row_hash(df))).repartitionByRange(5, "k", "__tie", "__deal")
+        return Counter((r.k, r.v, r.b) for r in ranged.withColumn("b", F.spark_partition_id()).collect())
+
+    first = buckets(F.col("v"))
+    assert first == buckets(F.col("k").desc()) == buckets(F.hash("v", "k")) and sum(first.values()) == 650
+    assert len({b for k, v, b in first if (k, v) == (1, "copy")}) > 1

@@ -22,14 +22,21 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
 def unique_names(names: Column) -> Column:
     """Suffix the n-th repeat of a name with n: ``a, a, a`` -> ``a, a1, a2``."""
 
-    def renamed(names: Column) -> Column:
-        def rename(name: Column, position: Column) -> Column:
-            earlier = F.size(F.filter(F.slice(names, F.lit(1), position), lambda other: other == name))
-            return F.concat(name, F.coalesce(F.nullif(earlier.cast("string"), F.lit("0")), F.lit("")))
+    def renamed(placed: Column) -> Column:
+        # Equal names stand side by side, in the order of their positions.
+        in_order = once(F.transform(placed, lambda pair: pair["name"]), lambda names: numbered(placed, names))
+        return F.transform(F.sort_array(in_order), lambda pair: pair["name"])
 
-        return F.transform(names, rename)
+    def numbered(placed: Column, names: Column) -> Column:
+        def rename(pair: Column, i: Column) -> Column:
+            earlier = i - F.array_position(names, pair["name"]).cast("int") + 1
+            name = F.when(earlier > 0, F.concat(pair["name"], earlier.cast("string"))).otherwise(pair["name"])
+            return F.struct(pair["position"].alias("position"), name.alias("name"))
 
-    return once(names, renamed)
+        return F.transform(placed, rename)
+
+    pairs = F.transform(names, lambda name, i: F.struct(name.alias("name"), i.alias("position")))
+    return once(F.sort_array(pairs), renamed)
 
 
 def clean_names(names: Column) -> Column:
@@ -93,3 +100,12 @@ def table_name_list(names: list[str], make_columns_unique: bool = True, clean_co
     while len(set(names)) < len(names):
         names = unique_name_list(names)
     return names
+
+
+def record_names(header: Column, make_columns_unique: bool, clean_column_names: bool) -> Column:
+    """Names of one header as an array, repaired as asked and without repeats."""
+    if make_columns_unique:
+        header = unique_names(header)
+    if clean_column_names:
+        header = clean_names(header)
+    return distinct_names(header)

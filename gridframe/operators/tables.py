@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.functions.names import clean_names, distinct_names, table_name_list, unique_names
+from gridframe.functions.names import table_name_list
 from gridframe.functions.text import quoted
 from gridframe.operators.extent import BROADCAST_BYTES, attach_facts, checkpoint_once
+from gridframe.operators.naming import settled_names
 from gridframe.operators.sheets import has_content, padded, sheet_headers
 from gridframe.sources.schemas import SHEET_KEYS
 
@@ -43,14 +44,6 @@ def headed_table(grid: DataFrame, is_row: Column, make_columns_unique: bool, cle
     return grid.filter(is_row & (F.col("row_idx") > found.first_row)).selectExpr(*cells)
 
 
-def record_names(header: Column, make_columns_unique: bool, clean_column_names: bool) -> Column:
-    if make_columns_unique:
-        header = unique_names(header)
-    if clean_column_names:
-        header = clean_names(header)
-    return distinct_names(header)
-
-
 def grid_to_records(
     grid: DataFrame,
     make_columns_unique: bool = True,
@@ -65,9 +58,9 @@ def grid_to_records(
     """
     content = has_content(F.col("cells")) if drop_empty_rows else None
     headers = sheet_headers(grid, broadcast_bytes, content)
-    names = record_names(padded(F.col("header"), F.col("width")), make_columns_unique, clean_column_names)
     # Names are repaired once per sheet here, not once per row after the join.
-    headers = checkpoint_once(headers.withColumn("header", names))
+    headers = headers.withColumn("header", padded(F.col("header"), F.col("width")))
+    headers = checkpoint_once(settled_names(headers, make_columns_unique, clean_column_names))
     if content is not None:
         grid = grid.filter(content)
     rows = attach_facts(grid, headers, broadcast_bytes).filter(F.col("row_idx") > F.col("first_row"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridframe import clean_names, col_letters, col_number, column_index, distinct_names, parse_range, range_address, unique_names
 from gridframe.functions.address import address_cells, address_title, letters_of
 from gridframe.functions.names import clean_name_list, table_name_list, unique_name_list
-from gridframe.operators.tables import record_names
+from gridframe.functions.names import record_names
 
 REPEATED = [
     (["a", "a", "a"], ["a", "a1", "a2"]),
@@ -123,3 +123,31 @@ def test_wide_headers_are_quick(spark):
     start = time.perf_counter()
     got = names_of(spark, lambda h: record_names(h, True, True), [header] * 3)
     assert got == [table_name_list(header)] * 3 and time.perf_counter() - start < 20
+
+
+def test_names_as_rows_equal_names_as_arrays(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from gridframe.functions.names import clean_name_list, unique_name_list
+    from gridframe.operators.naming import settled_names
+
+    rng = random.Random(2)
+    bits = ["a", "A", "a1", "a-1", "b c", "b-c", "", "_", "é", "a11", "1"]
+    headers = [[rng.choice(bits) for _ in range(rng.randrange(12))] for _ in range(60)]
+    headers += [["a"] + ["a" + "1" * i for i in range(12)] + ["a"], ["x"] * 2000, []]
+    df = spark.createDataFrame([("w", str(i), header) for i, header in enumerate(headers)], "workbook_id string, sheet_id string, header array<string>")
+
+    def repaired(header, unique, clean):
+        header = unique_name_list(header) if unique else header
+        header = clean_name_list(header) if clean else header
+        while len(set(header)) < len(header):
+            header = unique_name_list(header)
+        return header
+
+    for unique, clean in ((True, True), (False, True), (False, False)):
+        found = {int(r.sheet_id): r.header for r in settled_names(df, unique, clean).collect()}
+        assert found == {i: repaired(header, unique, clean) for i, header in enumerate(headers)}
+    wide = spark.createDataFrame([("w", "0", [f"n{i % 9000}" for i in range(16_000)])], df.schema)
+    assert settled_names(wide, True, True).select(F.size(F.array_distinct("header")).alias("n")).first().n == 16_000

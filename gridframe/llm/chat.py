@@ -56,12 +56,25 @@ def visit(parts: Column) -> tuple[Column, Column]:
     """Flattened content of a turn, and its attachments in order.
 
     A null part, or one of an unknown type, counts as text; null text is empty.
+    Texts side by side are escaped as the one text they make, so no control
+    string can form where they meet.
     """
     parts = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
     is_media = lambda p: F.coalesce(p["type"].isin(*MEDIA), F.lit(False))
-    written = F.transform(parts, lambda p: F.when(is_media(p), F.concat(F.lit("<|"), p["type"], F.lit("|>"))).otherwise(escape(F.coalesce(p["text"], F.lit("")))))
+    text = lambda p: F.when(~is_media(p), F.coalesce(p["text"], F.lit("")))
+
+    def written(parts: Column) -> Column:
+        def piece(p: Column, i: Column) -> Column:
+            before = F.coalesce(text(F.get(parts, F.when(i > 0, i - 1))), F.lit(""))
+            meets = (i > 0) & F.endswith(before, F.lit("<")) & F.startswith(text(p), F.lit("|"))
+            return F.when(is_media(p), F.concat(F.lit("<|"), p["type"], F.lit("|>"))).otherwise(F.concat(F.when(meets, "\\").otherwise(""), escape(text(p))))
+
+        return F.array_join(F.transform(parts, piece), "")
+
+    filled = F.filter(parts, lambda p: is_media(p) | (text(p) != ""))
+    content = F.get(F.transform(F.array(filled), written), F.lit(0))
     attached = F.transform(F.filter(parts, is_media), lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), expanded_tokens(p).alias("n_tokens")))
-    return F.array_join(written, ""), attached
+    return content, attached
 
 
 def format_conversations(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts", learn_from: str = "assistant") -> DataFrame:
@@ -116,8 +129,8 @@ def read_back(formatted: DataFrame, *kept: Column) -> DataFrame:
     return turns.select(
         "conv_id",
         "no",
-        unescape(F.substr(head[0], F.lit(len(TURN) + 1))).alias("role"),
-        unescape(head[1]).alias("text"),
+        unescape(F.substr(F.get(head, F.lit(0)), F.lit(len(TURN) + 1))).alias("role"),
+        unescape(F.get(head, F.lit(1))).alias("text"),
         F.when(span.isNotNull(), unescape(F.substr(piece, (span["offset"] + 1).cast("int"), span["length"].cast("int")))).alias("learned"),
         *[F.col(name) for name in turns.columns[1:-2]],
     )

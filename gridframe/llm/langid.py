@@ -14,7 +14,6 @@ task scores each distinct word once and remembers a bounded number of them.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -24,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,28 +37,25 @@ PASSES = 4
 # Count that every piece has beforehand, and the probability of a letter that is no piece.
 SMOOTHING = 0.05
 UNKNOWN_LETTER = 1e-7
-# Longer runs of letters are cut here, so that no product of probabilities underflows.
-WORD_LETTERS = 24
+# Words up to here are scored by blocks of one length, longer ones each by itself.
+BLOCK_LETTERS = 64
+# Learning reads longer runs of letters in such parts.
+LEARNT_LETTERS = 24
+# After so many letters the forward sums are scaled anew, so that no product of probabilities underflows.
+RESCALED = 16
 # Numbers a task remembers for the words it has scored.
 CACHE_SCORES = 1_600_000
 MARK = "▁"
 UNDETERMINED = "und"
-WORD = re.compile(r"[^\W\d_]+")
-# The same letters for Java.
-LETTER = r"[\p{L}\p{Nl}\p{No}]"
+# A letter, and letters with their combining marks; the same letter for Java.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+LETTER = r"\p{L}"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    """Marked lower-case words of a text; a long run of letters gives several, the first of them marked."""
-    out = []
-    for word in WORD.findall((text or "").lower()):
-        if len(word) < WORD_LETTERS:
-            out.append(MARK + word)
-        else:
-            marked = MARK + word
-            out.extend(marked[i : i + WORD_LETTERS] for i in range(0, len(marked), WORD_LETTERS))
-    return out
+    """Marked lower-case words of a text, whole however long."""
+    return [MARK + word for word in WORD.findall((text or "").lower())]
 
 
 def read_pieces(model: str) -> list[str]:
@@ -67,7 +64,7 @@ def read_pieces(model: str) -> list[str]:
 
     processor = sentencepiece.SentencePieceProcessor(model_file=model)
     pieces = {processor.id_to_piece(i).lower() for i in range(processor.get_piece_size())}
-    return sorted(p for p in pieces if re.fullmatch(f"{MARK}?[^\\W\\d_]*", p) and 0 < len(p) <= WORD_LETTERS)
+    return sorted(p for p in pieces if p and regex.fullmatch(rf"{MARK}?[\p{{L}}\p{{M}}]*", p))
 
 
 def rolled(codes: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
@@ -125,23 +122,59 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
     for i, word in enumerate(words):
         places.setdefault(len(word), []).append(i)
     for group in places.values():
-        for i in range(0, len(group), 20_000):
-            block = group[i : i + 20_000]
+        size = max(1, 480_000 // len(words[group[0]]))
+        for i in range(0, len(group), size):
+            block = group[i : i + size]
             yield np.array(block), [words[j] for j in block]
 
 
 def log_likelihoods(words: list[str], pieces: Pieces, probabilities: np.ndarray) -> np.ndarray:
     """Logarithm of the marginal probability of each word (rows) in each language (columns)."""
     out = np.empty((len(words), probabilities.shape[1]))
-    for places, block in by_length(words):
+    short = [i for i, word in enumerate(words) if len(word) <= BLOCK_LETTERS]
+    for places, block in by_length([words[i] for i in short]):
         forward = np.zeros((len(block[0]) + 1, len(block), probabilities.shape[1]))
         forward[0] = 1.0
+        scales, scaled = np.zeros(forward.shape[1:]), 0
         for start, stop, rows, piece in pieces.spans(block):
+            if start >= scaled + RESCALED:
+                reached = forward[start : start + pieces.longest]
+                most = reached.max(axis=0)
+                reached /= most
+                scales, scaled = scales + np.log(most), start
             forward[stop][rows] += forward[start][rows] * probabilities[piece]
-        out[places] = np.log(forward[-1])
+        out[[short[i] for i in places]] = np.log(forward[-1]) + scales
+    for i, word in enumerate(words):
+        if len(word) > BLOCK_LETTERS:
+            out[i] = long_likelihood(word, pieces, probabilities)
     return out
 
 
+def long_likelihood(word: str, pieces: Pieces, probabilities: np.ndarray) -> np.ndarray:
+    """The same for one long word: all its pieces are looked up at once, then summed letter by letter."""
+    codes = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+    # Numbers of the pieces that end behind each letter, by length; the last row of ``chances`` is for none.
+    ends, value = np.full((len(codes), pieces.longest), pieces.count + 1), None
+    for length in range(1, min(pieces.longest, len(codes)) + 1):
+        value = rolled(codes[length - 1 :], None if value is None else value[:-1])
+        found = pieces.find(value)
+        found[found < 0] = pieces.count + (length > 1)
+        ends[length - 1 :, length - 1] = found
+    chances = np.vstack([probabilities, np.zeros(probabilities.shape[1])])
+    # Forward sums of the last letters, the nearest first.
+    last = np.zeros((pieces.longest, probabilities.shape[1]))
+    last[0] = 1.0
+    scale = np.zeros(probabilities.shape[1])
+    for i, numbers in enumerate(ends):
+        total = (last * chances[numbers]).sum(axis=0)
+        last = np.concatenate([total[None], last[:-1]])
+        if i % RESCALED == RESCALED - 1:
+            most = last.max(axis=0)
+            last /= most
+            scale += np.log(most)
+    return np.log(last[0]) + scale
+
+
 def expectation(words: list[str], counts: np.ndarray, pieces: Pieces, probabilities: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of all words, for one language."""
     uses = np.zeros(len(probabilities))
@@ -204,7 +237,7 @@ def fit(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str = "l
         for batch in batches:
             counts: dict[str, Counter] = {}
             for name, body in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                counts.setdefault(name, Counter()).update(words_of(body))
+                counts.setdefault(name, Counter()).update(word[i : i + LEARNT_LETTERS] for word in words_of(body) for i in range(0, len(word), LEARNT_LETTERS))
             for name, counted in counts.items():
                 yield pa.RecordBatch.from_pydict({"lang": [name] * len(counted), "word": list(counted), "n": list(counted.values())}, schema=schema)
 

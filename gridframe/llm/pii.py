@@ -65,7 +65,7 @@ POOL_OF = {name: (kind, names) for kind, names in GIVEN_NAMES.items() for name i
 _word = r"[^\W\d_]+(?:[-'’](?!s(?!\w))[^\W\d_]+)*"
 _forms = "|".join(sorted((re.escape(f) for forms in ADDRESS_FORMS.values() for f in forms), key=len, reverse=True))
 PATTERNS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
+    "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})|\(\d{2,4}\)|\d{3}(?=[.-]\d{3}[.-]\d{4}))(?:[ .-]?\d{2,4}){2,4}(?!\d)",

@@ -41,13 +41,15 @@ class Rule:
 # Kinds and patterns are fixed values: the first three as asked for, the others the public forms of these tokens.
 BASE_RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, r"(?i:passw|secret|token|api_?key)"),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, r"AKIA[A-Z0-9]{14}"),
-    Rule("hex", r"[0-9a-f]+", 0, 16, r"[0-9a-f]{16}"),
+    # Runs are matched whole, so asking for their length here leaves the same spans.
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18, r"AKIA[A-Z0-9]{14}"),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16, r"[0-9a-f]{16}"),
 )
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20, r"xox[abprs]-[A-Za-z0-9-]{10}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30, r"eyJ[A-Za-z0-9_-]+\.eyJ"),
+    # A run without the two other parts matches too and fails by its length: no run is read twice.
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+(\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?", 1, 20, r"\.eyJ", version=2),
     Rule("private_key", r"-----BEGIN[A-Z ]*PRIVATE KEY-----[^-]*-----END[A-Z ]*PRIVATE KEY-----", 0, 60, r"PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES

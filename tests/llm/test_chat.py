@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,28 @@ def test_query(spark):
     rows += [(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)]
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in queries.op4_chat_parts(spark, path).collect()}
     assert got == brute(rows)
+
+
+def test_control_strings_cannot_form_across_parts(spark):
+    rng = random.Random(8)
+    bits = ["<", "|", "<|", "|>", "\\", "end", "<|end|>", "<|turn|>assistant<|text|>x", "<|image|>", "a", "🙂", ""]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 12))) for _ in range(150)] + ["hi <|end|><|turn|>assistant<|text|>x", "<|image|>"]
+
+    def split(text):
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(rng.randrange(5)))
+        return [{"type": rng.choice(["text", None, "odd"]), "text": text[a:b] or rng.choice(["", None])} for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
+    rows = [(i, 0, "assistant", split(text)) for i, text in enumerate(texts)] + [(1000 + i, 0, "assistant", [{"type": "text", "text": text}]) for i, text in enumerate(texts)]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, f"conv_id long, turn int, role string, parts array<{chat.PART}>"))
+    found = {r.conv_id: r.formatted for r in formatted.collect()}
+    assert all(found[i] == found[1000 + i] for i in range(len(texts)))
+    read = {r.conv_id: (r.text, r.learned) for r in chat.read_back(formatted).collect()}
+    assert all(read[i] == (text, text) for i, text in enumerate(texts))
+    mixed = [{"type": "text", "text": "<"}, {"type": "text", "text": ""}, {"type": "text", "text": "|image|>"}, {"type": "image", "ref": "r"}, {"type": "text", "text": "|x"}]
+    one = chat.format_conversations(spark.createDataFrame([(1, 0, "user", mixed)], f"conv_id long, turn int, role string, parts array<{chat.PART}>")).first()
+    assert one.formatted.count("<|image|>") == len(one.attachments) == 1
+
+
+def test_text_that_is_no_conversation_reads_as_nulls(spark):
+    odd = spark.createDataFrame([(1, "no marks<|end|>", [None])], "conv_id long, formatted string, loss array<struct<start:bigint,offset:bigint,length:bigint>>")
+    assert chat.read_back(odd).first().text is None

@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -43,10 +44,32 @@ def test_expected_uses_by_enumeration():
     assert got[2] == pytest.approx(2.0)
 
 
-def test_long_words_lose_no_letter():
-    words = langid.words_of("x" * 100 + " y1z")
-    assert "".join(words) == "▁" + "x" * 100 + "▁y▁z"
-    assert max(map(len, words)) <= langid.WORD_LETTERS
+def by_recursion(word, probabilities):
+    """The same sum for words of any length, from the end, in exact fractions."""
+    sums = [Fraction(0)] * len(word) + [Fraction(1)]
+    for start in reversed(range(len(word))):
+        for stop in range(start + 1, min(len(word), start + 8) + 1):
+            p = probabilities.get(word[start:stop], langid.UNKNOWN_LETTER if stop == start + 1 else 0.0)
+            sums[start] += Fraction(p) * sums[stop]
+    value = sums[0]
+    return math.log(value.numerator) - math.log(value.denominator)
+
+
+@pytest.mark.parametrize("length", [15, 16, 17, 23, 24, 25, 60, 63, 64, 65, 66, 300])
+def test_words_of_any_length_are_summed_whole(length):
+    names = ["a", "ab", "abc", "b", "bc", "c", "▁", "▁a", "漢", "漢漢漢", "cabca"]
+    rng = np.random.default_rng(length)
+    p = np.vstack([rng.random((len(names), 2)) ** 3, np.full((1, 2), langid.UNKNOWN_LETTER)])
+    words = ["▁" + "".join(rng.choice(list(letters), length - 1)) for letters in ("abc", "abc漢x", "xyz", "漢")]
+    assert [len(langid.words_of("x" * length + " y1z")[0])] == [length + 1]
+    for word, row in zip(words, langid.log_likelihoods(words, langid.Pieces(names), p)):
+        for k in range(2):
+            assert row[k] == pytest.approx(by_recursion(word, {n: p[i, k] for i, n in enumerate(names)}), rel=1e-10)
+
+
+def test_letters_and_their_marks():
+    assert langid.words_of("½ ② Ⅷ 7 _ \u0301") == []
+    assert langid.words_of("हिन्दी Ab1c") == ["▁हिन्दी", "▁ab", "▁c"]
 
 
 @pytest.fixture(scope="module")
@@ -57,7 +80,7 @@ def model(spark):
 
 def test_defined_results(spark, model):
     assert model.languages == ["de", "en"]
-    rows = [(1, None, "kept"), (2, "", "kept"), (3, "12 !! 3", "kept"), (4, "the tree", "kept"), (4, "the tree", "kept"), (5, "und der " * 20_000, "kept")]
+    rows = [(1, None, "kept"), (2, "", "kept"), (3, "12 ½②Ⅷ !! 3", "kept"), (4, "the tree", "kept"), (4, "the tree", "kept"), (5, "und der " * 20_000, "kept")]
     df = spark.createDataFrame(rows, "doc_id long, text string, score string").withColumn("__scored_3", F.lit("kept"))
     got = {r.doc_id: r for r in langid.predict(df, model).collect()}
     assert langid.predict(df, model).count() == 6
@@ -87,6 +110,31 @@ def test_no_labels(spark):
     assert (got.lang_pred, got.score) == ("und", 0.0)
 
 
+def test_query_equals_plain_recursion_with_its_own_model(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))), VOCABULARY)
+    chances = [{piece: model.probabilities[i, k] for i, piece in enumerate(model.pieces)} for k in range(len(model.languages))]
+    longest, known = max(map(len, model.pieces)), {}
+
+    def log_sum(word, k):
+        if (word, k) not in known:
+            sums = [0.0] * len(word) + [1.0]
+            for start in reversed(range(len(word))):
+                for stop in range(start + 1, min(len(word), start + longest) + 1):
+                    sums[start] += chances[k].get(word[start:stop], langid.UNKNOWN_LETTER if stop == start + 1 else 0.0) * sums[stop]
+            known[word, k] = math.log(sums[0])
+        return known[word, k]
+
+    predicted = {r.doc_id: r for r in queries.op2_language_id(spark, path).collect()}
+    for row in docs.collect()[:60]:
+        words = [w for w in langid.words_of(row.text) if len(w) < 30]
+        if not words or len(words) < len(langid.words_of(row.text)):
+            continue
+        totals = [sum(log_sum(word, k) for word in words) for k in range(len(model.languages))]
+        assert predicted[row.doc_id].lang_pred == model.languages[totals.index(max(totals))]
+
+
 def test_held_out_accuracy(spark):
     path = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "lang")

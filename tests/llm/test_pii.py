@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -110,3 +111,13 @@ def test_query_against_single_texts(spark):
         for s, (kind, a, b) in zip(r.pii_spans, spans):
             assert s.kind == kind and r.text[s.start : s.stop] != old[a:b]
     assert pii.collisions(docs).count() == 0
+
+
+@pytest.mark.parametrize(
+    "worst",
+    ["a@b " + "%" * 10**6, "a" * 10**6, "a@" + "b." * 500_000, "a@" + "b-" * 500_000 + " @", "1 " * 50_000, "+1" * 500_000, "1" * 10**6, "(12)" * 250_000, "1." * 500_000, "Mr " * 330_000, "Mr. " + "X" * 10**6, "1(" * 500_000, "Mr. " + "van " * 250_000, "@" * 10**6],
+)
+def test_long_hostile_texts_take_linear_time(worst):
+    start = time.process_time()
+    list(pii.entities(worst))
+    assert time.process_time() - start < 8

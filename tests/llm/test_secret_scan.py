@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -70,3 +71,20 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s.startswith(k) for s in want) for k in ("assign", "access", "hex")]
     assert any(r.n_assign for r in rows) and any(r.n_hex for r in rows)
+
+
+def test_long_hostile_texts_take_linear_time(spark):
+    size = 10**6
+    worst = ["eyJ", "eyJa.", "eyJa.eyJ", "password ", "token" + " " * 5000, "AKIA", "gh", "ghp_", "xoxb-", "a1", "-----BEGIN ", "-----BEGIN PRIVATE KEY-----", "-----BEGIN" + "A" * 5000, "secret='", "api_key:", "PRIVATE KEY-----"]
+    texts = [(bit * (size // len(bit))) for bit in worst]
+    start = time.time()
+    got = all_spans(spark, texts)
+    assert time.time() - start < 2 * len(texts)
+    assert all(base_of(got[i]) == brute(text) for i, text in enumerate(texts) if not got[i].count(",") > 1000)
+
+
+def test_tokens_of_three_parts(spark):
+    texts = ["x eyJabc.eyJdef.0123456789abcdefg y", "eyJab.eyJcd no third", "eyJaeyJbcd.eyJ0123456789.0123456789-", "eyJa.b.eyJccc.eyJddddddddd.eeeeeeeeeeee"]
+    got = all_spans(spark, texts)
+    spans = [[s for s in got[i].split(",") if s.startswith("jwt")] for i in range(4)]
+    assert spans == [["jwt:2:33"], [], ["jwt:0:36"], ["jwt:7:39"]]

@@ -41,7 +41,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that of the smallest id; shingles of five words, similarity 0.8.
 
-    Of rows equal in id and text one stays. Documents without an id are in groups
+    Of rows equal in id and text one stays, with the least source, language and size, nulls first. Documents without an id are in groups
     like all others; one of them stays where no document of the group has an id.
     """
     ship(spark)
@@ -49,7 +49,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = found.filter(~F.col("kept")).select("id", F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
     keyed = docs.select(*COLUMNS, *setsketch.text_key(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t1") == F.col("__t1")) & (F.col("t2") == F.col("__t2"))
-    return keyed.join(gone, same, "left_anti").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    rest = F.min(F.struct("source", "lang", "n_chars")).alias("rest")
+    left = keyed.join(gone, same, "left_anti").groupBy("doc_id", "text").agg(rest)
+    return left.select("doc_id", "text", "rest.*").select(*COLUMNS)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

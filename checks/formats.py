@@ -320,3 +320,22 @@ def read_cell_meta_segments(spark, sf_dir):
         F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.col("o_orderkey").alias("start_row"), F.lit(2).alias("start_col"), saved.alias("row_data")
     )
     return gf.read_cell_meta(segments).select("row_idx", "col_idx", F.col("formatted_value").alias("text"))
+
+
+@check("""
+    select event_id::varchar as sheet_id, 1::bigint as row_idx, case event_type when 'error' then '{"values":[{"formattedValue":"error"}]}'
+        else '{"values":[{"formattedValue":"' || event_type || '"},null,null,{"formattedValue":"' || event_id || '"}]}' end as row from events
+    union all select event_id::varchar, 2, '{"values":[{"note":"n"},{"note":"m","odd":[1]}]}' from events
+""")
+def metadata_side_by_side(spark, sf_dir):
+    """Two segments of a sheet side by side, but for errors, whose sheets have one."""
+    events = table(spark, sf_dir, "events")
+    value = lambda c: F.concat(F.lit('{"values":[{"formattedValue":"'), F.col(c).cast("string"), F.lit('"}]}'))
+    left = F.concat(F.lit("["), value("event_type"), F.lit(',{"values":[{"note":"n"},{"note":"m","odd":[1]}]}]'))
+    segment = lambda column, rows: (
+        F.lit("wb").alias("workbook_id"), F.col("event_id").cast("string").alias("sheet_id"),
+        F.lit(1).alias("start_row"), F.lit(column).alias("start_col"), rows.alias("row_data"),
+    )
+    right = F.concat(F.lit("["), value("event_id"), F.lit("]"))
+    segments = events.select(*segment(0, left)).unionAll(events.filter("event_type <> 'error'").select(*segment(3, right)))
+    return gf.rows_json(gf.row_positions(segments)).select("sheet_id", "row_idx", "row")

@@ -4,14 +4,38 @@ Every struct of a typed value has a field ``extra`` with the members of its JSON
 object that the schema does not name. Written back, a struct gives its set
 fields and its extra members, so what no operator touched comes out as it came.
 The rules are SQL texts, since a cell has too many fields to compose as columns.
+
+Text that holds nothing but members of the schema is read by the schema alone:
+what was read, written back, has then as many members and lists as the text.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXTRA = "extra"
 MEMBERS = "map<string,variant>"
+# Stands for the field in a schema that text is read with; no saved object has such a member.
+SPARE = "\x01extra"
+# A whole JSON string.
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def with_extras(data_type: T.DataType, name: str = EXTRA) -> T.DataType:
+    """The type with a field for extras in every struct."""
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(with_extras(data_type.elementType, name))
+    if not isinstance(data_type, T.StructType):
+        return data_type
+    fields = [T.StructField(f.name, with_extras(f.dataType, name)) for f in data_type]
+    return T.StructType([*fields, T.StructField(name, T.MapType(T.StringType(), T.VariantType()))])
+
+
+def members(json: Column) -> Column:
+    """How many members and lists a JSON text holds."""
+    return F.octet_length(F.regexp_replace(json, rf'(?s){STRING}|[^":\[]++', ""))
 
 
 def typed_sql(value: str, data_type: T.DataType, depth: int = 0) -> str:

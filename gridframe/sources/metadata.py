@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.functions.json_text import typed_sql
+from gridframe.functions.json_text import EXTRA, SPARE, members, typed_sql, with_extras
+from gridframe.operators.extent import checkpoint_once
 from gridframe.sources.schemas import CELL, SHEET_KEYS, metadata_record, saved_rows
 
 # Saved field name -> cell_meta column.
@@ -45,27 +46,56 @@ def read_metadata(spark: SparkSession, path: str | list[str], multi_line: bool =
 def _placed(df: DataFrame, row_data_col: str, cell: T.StructType) -> DataFrame:
     """Rows with their position, start column and typed cells."""
     rows = F.col(row_data_col)
-    if isinstance(df.schema[row_data_col].dataType, T.StringType):
-        rows = F.from_json(rows, saved_rows(), {"mode": "FAILFAST"})
 
     def start(name: str) -> Column:
         return (F.col(name) if name in df.columns else F.lit(0)).cast("bigint").alias(name)
 
-    found = df.select(*SHEET_KEYS, start("start_row"), start("start_col"), F.posexplode(rows).alias("position", "row"))
-    cells = F.expr(f"transform(row.values, saved -> {typed_sql('saved', cell)})")
-    return found.select(*SHEET_KEYS, (F.col("start_row") + F.col("position")).alias("row_idx"), "start_col", cells.alias("values"))
+    def whole(rows: Column) -> Column:
+        return F.transform(rows, lambda row: F.struct(F.call_function("transform", row["values"], F.expr(f"saved -> {typed_sql('saved', cell)}")).alias("values")))
+
+    found = df.select(*SHEET_KEYS, start("start_row"), start("start_col"), rows.alias("text"))
+    if isinstance(df.schema[row_data_col].dataType, T.StringType):
+        listed = lambda name: T.ArrayType(T.StructType([T.StructField("values", T.ArrayType(with_extras(cell, name)))]))
+        found = found.withColumn("plain", F.from_json("text", listed(SPARE)))
+        known = F.coalesce(members(F.col("text")) == members(F.to_json("plain")), F.lit(False))
+        saved = F.from_json("text", saved_rows(), {"mode": "FAILFAST"})
+        rows = F.when(known, F.col("plain").cast(listed(EXTRA))).otherwise(whole(saved))
+    else:
+        rows = whole(F.col("text"))
+    found = found.select(*SHEET_KEYS, "start_row", "start_col", F.posexplode(rows).alias("position", "row"))
+    return found.select(*SHEET_KEYS, (F.col("start_row") + F.col("position")).alias("row_idx"), "start_col", F.col("row.values").alias("values"))
 
 
 def row_positions(df: DataFrame, row_data_col: str = "row_data", cell: T.StructType = CELL) -> DataFrame:
     """The rows of each sheet, with the cells still nested.
 
     ``start_row`` and ``start_col``, if ``df`` has them, place a segment; cells
-    before its first column are null. Segments side by side give a row each.
+    before its first column are null. Segments side by side make one row, nulls
+    between them; where they overlap, that which starts further right wins. Only
+    the rows of sheets with such segments are grouped.
     """
     rows = _placed(df, row_data_col, cell)
-    values = F.col("values")
-    before = F.array_repeat(F.lit(None).cast(rows.schema["values"].dataType.elementType), F.col("start_col").cast("int"))
-    return rows.select(*SHEET_KEYS, "row_idx", F.when(F.col("start_col") > 0, F.concat(before, values)).otherwise(values).alias("values"))
+    cells = rows.schema["values"].dataType
+    gap = lambda size: F.array_repeat(F.lit(None).cast(cells.elementType), size.cast("int"))
+    values = F.when(F.col("start_col") > 0, F.concat(gap(F.col("start_col")), "values")).otherwise(F.col("values"))
+    single = rows.select(*SHEET_KEYS, "row_idx", values.alias("values"))
+    if "start_col" not in df.columns:
+        return single
+    column = F.coalesce(F.col("start_col").cast("bigint"), F.lit(0))
+    beside = checkpoint_once(df.groupBy(*SHEET_KEYS).agg(F.min(column).alias("least"), F.max(column).alias("most")).filter("least < most").select(*SHEET_KEYS))
+    if beside.isEmpty():
+        return single
+
+    def put(done: Column, part: Column) -> Column:
+        start = part["start_col"].cast("int")
+        return F.concat(F.slice(done, F.lit(1), start), gap(F.greatest(start - F.size(done), F.lit(0))), part["values"])
+
+    # A row without cells in any segment stays null.
+    part = F.when(F.col("values").isNotNull(), F.struct("start_col", "values"))
+    in_order = F.array_sort(F.collect_list(part), lambda a, b: F.signum(a["start_col"] - b["start_col"]).cast("int"))
+    joined = F.when(F.size(in_order) > 0, F.aggregate(in_order, F.array().cast(cells), put))
+    merged = rows.join(beside, SHEET_KEYS, "left_semi").groupBy(*SHEET_KEYS, "row_idx").agg(joined.alias("values"))
+    return single.join(beside, SHEET_KEYS, "left_anti").unionAll(merged)
 
 
 def read_cell_meta(df: DataFrame, row_data_col: str = "row_data", cell: T.StructType = CELL) -> DataFrame:

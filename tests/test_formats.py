@@ -255,3 +255,39 @@ def test_a_value_of_another_kind_is_an_error(spark):
     df = spark.createDataFrame([("w", "s", '[{"values":[{"textFormatRuns":"x"}]}]')], "workbook_id string, sheet_id string, row_data string")
     with pytest.raises(Exception):
         gf.read_cell_meta(df).collect()
+
+
+def test_text_read_by_the_schema_alone_equals_text_read_member_by_member(spark):
+    from gridframe.functions import json_text
+
+    cells = [
+        json.dumps({"formattedValue": 'a: [b] \\ "c: \\"', "note": "x"}),
+        '{"effectiveFormat":{"backgroundColor":{"red":1,"green":0.5},"textFormat":{"fontSize":10}}}',
+        '{"note":[1,2]}',
+        '{"note":null,"hyperlink":"h"}',
+        '{"formattedValue":5,"userEnteredFormat":{}}',
+        '{"textFormatRuns":[{"startIndex":1,"format":{"bold":true}},{}],"extra":{"k":1}}',
+        '{"unknown":{"note":"n"},"note":"n"}',
+        "null",
+        "{}",
+    ]
+    rows = [("w", str(i), f'[{{"values":[{cell}]}},{{}},{{"values":[]}}]') for i, cell in enumerate(cells)]
+    df = spark.createDataFrame(rows, "workbook_id string, sheet_id string, row_data string").filter("sheet_id <> '2'")
+    by_schema = gf.rows_json(gf.row_positions(df)).collect()
+    parsed = df.withColumn("row_data", F.from_json("row_data", gf.sources.schemas.saved_rows()))
+    by_member = gf.rows_json(gf.row_positions(parsed)).collect()
+    assert len(by_schema) == 24 and sorted(by_schema) == sorted(by_member)
+    known = df.select("sheet_id", json_text.members(F.col("row_data")).alias("n")).collect()
+    assert {r.sheet_id: r.n for r in known}["0"] == 7
+
+
+def test_segments_side_by_side(spark):
+    rows = [
+        ("w", "a", 0, 0, '[{"values":[{"note":"1"}]},{}]'),
+        ("w", "a", 0, 2, '[{"values":[{"note":"3"}]},{},{"values":[{"note":"z"}]}]'),
+        ("w", "a", 0, 1, '[{"values":[{"note":"2"},{"note":"gone"},{"note":"4"}]}]'),
+        ("w", "b", 5, 1, '[{"values":[{"note":"only"}]}]'),
+    ]
+    df = spark.createDataFrame(rows, "workbook_id string, sheet_id string, start_row int, start_col int, row_data string")
+    found = {(r.sheet_id, r.row_idx): r["values"] and [v and v.note for v in r["values"]] for r in gf.row_positions(df).collect()}
+    assert found == {("a", 0): ["1", "2", "3"], ("a", 1): None, ("a", 2): [None, None, "z"], ("b", 5): [None, "only"]}

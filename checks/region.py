@@ -307,3 +307,57 @@ def refresh_html(spark, sf_dir):
     no = F.lit(None).cast("boolean").alias("hidden")
     part = lambda name, row, value: (F.lit(name).alias("part"), F.col(row).alias("row_idx"), F.lit(0).alias("col_idx"), F.col(value).alias("value"), no)
     return cells.unionByName(html.select(*part("html", "fragment_no", "html"))).unionByName(gf.rows_json(rows).select(*part("rows", "row_idx", "row")))
+
+
+@check(refresh_sql(
+    "select row_number() over (order by s_suppkey) - 1 as row_idx, [s_suppkey::varchar, s_name] as block from supplier",
+    "['s_suppkey', 's_name']", row=3, col=2, width=2,
+    clear="row_idx between 3 and 3 + (select count(*) from supplier) and i between 3 and 4", hidden="false",
+).replace("select row_idx, (i - 1)::int", "select 'Sheet1' as sheet_title, row_idx, (i - 1)::int") + """
+    union all select 'Nations', n_nationkey, 0, n_name, n_nationkey = 3 from nation
+""")
+def refresh_in_place(spark, sf_dir):
+    """The bounded refresh on a grid stored in chunks, read back; another sheet keeps its hidden row."""
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    nations = as_grid(table(spark, sf_dir, "nation"), "n_nationkey", F.array("n_name"), "7", "Nations").withColumn("hidden", F.col("row_idx") == 3)
+    gf.store_grid(customer_grid(spark, sf_dir).withColumn("hidden", F.col("row_idx") % 100 == 99).unionAll(nations), path, chunk_rows=400)
+    df = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    gf.refresh_stored(spark, path, df, "wb", "Sheet1", 3, "C", ["s_suppkey"], do_not_clear_entire_target_sheet_range=True)
+    return gf.read_stored(spark, path).select("sheet_title", "row_idx", F.posexplode("cells").alias("col_idx", "value"), "hidden")
+
+
+@check(f"""
+    with t as ({CUSTOMER_CELLS}),
+    c as (
+        select row_idx, i - 1 as col_idx, -1 as place, cells[i] as value from t, unnest(range(1, 5)) as u(i)
+        union all select o_custkey, o_orderkey % 6, o_orderkey, o_orderkey::varchar from orders
+        union all select o_custkey, o_orderkey % 6 + 1, o_orderkey, o_orderstatus from orders
+        union all select o_custkey + 1, o_orderkey % 6, o_orderkey, o_orderpriority from orders),
+    l as (select row_idx, col_idx, arg_max(value, place) as value from c group by row_idx, col_idx),
+    w as (select row_idx, max(col_idx) as last from l group by row_idx)
+    select w.row_idx, i::int as col_idx, coalesce(l.value, '') as value
+    from w cross join unnest(range(0, last + 1)) as u(i) left join l on l.row_idx = w.row_idx and l.col_idx = i
+""")
+def overlay_blocks(spark, sf_dir):
+    """A block of two ragged rows for each order, at its customer's row; many blocks overlap, the last order wins."""
+    orders = table(spark, sf_dir, "orders")
+    values = F.array(text_cells("o_orderkey", "o_orderstatus"), F.array("o_orderpriority"))
+    blocks = orders.select(
+        F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.col("o_orderkey").alias("place"),
+        F.col("o_custkey").alias("row"), (F.col("o_orderkey") % 6).alias("col"), values.alias("values"),
+    )
+    return gf.grid_to_cells(gf.overlay_blocks(customer_grid(spark, sf_dir), blocks)).select("row_idx", "col_idx", "value")
+
+
+@check("""
+    select c_custkey as row_idx, c_custkey > 10 and (c_custkey % 3 = 0 or n_regionkey = 1) as hidden
+    from customer join nation on c_nationkey = n_nationkey
+""")
+def apply_criteria(spark, sf_dir):
+    """Two filtered columns: the names of a third of all customers, and the nations of a region."""
+    value = lambda df, column, cell: df.select(
+        F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.lit(column).alias("column"), F.col(cell).cast("string").alias("value")
+    )
+    names = value(table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0"), 1, "c_name")
+    nations = value(table(spark, sf_dir, "nation").filter("n_regionkey = 1"), 2, "n_nationkey")
+    return gf.apply_criteria(customer_grid(spark, sf_dir), names.unionAll(nations), start_row=10).select("row_idx", "hidden")

@@ -25,7 +25,7 @@ from gridframe.operators.formats import (
     set_font,
 )
 from gridframe.operators.numbering import number_rows
-from gridframe.operators.region import apply_filter, clear_region, overlay, remove_filter, write_batches
+from gridframe.operators.region import apply_criteria, apply_filter, clear_region, overlay, overlay_blocks, remove_filter, write_batches
 from gridframe.operators.sheets import (
     cell_range,
     drop_empty_rows,
@@ -37,6 +37,7 @@ from gridframe.operators.sheets import (
 from gridframe.operators.tables import grid_to_records, grid_to_table
 from gridframe.plans.read import read_sheet
 from gridframe.plans.refresh import refresh, refresh_as_html, refresh_formats
+from gridframe.plans.stored import read_stored, refresh_stored, store_grid
 from gridframe.sources.metadata import read_cell_meta, read_metadata, row_positions
 from gridframe.sources.tall import read_tall_values
 from gridframe.sources.values import read_grid, read_values, values_to_grid, write_grid

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridframe.functions.address import range_address
+from gridframe.operators.extent import BROADCAST_BYTES, checkpoint_once, measured_bytes
 from gridframe.sources.schemas import ROW_KEYS, SHEET_KEYS
 
 EMPTY_ROW = "array<string>"
@@ -65,6 +66,30 @@ def overlay(grid: DataFrame, payload: DataFrame, row: int, col: int) -> DataFram
     return written.select(*grid.columns)
 
 
+def overlay_blocks(grid: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Write many blocks in one pass, as if one after the other: of several on a cell the last wins.
+
+    A block is a row of ``blocks``: ``workbook_id, sheet_id, place`` (its turn),
+    ``row, col`` (where its first cell goes, 0-based) and ``values``, rows of
+    cells, which may differ in length. Blocks of one sheet with equal places go
+    by row, column and values. A sheet that has no rows yet gets the title null,
+    or that in ``sheet_title`` if ``blocks`` has it. What meets in a group are
+    the pieces of one sheet row; null rows of a block write nothing.
+    """
+    title = F.col("sheet_title") if "sheet_title" in blocks.columns else F.lit(None).cast("string")
+    lines = blocks.select(*SHEET_KEYS, title.alias("__title"), "place", F.col("row").cast("bigint").alias("row"), F.col("col").cast("int").alias("col"), F.posexplode("values").alias("no", "cells"))
+    piece = F.struct("place", "row", "col", F.col("cells").cast(EMPTY_ROW).alias("cells"))
+    rows = lines.filter(F.col("cells").isNotNull()).groupBy(*SHEET_KEYS, (F.col("row") + F.col("no")).alias("row_idx"))
+    pieces = rows.agg(F.max("__title").alias("__title"), F.array_sort(F.collect_list(piece)).alias("__pieces"))
+    joined = grid.join(pieces, ROW_KEYS, "full_outer")
+    empty = F.array().cast(EMPTY_ROW)
+    cells = F.aggregate(F.coalesce("__pieces", F.array().cast(pieces.schema["__pieces"].dataType)), F.coalesce("cells", empty), lambda done, piece: spliced(done, piece["cells"], piece["col"]))
+    written = joined.withColumn("cells", cells).withColumn("sheet_title", F.coalesce("sheet_title", "__title"))
+    if "hidden" in grid.columns:
+        written = written.withColumn("hidden", F.coalesce("hidden", F.lit(False)))
+    return written.select(*grid.columns)
+
+
 def remove_filter(grid: DataFrame) -> DataFrame:
     """All rows visible."""
     return grid.withColumn("hidden", F.lit(False))
@@ -86,6 +111,34 @@ def apply_filter(
     return grid.withColumn("hidden", F.when(F.col("row_idx") > start_row, cell == exclude).otherwise(before))
 
 
+def apply_criteria(grid: DataFrame, criteria: DataFrame, start_row: int = 0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hide rows below ``start_row`` that have a hidden value in any filtered column of their sheet.
+
+    ``criteria`` lists ``workbook_id, sheet_id, column`` (0-based) ``, value``,
+    any number of values for a column; a cell that is null or beyond the row's
+    end counts as empty, as does a null value. Rows of sheets without criteria,
+    and rows down to ``start_row``, stay as they are. Each filtered column is one
+    hash join on sheet and cell, so rows are neither exploded nor scanned value
+    by value; values that measure small are broadcast.
+    """
+    if start_row < 0:
+        raise ValueError("filter positions are 0-based")
+    wanted = checkpoint_once(criteria.select(*SHEET_KEYS, F.col("column").cast("int").alias("column"), F.coalesce("value", F.lit("")).alias("__value")).distinct())
+    small = measured_bytes(wanted) <= broadcast_bytes
+    before = F.col("hidden") if "hidden" in grid.columns else F.lit(False)
+    marked = grid.withColumn("hidden", before).withColumn("__hit", F.lit(False))
+    # One number for each filtered column.
+    for column in sorted(row.column for row in wanted.select("column").distinct().collect()):
+        values = wanted.filter(F.col("column") == column).select(*SHEET_KEYS, "__value", F.lit(True).alias("__found"))
+        cell = F.coalesce(F.get("cells", F.lit(column)), F.lit(""))
+        marked = marked.withColumn("__value", cell).join(F.broadcast(values) if small else values, [*SHEET_KEYS, "__value"], "left")
+        marked = marked.withColumn("__hit", F.col("__hit") | F.col("__found").isNotNull()).drop("__value", "__found")
+    sheets = wanted.select(*SHEET_KEYS).distinct().withColumn("__filtered", F.lit(True))
+    marked = marked.join(F.broadcast(sheets) if small else sheets, SHEET_KEYS, "left")
+    hidden = F.when(F.col("__filtered").isNotNull() & (F.col("row_idx") > start_row), F.col("__hit")).otherwise(F.col("hidden"))
+    return marked.withColumn("hidden", hidden).select(*grid.columns, *[c for c in ("hidden",) if c not in grid.columns])
+
+
 def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
     """Rows grouped into write bodies: ``workbook_id, sheet_id, sheet_title, batch_no, range, values``.
 

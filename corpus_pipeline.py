@@ -46,12 +46,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     ship(spark)
     found = setsketch.judged(docs)
-    gone = found.filter(~F.col("kept")).select("id", F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
-    keyed = docs.select(*COLUMNS, *setsketch.text_key(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t1") == F.col("__t1")) & (F.col("t2") == F.col("__t2"))
+    # An id that may be null as two columns that are not, so that joining and grouping share one shuffle of the texts.
+    named = lambda name: [F.col(name).isNull().alias("no_id"), F.coalesce(F.col(name), F.lit(0)).alias("some_id")]
+    key = ["no_id", "some_id", "t1", "t2"]
+    gone = found.filter(~F.col("kept")).select(*named("id"), "t1", "t2").distinct()
+    keyed = docs.select(*COLUMNS, *named("doc_id"), *setsketch.text_key(F.col("text")))
     rest = F.min(F.struct("source", "lang", "n_chars")).alias("rest")
-    left = keyed.join(gone, same, "left_anti").groupBy("doc_id", "text").agg(rest)
-    return left.select("doc_id", "text", "rest.*").select(*COLUMNS)
+    left = keyed.join(gone, key, "left_anti").groupBy(*key, "text").agg(rest)
+    doc_id = F.when(~F.col("no_id"), F.col("some_id")).alias("doc_id")
+    return left.select(doc_id, "text", "rest.*").select(*COLUMNS)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

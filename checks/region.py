@@ -361,3 +361,72 @@ def apply_criteria(spark, sf_dir):
     names = value(table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0"), 1, "c_name")
     nations = value(table(spark, sf_dir, "nation").filter("n_regionkey = 1"), 2, "n_nationkey")
     return gf.apply_criteria(customer_grid(spark, sf_dir), names.unionAll(nations), start_row=10).select("row_idx", "hidden")
+
+
+# Cells of the orders before and after, where they may differ.
+ORDER_VERSIONS = """
+    select o_orderkey as r, u.c, case u.c when 0 then o_orderkey::varchar when 1 then o_orderstatus when 2 then o_orderpriority else '' end as a,
+        case when o_orderkey % 97 = 0 then ''
+            when u.c = 0 then o_orderkey::varchar
+            when u.c = 1 then if(o_custkey % 3 = 0, 'X', o_orderstatus)
+            when u.c = 2 then if(o_custkey % 4 < 2, 'low', o_orderpriority)
+            else if(o_custkey % 5 = 0, 'new', '') end as b
+    from orders, unnest([0, 1, 2, 3]) as u(c)
+"""
+
+
+def order_versions(spark, sf_dir):
+    """The orders as a grid, and a later version: cells changed, a ragged fourth column, some rows gone."""
+    orders = table(spark, sf_dir, "orders")
+    old = as_grid(orders, "o_orderkey", text_cells("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    status = F.when(F.col("o_custkey") % 3 == 0, "X").otherwise(F.col("o_orderstatus"))
+    priority = F.when(F.col("o_custkey") % 4 < 2, "low").otherwise(F.col("o_orderpriority"))
+    fourth = F.when(F.col("o_custkey") % 5 == 0, F.array(F.lit("new"))).otherwise(F.array().cast("array<string>"))
+    cells = F.concat(F.array(F.col("o_orderkey").cast("string"), status, priority), fourth)
+    return old, as_grid(orders.filter("o_orderkey % 97 <> 0"), "o_orderkey", cells)
+
+
+@check(f"""
+    with d as (select *, c - row_number() over (partition by r order by c) as g from ({ORDER_VERSIONS}) where a <> b),
+    s as (select r, min(c)::int as col, (max(c) + 1)::int as end_col, string_agg(b, '|' order by c) as line from d group by r, g),
+    m as (select *, r - row_number() over (partition by r // 500, col, end_col order by r) as g from s)
+    select 'Sheet1!' || chr(65 + col) || (min(r) + 1) as range, col, end_col, min(r) as row, max(r) + 1 as end_row, string_agg(line, '/' order by r) as cells
+    from m group by r // 500, col, end_col, g
+""")
+def changed_blocks(spark, sf_dir):
+    line = lambda cells: F.array_join(cells, "|")
+    blocks = gf.changed_blocks(*order_versions(spark, sf_dir), rows_per_block=500)
+    return blocks.select("range", "col", "end_col", "row", "end_row", F.array_join(F.transform("values", line), "/").alias("cells"))
+
+
+@check(f"select r as row_idx, c::int as col_idx, b as value from ({ORDER_VERSIONS}) where b <> ''")
+def changed_blocks_written(spark, sf_dir):
+    """The blocks written into the old version give the new one."""
+    old, new = order_versions(spark, sf_dir)
+    written = gf.overlay_blocks(old, gf.changed_blocks(old, new))
+    return gf.grid_to_cells(written).filter("value <> ''").select("row_idx", "col_idx", "value")
+
+
+@check("""
+    with recursive o as (
+        select o_orderstatus as s, o_orderkey // 500 as b, o_orderkey as r, length(o_orderkey::varchar) + length(o_orderpriority) + 8 as n,
+            row_number() over (partition by o_orderstatus, o_orderkey // 500 order by o_orderkey) as k
+        from orders),
+    w as (
+        select s, b, r, k, n as used, 0 as part from o where k = 1
+        union all
+        select o.s, o.b, o.r, o.k, if(w.used + o.n + 3 * (o.r - w.r - 1) > 900, o.n, w.used + o.n + 3 * (o.r - w.r - 1)),
+            w.part + if(w.used + o.n + 3 * (o.r - w.r - 1) > 900, 1, 0)
+        from w join o on o.s = w.s and o.b = w.b and o.k = w.k + 1)
+    select s as sheet_id, b as batch_no, part::int as part_no, s || '!A' || (min(r) + 1) as range, (max(r) - min(r) + 1)::int as n_rows, max(used)::bigint as n_bytes
+    from w group by s, b, part
+""")
+def write_batches_by_bytes(spark, sf_dir):
+    """Batches of at most 500 rows and 900 bytes, a sheet per status."""
+    cells = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderpriority"))
+    status = F.col("o_orderstatus")
+    grid = as_grid(table(spark, sf_dir, "orders"), "o_orderkey", cells, sheet_id=status, title=status)
+    batches = gf.write_batches(grid, rows_per_batch=500, bytes_per_batch=900)
+    # A comma behind each row but the last, and two brackets around all.
+    size = (F.octet_length(F.to_json("values")) - 1).cast("bigint")
+    return batches.select("sheet_id", "batch_no", "part_no", "range", F.size("values").alias("n_rows"), size.alias("n_bytes"))

@@ -35,6 +35,7 @@ from gridframe.operators.sheets import (
     select_sheet,
 )
 from gridframe.operators.tables import grid_to_records, grid_to_table
+from gridframe.operators.updates import changed_blocks
 from gridframe.plans.read import read_sheet
 from gridframe.plans.refresh import refresh, refresh_as_html, refresh_formats
 from gridframe.plans.stored import read_stored, refresh_stored, store_grid

@@ -139,19 +139,38 @@ def apply_criteria(grid: DataFrame, criteria: DataFrame, start_row: int = 0, bro
     return marked.withColumn("hidden", hidden).select(*grid.columns, *[c for c in ("hidden",) if c not in grid.columns])
 
 
-def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
+def write_batches(grid: DataFrame, rows_per_batch: int = 500, bytes_per_batch: int | None = None) -> DataFrame:
     """Rows grouped into write bodies: ``workbook_id, sheet_id, sheet_title, batch_no, range, values``.
 
     A batch is at most ``rows_per_batch`` positions of one sheet, so a group is
     bounded. Positions a sheet has no row for are empty rows between its others.
     Titles are quoted in the addresses where need be, so that every batch goes
     where it belongs; a sheet without a title counts as one with an empty one.
+
+    With ``bytes_per_batch``, each batch is cut, row by row from its first, where
+    ``values`` would pass that many bytes as JSON (UTF-8, with the comma behind a
+    row); ``part_no`` counts the cuts of a batch from 0. Only a single row that is
+    larger makes a larger part. Missing positions right before a cut are not written.
     """
+    if rows_per_batch < 1 or (bytes_per_batch is not None and bytes_per_batch < 1):
+        raise ValueError("a batch must hold at least one row and one byte")
     batch = F.call_function("div", F.col("row_idx"), F.lit(rows_per_batch))
+    fields = ["row_idx", "cells"]
+    if bytes_per_batch is not None:
+        # The array's brackets are those of the row.
+        written = F.to_json(F.coalesce("cells", F.array().cast(EMPTY_ROW)))
+        fields.append((F.octet_length(written) + 1).cast("bigint").alias("bytes"))
     grouped = grid.groupBy(*SHEET_KEYS, batch.alias("batch_no")).agg(
         F.max("sheet_title").alias("sheet_title"),
-        F.array_sort(F.collect_list(F.struct("row_idx", "cells"))).alias("rows"),
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("rows"),
     )
+    number = ["batch_no"]
+    if bytes_per_batch is not None:
+        number.append("part_no")
+        cuts = grouped.withColumn("cuts", _cuts(F.col("rows"), bytes_per_batch))
+        end = lambda k: F.coalesce(F.get("cuts", k + 1), F.size("rows"))
+        parts = F.transform("cuts", lambda start, k: F.slice("rows", start + 1, end(k) - start))
+        grouped = cuts.select(*SHEET_KEYS, "sheet_title", "batch_no", F.posexplode(parts).alias("part_no", "rows"))
     rows = F.col("rows")
 
     def with_gap(row: Column, i: Column) -> Column:
@@ -161,7 +180,25 @@ def write_batches(grid: DataFrame, rows_per_batch: int = 500) -> DataFrame:
     return grouped.select(
         *SHEET_KEYS,
         "sheet_title",
-        "batch_no",
+        *number,
         range_address(F.coalesce("sheet_title", F.lit("")), F.get(rows, F.lit(0))["row_idx"], 0, quote=True).alias("range"),
         F.flatten(F.transform(rows, with_gap)).alias("values"),
     )
+
+
+def _cuts(rows: Column, budget: int) -> Column:
+    """Places in ``rows`` (``row_idx, cells, bytes``, in order) where a part begins."""
+    start = F.expr("named_struct('cuts', cast(array() as array<int>), 'used', 0L, 'last', cast(null as bigint), 'at', 0)")
+
+    def step(done: Column, row: Column) -> Column:
+        # A missing position is an empty row and its comma.
+        more = row["bytes"] + 3 * F.coalesce(row["row_idx"] - done["last"] - 1, F.lit(0))
+        cut = done["last"].isNull() | (done["used"] + more > budget)
+        return F.struct(
+            F.when(cut, F.concat(done["cuts"], F.array(done["at"]))).otherwise(done["cuts"]).alias("cuts"),
+            F.when(cut, row["bytes"]).otherwise(done["used"] + more).alias("used"),
+            row["row_idx"].alias("last"),
+            (done["at"] + 1).alias("at"),
+        )
+
+    return F.aggregate(rows, start, step)["cuts"]

@@ -156,6 +156,63 @@ def refresh_formats(spark, sf_dir):
     return flat(named).withColumn("empty_rows", F.col("col_idx").isNull().cast("int"))
 
 
+@check(meta_sql(CENTERED.format(vertical="user_vertical") + ", " + SIZED))
+def styled_patches(spark, sf_dir):
+    """Alignment and font by a dictionary of formats: the cells change nothing but ids."""
+    cells, styles = gf.restyle(*gf.read_styled(events_metadata(spark, sf_dir)), 2, horizontal="CENTER", vertical="MIDDLE", size=11)
+    return flat(gf.styled_meta(cells, styles))
+
+
+def orders_with_formats(spark, sf_dir):
+    """A sheet saved in a segment per order: two cells, formats by priority and status, members without a name on every level."""
+    key, priority, status = F.col("o_orderkey").cast("string"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    saved = F.concat(
+        F.lit('[{"values":[{"formattedValue":"'), key, F.lit('","pivot":{"id":'), key, F.lit('},"effectiveFormat":{"padding":{"top":"'), priority,
+        F.lit('"},"textFormat":{"fontSize":9,"style":"'), status, F.lit('"}}},{"note":"'), status, F.lit('","userEnteredFormat":{"borders":["'), priority,
+        F.lit('"]}}]}]'),
+    )
+    return table(spark, sf_dir, "orders").select(
+        F.lit("wb").alias("workbook_id"), F.lit("0").alias("sheet_id"), F.col("o_orderkey").alias("start_row"), saved.alias("row_data")
+    )
+
+
+@check("""
+    select o_orderkey as row_idx, o_orderkey::varchar as text, o_orderkey::varchar as pivot_id, o_orderpriority as padding, o_orderstatus as style,
+        '12' as size, o_orderstatus as user_style, o_orderstatus as note, o_orderpriority as border, '12' as second_size, true as no_effective_font
+    from orders
+""")
+def styled_round_trip(spark, sf_dir):
+    """Written from cells with style ids after a change of font."""
+    written = gf.styled_rows_json(*gf.restyle(*gf.read_styled(orders_with_formats(spark, sf_dir)), 0, size=12))
+    member = lambda path: F.get_json_object("row", f"$.values{path}")
+    paths = {
+        "text": "[0].formattedValue", "pivot_id": "[0].pivot.id", "padding": "[0].effectiveFormat.padding.top", "style": "[0].effectiveFormat.textFormat.style",
+        "size": "[0].effectiveFormat.textFormat.fontSize", "user_style": "[0].userEnteredFormat.textFormat.style", "note": "[1].note",
+        "border": "[1].userEnteredFormat.borders[0]", "second_size": "[1].userEnteredFormat.textFormat.fontSize",
+    }
+    without = member("[1].effectiveFormat.textFormat").isNull().alias("no_effective_font")
+    return written.select("row_idx", *[member(path).alias(name) for name, path in paths.items()], without)
+
+
+@check("""
+    select '{"padding":{"top":"' || o_orderpriority || '"},"textFormat":{"fontSize":9,"style":"' || o_orderstatus || '"}}' as effective, null::varchar as user,
+        count(*) as cells from orders group by o_orderpriority, o_orderstatus
+    union all
+    select null, '{"borders":["' || o_orderpriority || '"]}', count(*) from orders group by o_orderpriority
+""")
+def style_counts(spark, sf_dir):
+    """The dictionary of formats as saved, and how many cells have each."""
+    cells, styles = gf.read_styled(orders_with_formats(spark, sf_dir))
+    counts = cells.groupBy("style_id").agg(F.count("*").alias("cells"))
+    effective, user = F.col("effective_format"), F.col("user_entered_format")
+    text = F.concat(
+        F.lit('{"padding":{"top":"'), F.variant_get(effective["extra"]["padding"], "$.top", "string"), F.lit('"},"textFormat":{"fontSize":'),
+        effective["textFormat"]["fontSize"].cast("string"), F.lit(',"style":"'), F.expr("effective_format.textFormat.extra['style']::string"), F.lit('"}}'),
+    )
+    border = F.concat(F.lit('{"borders":["'), F.variant_get(user["extra"]["borders"], "$[0]", "string"), F.lit('"]}'))
+    return styles.join(counts, "style_id").select(text.alias("effective"), border.alias("user"), "cells")
+
+
 RUNS = "array<struct<startIndex:int,format:struct<bold:boolean,fontFamily:string,fontSize:int,link:struct<uri:string>>>>"
 
 

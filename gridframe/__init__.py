@@ -34,6 +34,7 @@ from gridframe.operators.sheets import (
     promote_header,
     select_sheet,
 )
+from gridframe.operators.styles import read_styled, restyle, styled_meta, styled_rows_json
 from gridframe.operators.tables import grid_to_records, grid_to_table
 from gridframe.operators.updates import changed_blocks
 from gridframe.plans.read import read_sheet

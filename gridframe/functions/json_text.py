@@ -11,6 +11,9 @@ what was read, written back, has then as many members and lists as the text.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,25 @@ def members(json: Column) -> Column:
     return F.octet_length(F.regexp_replace(json, rf'(?s){STRING}|[^":\[]++', ""))
 
 
+def as_many_members(saved: Column, written: Column, objects: Column | None = None) -> Column:
+    """Whether a saved text holds as many members and lists as what was read of it, written again.
+
+    Keys are counted by their closing quote and colon where nothing is escaped,
+    no blank is before a colon and no key in single quotes: then strings are the
+    same in both texts, and what was not read can only add to the count. Other
+    texts are counted without their strings. ``objects`` is the text of objects
+    that ``written`` holds as strings.
+    """
+
+    def times(json: Column, part: str) -> Column:
+        return (F.octet_length(json) - F.octet_length(F.replace(json, F.lit(part), F.lit("")))) / len(part)
+
+    unclear = reduce(or_, [F.contains(saved, F.lit(part)) for part in ("\\", " :", "\n:", "\t:", "\r:", "':")])
+    quick = times(saved, '":') + times(saved, "[") == times(written, '":') + times(written, "[")
+    counted = members(written) if objects is None else members(written) + members(objects)
+    return F.when(unclear, members(saved) == counted).otherwise(quick)
+
+
 def typed_sql(value: str, data_type: T.DataType, depth: int = 0) -> str:
     """A variant as the type with extras; a value of another kind than the type says is an error."""
     return _bound(value, f"cast({value} as {data_type.simpleString()})", data_type, depth)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.functions.json_text import EXTRA, SPARE, members, typed_sql, with_extras
+from gridframe.functions.json_text import EXTRA, SPARE, as_many_members, typed_sql, with_extras
 from gridframe.operators.extent import checkpoint_once
 from gridframe.sources.schemas import CELL, SHEET_KEYS, metadata_record, saved_rows
 
@@ -21,6 +21,7 @@ CELL_COLUMNS = {
     "effectiveFormat": "effective_format",
     "userEnteredFormat": "user_entered_format",
 }
+FORMATS = ("effectiveFormat", "userEnteredFormat")
 
 
 def read_metadata(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -57,7 +58,11 @@ def _placed(df: DataFrame, row_data_col: str, cell: T.StructType) -> DataFrame:
     if isinstance(df.schema[row_data_col].dataType, T.StringType):
         listed = lambda name: T.ArrayType(T.StructType([T.StructField("values", T.ArrayType(with_extras(cell, name)))]))
         found = found.withColumn("plain", F.from_json("text", listed(SPARE)))
-        known = F.coalesce(members(F.col("text")) == members(F.to_json("plain")), F.lit(False))
+        found = found.withColumn("written", F.to_json("plain"))
+        as_text = [name for name in FORMATS if name in cell.names and isinstance(cell[name].dataType, T.StringType)]
+        of_row = lambda row: F.flatten(F.transform(row["values"], lambda c: F.array(*[c[name] for name in as_text])))
+        objects = F.array_join(F.flatten(F.filter(F.transform("plain", of_row), F.isnotnull)), "") if as_text else None
+        known = F.coalesce(as_many_members(F.col("text"), F.col("written"), objects), F.lit(False))
         saved = F.from_json("text", saved_rows(), {"mode": "FAILFAST"})
         rows = F.when(known, F.col("plain").cast(listed(EXTRA))).otherwise(whole(saved))
     else:

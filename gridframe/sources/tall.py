@@ -28,6 +28,8 @@ WAYS = ("out", "in")
 # Facts of so many splits (some 200 bytes each) are sent to every task; those of more are joined.
 BROADCAST_SPLITS = 100_000
 RECORD = T.StructType([field for field in VALUES_RECORD if field.name != "values"])
+# Columns that _counted adds, in order.
+RUNNING = ["turned", "opening", "head", *[f"{what}_{way}" for what in ("start", "end") for way in WAYS], *[f"{what}s_{way}" for what in ("start", "end") for way in WAYS]]
 
 
 def read_tall_values(spark: SparkSession, path: str | list[str], positions: str = "body") -> DataFrame:
@@ -45,7 +47,7 @@ def read_tall_values(spark: SparkSession, path: str | list[str], positions: str
     pieces = _pieces(spark, path)
     splits = checkpoint_once(_split_facts(_counted(pieces)))
     outer = splits.filter((F.col("split") == 0) | (F.col("ends") > 0) | (F.col("ends_before") > 0))
-    bodies = checkpoint_once(_bodies(_known(_counted(_beside(pieces, outer.select(*SPLIT))), splits), splits))
+    bodies = checkpoint_once(_bodies(_known(_beside(_counted(pieces), outer.select(*SPLIT)), splits), splits))
     found = _known(_counted(pieces), splits.join(bodies, "file")).filter(F.col("role") == "row")
     text = F.when(F.col("opening"), _without_head()).otherwise(F.col("value"))
     keys = ["file", "workbook_id", "sheet_id", "sheet_title", "range", "row"]
@@ -87,33 +89,66 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _counted(pieces: DataFrame) -> DataFrame:
-    """Pieces with what their split alone tells of what lies before them, for both ways in which it may begin."""
-    order = Window.partitionBy(*SPLIT).orderBy("at")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = pieces.withColumn("turned", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1)
-    # The first split of a file begins outside, so there it is known where the list of rows opens.
-    bracket = F.when(F.col("turned"), F.col("bracket_True")).otherwise(F.col("bracket_False"))
-    opened = inside.withColumn("opened_at", F.min(F.when(bracket, F.col("at"))).over(Window.partitionBy(*SPLIT)))
-    here = F.coalesce(F.col("at") == F.col("opened_at"), F.lit(False))
-    row_like = F.when(F.col("turned"), F.col("row_like_True")).otherwise(F.col("row_like_False"))
-    found = opened.withColumns(
-        {
-            "opening": here,
-            "head": (F.col("split") == 0) & F.coalesce(F.col("at") < F.col("opened_at"), F.lit(True)),
-            "row_like": F.when(here, row_like).otherwise(F.col("row_like")),
-        }
-    )
-    for way, outside in zip(WAYS, (~F.col("turned"), F.col("turned")), strict=True):
-        stands = ~F.col("head") & (F.col("opening") | outside)
-        found = found.withColumns({f"start_{way}": stands & F.col("row_like"), f"end_{way}": stands & ~F.col("row_like")})
-        found = found.withColumns(
-            {
-                f"starts_{way}": F.sum(F.col(f"start_{way}").cast("int")).over(so_far),
-                f"ends_{way}": F.coalesce(F.sum(F.col(f"end_{way}").cast("int")).over(before), F.lit(0)),
-            }
-        )
-    return found
+    """Pieces with what their split alone tells of what lies before them, for both ways in which it may begin.
+
+    The pieces of a split come to its task in order of ``at``, so one pass over
+    them carries the counts from batch to batch; no task holds a split.
+    """
+    flags = [f"{what}_{way}" for what in ("start", "end") for way in WAYS]
+    counts = [f"{what}s_{way}" for what in ("start", "end") for way in WAYS]
+    extra = [T.StructField(name, T.BooleanType()) for name in ("turned", "opening", "head", *flags)]
+    extra += [T.StructField(name, T.LongType()) for name in counts]
+    schema = T.StructType([*pieces.schema.fields, *extra])
+    return pieces.mapInArrow(_count_in_order, schema)
+
+
+def _count_in_order(batches):
+    """Running counts per split over the pieces of a task, which come split after split in order of ``at``."""
+    import numpy as np
+    import pyarrow as pa
+
+    state = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        col = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+        file, split = col("file"), col("split")
+        odd = col("odd").astype(np.int64)
+        flag = {name: col(name).astype(bool) for name in ("row_like", "bracket_True", "bracket_False", "row_like_True", "row_like_False")}
+        n = batch.num_rows
+        out = {name: np.zeros(n, bool) for name in ("turned", "opening", "head", "row_like")}
+        out |= {f"{what}_{way}": np.zeros(n, bool) for what in ("start", "end") for way in WAYS}
+        out |= {f"{what}s_{way}": np.zeros(n, np.int64) for what in ("start", "end") for way in WAYS}
+        # Runs of one split within the batch.
+        cut = np.flatnonzero((file[1:] != file[:-1]) | (split[1:] != split[:-1])) + 1
+        for lo, hi in zip(np.concatenate(([0], cut)), np.concatenate((cut, [n])), strict=True):
+            key = (file[lo], split[lo])
+            if state is None or state["key"] != key:
+                state = {"key": key, "odd": 0, "opened": False, "starts_out": 0, "starts_in": 0, "ends_out": 0, "ends_in": 0}
+            part = slice(lo, hi)
+            odd_before = state["odd"] + np.concatenate(([0], np.cumsum(odd[part])[:-1]))
+            turned = odd_before % 2 == 1
+            bracket = np.where(turned, flag["bracket_True"][part], flag["bracket_False"][part])
+            seen = np.cumsum(bracket) > 0
+            seen_before = np.concatenate(([state["opened"]], seen[:-1] | state["opened"])) if hi > lo else seen
+            opening = bracket & ~seen_before
+            head = (split[lo] == 0) & ~(seen | state["opened"])
+            row_like = np.where(opening, np.where(turned, flag["row_like_True"][part], flag["row_like_False"][part]), flag["row_like"][part])
+            out["turned"][part], out["opening"][part], out["head"][part], out["row_like"][part] = turned, opening, head, row_like
+            for way, outside in zip(WAYS, (~turned, turned), strict=True):
+                stands = ~head & (opening | outside)
+                start, end = stands & row_like, stands & ~row_like
+                out[f"start_{way}"][part], out[f"end_{way}"][part] = start, end
+                out[f"starts_{way}"][part] = state[f"starts_{way}"] + np.cumsum(start)
+                out[f"ends_{way}"][part] = state[f"ends_{way}"] + np.cumsum(end) - end
+                state[f"starts_{way}"] += int(start.sum())
+                state[f"ends_{way}"] += int(end.sum())
+            state["odd"] += int(odd[part].sum())
+            state["opened"] = state["opened"] or bool(seen[-1])
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "row_like"}
+        columns["row_like"] = pa.array(out.pop("row_like"))
+        columns |= {name: pa.array(values) for name, values in out.items()}
+        yield pa.RecordBatch.from_pydict({name: columns[name] for name in [*batch.schema.names, *RUNNING]})
 
 
 def _split_facts(counted: DataFrame) -> DataFrame:

@@ -74,3 +74,14 @@ def test_facts_of_many_splits_are_joined(small_splits, tmp_path, monkeypatch):
 def test_faulty_files_are_errors(spark, tmp_path, body, fault):
     with pytest.raises(Exception, match=f"(?s){fault}"):
         gf.read_tall_values(spark, write(tmp_path / "bad", {"a.json": body})).collect()
+
+
+def test_counts_within_a_split_hold_no_window_over_the_split(spark, tmp_path):
+    """A window over a whole split buffers and spills all its pieces in one task; the counts stream instead."""
+    from gridframe.sources import tall
+
+    body = json.dumps({"range": "S!A1", "majorDimension": "ROWS", "values": [[str(i), f"[{i}]"] for i in range(50)]})
+    counted = tall._counted(tall._pieces(spark, write(tmp_path / "w", {"a.json": body})))
+    assert "Window" not in counted._jdf.queryExecution().executedPlan().toString()
+    first = counted.filter("opening").collect()
+    assert len(first) == 1 and first[0].starts_out == 1

@@ -82,7 +82,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
     ship(spark)
     ranks = public_tokenizers.path(RANKS)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    # One pass holds one Python worker in each task; two chained ones held two.
+    coded = bpe.encode_decode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
     digests = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
     return coded.select("doc_id", "source", bpe.token_count(F.col("ids")).alias("n_tokens"), "ids", *digests)
 

@@ -216,6 +216,39 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
     return df.withColumn(out, F.arrow_udf(encode_batches, T.BinaryType())(F.col(text)))
 
 
+def decode_one(packed: bytes | None, tokens: list[bytes]) -> bytes | None:
+    """Bytes of packed ids as ``decode`` gives them."""
+    if packed is None or len(packed) % 4:
+        return None
+    try:
+        return b"".join(map(tokens.__getitem__, memoryview(packed).cast("I"))) if packed else b""
+    except IndexError:
+        return None
+
+
+def encode_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """The columns of ``df`` but ``text``, then ``ids`` and ``out`` as ``decode(encode(df))`` gives them.
+
+    Both run in one pass over the rows, so a task holds one Python worker and
+    one copy of the vocabulary rather than one of each for either step.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(perfect_hash(ranks))
+    rest = [name for name in df.columns if name not in (text, ids, out)]
+    schema = T.StructType([*(df.schema[name] for name in rest), T.StructField(ids, T.BinaryType()), T.StructField(out, T.BinaryType())])
+
+    def coded_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = kept(("bpe", ranks, pattern), lambda: Encoder(sent.value, pattern))
+        for batch in batches:
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
+                packed = [encoder.encode(value or "") for value in part.column(text).to_pylist()]
+                decoded = [decode_one(value, encoder.table.keys) for value in packed]
+                columns = [part.column(name) for name in rest]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())], schema=pa.schema([*(part.schema.field(name) for name in rest), pa.field(ids, pa.binary()), pa.field(out, pa.binary())]))
+
+    return df.mapInArrow(coded_batches, schema)
+
+
 def token_count(ids: Column) -> Column:
     """Number of ids in packed ids."""
     return F.floor(F.octet_length(ids) / 4).cast("bigint")
@@ -230,14 +263,6 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") ->
     """
     sent = df.sparkSession.sparkContext.broadcast(perfect_hash(ranks))
 
-    def decode_one(packed: bytes | None, tokens: list[bytes]) -> bytes | None:
-        if packed is None or len(packed) % 4:
-            return None
-        try:
-            return b"".join(map(tokens.__getitem__, memoryview(packed).cast("I"))) if packed else b""
-        except IndexError:
-            return None
-
     def decode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = sent.value.keys
         for part in slices(batches):

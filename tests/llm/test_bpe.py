@@ -75,3 +75,16 @@ def test_query(spark, reference):
         assert got[doc_id].n_tokens == len(ids)
         assert got[doc_id].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert got[doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_one_pass_gives_what_two_give_and_holds_one_python_worker(spark, reference):
+    rows = [(1, "s", "Hello world, héllo 漢🙂"), (1, "s", "Hello world, héllo 漢🙂"), (None, None, None), (3, "t", ""), (4, "t", "a  b\n\tc")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    one = bpe.encode_decode(df, RANKS, public_tokenizers.PATTERN)
+    two = bpe.decode(bpe.encode(df, RANKS, public_tokenizers.PATTERN), RANKS).drop("text")
+    assert one.columns == ["doc_id", "source", "ids", "decoded"]
+    assert sorted(one.collect(), key=str) == sorted(two.collect(), key=str)
+    assert all(unpack(r.ids) == reference.encode_ordinary(r.text or "") for r in df.join(one, ["doc_id", "source"]).collect() if r.doc_id)
+    # Chained UDFs each start a worker in a task; the one pass starts one.
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan

@@ -49,7 +49,11 @@ def number_rows(
     ranged = ranged.repartitionByRange(buckets, *named, "__tie", "__deal").sortWithinPartitions(*named, "__tie")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     placed = ranged.drop(*named, "__tie", "__deal").withColumns({"__bucket": F.spark_partition_id(), "__place": place})
-    stored = checkpoint_once(placed)
+    # Stored and read back in tasks of about ROWS_PER_BUCKET rows, not one per
+    # bucket: every task sends its result to the driver, and small buckets are
+    # many. Bucket and place are set before, so they are those of the ranges.
+    tasks = min(buckets, max(cores, -(-total // ROWS_PER_BUCKET)))
+    stored = checkpoint_once(placed.coalesce(tasks))
     counts = stored.groupBy("__bucket").count()
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each bucket.

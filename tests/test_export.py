@@ -142,6 +142,13 @@ def test_numbering_has_no_single_task_window(spark):
     assert "SinglePartition" not in plan and plan.count("Exchange") == 1
 
 
+def test_numbering_reads_small_buckets_in_few_tasks(spark):
+    df = spark.range(0, 6000, 1, 3).select(F.lit("copy").alias("k"))
+    numbered, total = gf.number_rows(df, ["k"], rows_per_bucket=50)
+    assert total == 6000 and sorted(r.row_idx for r in numbered.collect()) == list(range(6000))
+    assert numbered.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
 def test_html_rows_and_table(spark):
     long = "x" * 80
     df = spark.createDataFrame([(2, "<b>&</b>"), (1, long)], "k int, v string")

@@ -44,6 +44,12 @@ def read_metadata(spark: SparkSession, path: str | list[str], multi_line: bool =
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The segments over all cores: reading their JSON is the costly part, and a file has few splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _placed(df: DataFrame, row_data_col: str, cell: T.StructType) -> DataFrame:
     """Rows with their position, start column and typed cells."""
     rows = F.col(row_data_col)
@@ -54,7 +60,7 @@ def _placed(df: DataFrame, row_data_col: str, cell: T.StructType) -> DataFrame:
     def whole(rows: Column) -> Column:
         return F.transform(rows, lambda row: F.struct(F.call_function("transform", row["values"], F.expr(f"saved -> {typed_sql('saved', cell)}")).alias("values")))
 
-    found = df.select(*SHEET_KEYS, start("start_row"), start("start_col"), rows.alias("text"))
+    found = _spread(df).select(*SHEET_KEYS, start("start_row"), start("start_col"), rows.alias("text"))
     if isinstance(df.schema[row_data_col].dataType, T.StringType):
         listed = lambda name: T.ArrayType(T.StructType([T.StructField("values", T.ArrayType(with_extras(cell, name)))]))
         found = found.withColumn("plain", F.from_json("text", listed(SPARE)))

@@ -291,3 +291,15 @@ def test_segments_side_by_side(spark):
     df = spark.createDataFrame(rows, "workbook_id string, sheet_id string, start_row int, start_col int, row_data string")
     found = {(r.sheet_id, r.row_idx): r["values"] and [v and v.note for v in r["values"]] for r in gf.row_positions(df).collect()}
     assert found == {("a", 0): ["1", "2", "3"], ("a", 1): None, ("a", 2): [None, None, "z"], ("b", 5): [None, "only"]}
+
+
+def test_rows_of_one_file_split_are_read_on_all_cores(spark):
+    """Segments from one partition are parsed in as many tasks as there are cores, with the same rows."""
+    text = '[{"values":[{"formattedValue":"a","odd":1}]},{"values":[{"note":"n"}]}]'
+    segments = spark.range(0, 200, 1, numPartitions=1).select(
+        F.lit("wb").alias("workbook_id"), F.col("id").cast("string").alias("sheet_id"), F.lit(text).alias("row_data")
+    )
+    rows = gf.row_positions(segments)
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert rows.count() == 400
+    assert gf.read_cell_meta(segments).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

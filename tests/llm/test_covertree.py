@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -77,3 +78,52 @@ def test_query(spark):
     path = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
     assert sorted(map(tuple, queries.op3_cover_tree(spark, path).collect())) == brute(rows, lambda i: i % 100 == 0, 10)
+
+
+def vectors(rng, rows, dim, length=1024):
+    drawn = rng.normal(size=(rows, dim))
+    return np.floor(length * drawn / np.sqrt((drawn**2).sum(axis=1, keepdims=True)))
+
+
+def test_pairs_that_no_bound_rules_out_are_compared_together():
+    rng = np.random.default_rng(7)
+    points, asked = vectors(rng, 20_000, 64), vectors(rng, 400, 64)
+    began = time.process_time()
+    got = covertree.dual_tree(asked, -1 - np.arange(400), np.full(400, -np.inf), points, np.arange(20_000), 10)
+    assert time.process_time() - began < 6
+    scores = asked @ points.T
+    for q in range(400):
+        best = np.lexsort((np.arange(20_000), -scores[q]))[:10]
+        own = got[got["query_id"] == -1 - q]
+        assert list(zip(own["vec_id"], own["score"])) == [(i, scores[q, i]) for i in best]
+
+
+@pytest.mark.parametrize("length", [3, 1024, 40_000, 2.0**22, 2.0**45, 2.0**80])
+def test_scores_of_any_length(length):
+    rng = np.random.default_rng(8)
+    points, asked = vectors(rng, 1_500, 5, length), vectors(rng, 30, 5, length)
+    points[500:600] = points[0]
+    got = covertree.dual_tree(asked, np.arange(30), np.full(30, -np.inf), points, np.arange(1_500)[::-1].copy(), 4)
+    for q in range(30):
+        scored = sorted((-sum(int(x) * int(y) for x, y in zip(asked[q], points[1_499 - i])), i) for i in range(1_500) if i != q)[:4]
+        own = got[got["query_id"] == q]
+        assert list(zip(own["vec_id"], own["score"])) == [(i, max(-(2**63), min(2**63 - 1, -s))) for s, i in scored]
+
+
+def test_depth_is_bounded():
+    points = np.concatenate([2.0 ** np.arange(900), -(2.0 ** np.arange(900)), np.arange(4_000)])[:, None]
+    root, order = covertree.cover_tree(points)
+    depth, level = 0, [root]
+    while level:
+        depth, level = depth + 1, [c for node in level for c in node.children]
+    assert sorted(order) == list(range(5_800)) and depth < 16
+
+
+def test_blocks_share_repeated_rows_ties_and_lengths(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i % 150, [float(x) for x in rng.integers(-3, 4, 2 + i % 3) / 4]) for i in range(300)]
+    rows = [(i, rows[i % 150][1]) for i, _ in rows] + [(900 + i, [0.5, 40.0]) for i in range(70)] + [(2_000, []), (2_010, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block_rows in (50, 1_000):
+        got = covertree.top_k(df, df.vec_id % 10 == 0, k=5, block_rows=block_rows)
+        assert sorted(map(tuple, got.collect())) == brute(rows, lambda i: i % 10 == 0, 5)
